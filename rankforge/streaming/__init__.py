@@ -1,0 +1 @@
+"""rankforge.streaming"""
