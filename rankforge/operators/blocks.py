@@ -64,40 +64,54 @@ def symmetric(g: DataFrame) -> DataFrame:
     return g.unionByName(off.select(F.col("item_j").alias("item_i"), F.col("item_i").alias("item_j"), "g"))
 
 
-# ---------------------------------------------------------------- blocked top-k of dot products
+# ---------------------------------------------------------------- blocked pair scoring + top-k
 def n_blocks(df: DataFrame, block: int) -> int:
     """Block count from a one-row count (the only driver round trip)."""
     n = df.count()
     return max(1, math.ceil(n / block))
 
 
-def block_topk(left: DataFrame, right: DataFrame, k: int, left_id: str = "user_id",
-               right_id: str = "item_id", vector: str = "vector", exclude: DataFrame | None = None,
-               block: int = 2048, out_score: str = "score", metric: str = "dot") -> DataFrame:
-    """Exact top-k right rows per left row by dot product (or cosine / negative L2).
+VEC = T.ArrayType(T.DoubleType())
 
-    ``exclude`` holds (left_id, right_id) pairs that must not be returned (e.g.
-    seen items); they are masked inside their block pair, so exactly k
-    eligible rows survive per left row whenever k exist.
+
+def block_pair_topk(left: DataFrame, right: DataFrame, k: int, scorer, left_id: str = "user_id",
+                    right_id: str = "item_id", left_payload: str = "vector", right_payload: str = "vector",
+                    pairs: dict[str, DataFrame] | None = None, exclude: DataFrame | None = None,
+                    block: int = 2048, out_score: str = "score") -> DataFrame:
+    """Exact top-k right rows per left row of ``scorer(L, R, P)``, computed block pair by block pair.
+
+    left/right carry an ``array<double>`` payload per row. ``pairs`` are sparse
+    (left_id, right_id, value) tables handed to the scorer as dense block
+    matrices (0 where absent); ``exclude`` pairs are masked. Every left block is
+    sent to each right block and vice versa, so a task holds one left block,
+    one right block and the sparse entries between them: memory is bounded by
+    the block sizes whatever the key skew. ``scorer(L, R, P)`` gets L (n_l x w_l),
+    R (n_r x w_r) float arrays and P {name: n_l x n_r array} and returns the
+    n_l x n_r score matrix.
     """
+    pairs = pairs or {}
     nl = n_blocks(left, block)
     nr = n_blocks(right, block)
-    lb = F.pmod(F.xxhash64(F.col(left_id)), F.lit(nl)).cast("int")
-    rb = F.pmod(F.xxhash64(F.col(right_id)), F.lit(nr)).cast("int")
-    vec_t = T.ArrayType(T.DoubleType())
-    L = left.select(lb.alias("_lb"), F.explode(F.sequence(F.lit(0), F.lit(nr - 1))).alias("_rb"),
+    lb = lambda c: F.pmod(F.xxhash64(F.col(c)), F.lit(nl)).cast("int")
+    rb = lambda c: F.pmod(F.xxhash64(F.col(c)), F.lit(nr)).cast("int")
+    L = left.select(lb(left_id).alias("_lb"), F.explode(F.sequence(F.lit(0), F.lit(nr - 1))).alias("_rb"),
                     F.lit(0).alias("_kind"), F.col(left_id).cast("long").alias("_lid"),
-                    F.lit(None).cast("long").alias("_rid"), F.col(vector).cast(vec_t).alias("_v"))
-    R = right.select(F.explode(F.sequence(F.lit(0), F.lit(nl - 1))).alias("_lb"), rb.alias("_rb"),
+                    F.lit(None).cast("long").alias("_rid"), F.lit(None).cast("double").alias("_val"),
+                    F.col(left_payload).cast(VEC).alias("_v"))
+    R = right.select(F.explode(F.sequence(F.lit(0), F.lit(nl - 1))).alias("_lb"), rb(right_id).alias("_rb"),
                      F.lit(1).alias("_kind"), F.lit(None).cast("long").alias("_lid"),
-                     F.col(right_id).cast("long").alias("_rid"), F.col(vector).cast(vec_t).alias("_v"))
+                     F.col(right_id).cast("long").alias("_rid"), F.lit(None).cast("double").alias("_val"),
+                     F.col(right_payload).cast(VEC).alias("_v"))
     parts = L.unionByName(R)
-    if exclude is not None:
-        E = exclude.select(F.pmod(F.xxhash64(F.col(left_id)), F.lit(nl)).cast("int").alias("_lb"),
-                           F.pmod(F.xxhash64(F.col(right_id)), F.lit(nr)).cast("int").alias("_rb"),
-                           F.lit(2).alias("_kind"), F.col(left_id).cast("long").alias("_lid"),
-                           F.col(right_id).cast("long").alias("_rid"), F.lit(None).cast(vec_t).alias("_v"))
-        parts = parts.unionByName(E)
+    names = list(pairs)
+    sparse = [(2, exclude.select(left_id, right_id, F.lit(0.0).alias("_value")))] if exclude is not None else []
+    sparse += [(3 + i, pairs[n]) for i, n in enumerate(names)]
+    for kind, df in sparse:
+        vcol = df.columns[2]
+        parts = parts.unionByName(df.select(
+            lb(left_id).alias("_lb"), rb(right_id).alias("_rb"), F.lit(kind).alias("_kind"),
+            F.col(left_id).cast("long").alias("_lid"), F.col(right_id).cast("long").alias("_rid"),
+            F.col(vcol).cast("double").alias("_val"), F.lit(None).cast(VEC).alias("_v")))
 
     kk = int(k)
     schema = T.StructType([T.StructField("_lid", T.LongType()), T.StructField("_rid", T.LongType()),
@@ -107,32 +121,42 @@ def block_topk(left: DataFrame, right: DataFrame, k: int, left_id: str = "user_i
         lrows = pdf[pdf["_kind"] == 0]
         rrows = pdf[pdf["_kind"] == 1]
         if len(lrows) == 0 or len(rrows) == 0:
-            return pd.DataFrame({"_lid": [], "_rid": [], "_s": []}).astype({"_lid": "int64", "_rid": "int64"})
+            return pd.DataFrame({"_lid": np.zeros(0, np.int64), "_rid": np.zeros(0, np.int64),
+                                 "_s": np.zeros(0)})
         lids = lrows["_lid"].to_numpy(np.int64)
         rids = rrows["_rid"].to_numpy(np.int64)
         A = np.vstack(lrows["_v"].to_numpy()).astype(np.float64)
         Bm = np.vstack(rrows["_v"].to_numpy()).astype(np.float64)
-        if metric == "cosine":
-            A = A / (np.linalg.norm(A, axis=1, keepdims=True) + 1e-12)
-            Bm = Bm / (np.linalg.norm(Bm, axis=1, keepdims=True) + 1e-12)
-        S = A @ Bm.T
-        if metric == "l2":
-            S = -(np.sum(A * A, 1)[:, None] - 2 * S + np.sum(Bm * Bm, 1)[None, :])
-            S = -np.sqrt(np.maximum(-S, 0.0))
+        lix, rix = pd.Index(lids), pd.Index(rids)
+        mats = {}
+        for i, name in enumerate(names):
+            sub = pdf[pdf["_kind"] == 3 + i]
+            M = np.zeros((len(lids), len(rids)))
+            if len(sub):
+                lp = lix.get_indexer(sub["_lid"].to_numpy(np.int64))
+                rp = rix.get_indexer(sub["_rid"].to_numpy(np.int64))
+                ok = (lp >= 0) & (rp >= 0)
+                np.add.at(M, (lp[ok], rp[ok]), sub["_val"].to_numpy(np.float64)[ok])
+            mats[name] = M
+        S = np.asarray(scorer(A, Bm, mats), dtype=np.float64)
         ex = pdf[pdf["_kind"] == 2]
         if len(ex):
-            lpos = pd.Index(lids).get_indexer(ex["_lid"].to_numpy(np.int64))
-            rpos = pd.Index(rids).get_indexer(ex["_rid"].to_numpy(np.int64))
-            ok = (lpos >= 0) & (rpos >= 0)
-            S[lpos[ok], rpos[ok]] = -np.inf
+            lp = lix.get_indexer(ex["_lid"].to_numpy(np.int64))
+            rp = rix.get_indexer(ex["_rid"].to_numpy(np.int64))
+            ok = (lp >= 0) & (rp >= 0)
+            S[lp[ok], rp[ok]] = -np.inf
         m = min(kk, S.shape[1])
-        # Stable partial order: score desc then id asc.
-        order = np.lexsort((np.broadcast_to(rids, S.shape), -S), axis=1)[:, :m]
-        rows = np.repeat(np.arange(S.shape[0]), m)
-        cols = order.reshape(-1)
-        s = S[rows, cols]
-        keep = np.isfinite(s)
-        return pd.DataFrame({"_lid": lids[rows][keep], "_rid": rids[cols][keep], "_s": s[keep]})
+        # Partial selection, then an exact (score desc, id asc) order of the survivors.
+        if m < S.shape[1]:
+            cut = -np.partition(-S, m - 1, axis=1)[:, m - 1:m]
+            cand = S >= cut
+        else:
+            cand = np.ones_like(S, dtype=bool)
+        rr, cc = np.nonzero(cand & np.isfinite(S))
+        out = pd.DataFrame({"_r": rr, "_lid": lids[rr], "_rid": rids[cc], "_s": S[rr, cc]})
+        out = out.sort_values(["_r", "_s", "_rid"], ascending=[True, False, True])
+        out = out.groupby("_r", sort=False).head(m)
+        return out[["_lid", "_rid", "_s"]]
 
     partial = parts.groupBy("_lb", "_rb").applyInPandas(kernel, schema)
     w = Window.partitionBy("_lid").orderBy(F.col("_s").desc(), F.col("_rid").asc())
@@ -141,6 +165,29 @@ def block_topk(left: DataFrame, right: DataFrame, k: int, left_id: str = "user_i
                     F.col("_s").alias(out_score), F.col("_rk").cast("int").alias("rank")))
 
 
+def dot_scorer(metric: str = "dot"):
+    def score(A, Bm, _):
+        if metric == "cosine":
+            A = A / (np.linalg.norm(A, axis=1, keepdims=True) + 1e-12)
+            Bm = Bm / (np.linalg.norm(Bm, axis=1, keepdims=True) + 1e-12)
+        S = A @ Bm.T
+        if metric == "l2":
+            d2 = np.sum(A * A, 1)[:, None] - 2 * S + np.sum(Bm * Bm, 1)[None, :]
+            return -np.sqrt(np.maximum(d2, 0.0))
+        return S
+    return score
+
+
+def block_topk(left: DataFrame, right: DataFrame, k: int, left_id: str = "user_id",
+               right_id: str = "item_id", vector: str = "vector", exclude: DataFrame | None = None,
+               block: int = 2048, out_score: str = "score", metric: str = "dot") -> DataFrame:
+    """Exact top-k right rows per left row by dot product, cosine, or negative L2 distance
+    (``metric='l2'``: higher is closer). ``exclude`` pairs (e.g. seen items) are masked
+    inside their block pair, so k eligible rows survive per left row whenever k exist."""
+    return block_pair_topk(left, right, k, dot_scorer(metric), left_id, right_id, vector, vector,
+                           exclude=exclude, block=block, out_score=out_score)
+
+
 # ---------------------------------------------------------------- local ridge (M-1 core)
 def local_ridge(neighbours: DataFrame, sub_gram: DataFrame, lam: float) -> DataFrame:
     """Per target j: w = (G_NN + lam I)^-1 G_Nj.

@@ -115,15 +115,21 @@ def duplicate_report(r: DataFrame, keys: tuple[str, ...] = ("user_id", "item_id"
 
 # ---------------------------------------------------------------- W-7
 def stratified_folds(r: DataFrame, k: int = 5, seed: int = 42, user: str = "user_id",
-                     item: str = "item_id") -> DataFrame:
+                     item: str = "item_id", order: str = "hash") -> DataFrame:
     """Add ``fold`` in [0, k): each user's rows shuffled by a seeded hash, dealt round robin.
 
     Per user the fold sizes differ by at most one; the start fold is offset by a
     user hash so small users do not all land in fold 0. The window is
     partitioned by user (one sort per user, no global order).
+    ``order="item"`` deals rows in item order with offset user_id (no hashing;
+    the rule the SQL oracles reproduce).
     """
-    w = Window.partitionBy(user).orderBy(F.xxhash64(F.lit(seed), F.col(user), F.col(item)), F.col(item))
-    offset = F.pmod(F.xxhash64(F.lit(seed + 1), F.col(user)), F.lit(k))
+    if order == "item":
+        w = Window.partitionBy(user).orderBy(F.col(item))
+        offset = F.col(user)
+    else:
+        w = Window.partitionBy(user).orderBy(F.xxhash64(F.lit(seed), F.col(user), F.col(item)), F.col(item))
+        offset = F.pmod(F.xxhash64(F.lit(seed + 1), F.col(user)), F.lit(k))
     return r.withColumn("fold", F.pmod(F.row_number().over(w) - 1 + offset, F.lit(k)).cast("int"))
 
 
