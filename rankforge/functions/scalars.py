@@ -113,8 +113,8 @@ def query_rules(text: Column | str) -> Column:
     before = F.regexp_extract(t, r"\bbefore\s+(\d{4})\b", 1)
     recent = t.rlike(r"\brecent\b")
     dec_start = F.when(dec4 != "", dec4.cast("int")).when(dec != "", F.lit(1900) + dec.cast("int"))
-    genres = F.filter(F.array(*[F.lit(g) for g in GENRE_VOCAB]),
-                      lambda g: t.rlike(F.concat(F.lit(r"(^|[^a-z])"), F.lower(g), F.lit(r"($|[^a-z])"))))
+    genres = F.filter(F.array(*[F.when(t.rlike(r"(^|[^a-z])" + g.lower() + r"($|[^a-z])"), F.lit(g))
+                                for g in GENRE_VOCAB]), lambda g: g.isNotNull())
     return F.struct(
         F.when(uid != "", uid.cast("bigint")).alias("user_id"),
         F.coalesce(F.when(n_top != "", n_top.cast("int")), F.when(n_give != "", n_give.cast("int")),
@@ -226,9 +226,10 @@ PARSED_QUERY_SCHEMA = (
 def safe_parse(js: Column | str) -> Column:
     """Parse a parsed-query JSON string; a one-key wrapper object is unwrapped; bad JSON -> null."""
     j = F.trim(_c(js))
-    keys = F.json_object_keys(j)
-    one = (F.size(keys) == 1) & F.get_json_object(j, F.concat(F.lit("$."), keys[0])).startswith("{")
-    inner = F.when(one, F.get_json_object(j, F.concat(F.lit("$."), keys[0]))).otherwise(j)
+    m = F.from_json(j, "map<string,string>")
+    first = F.element_at(F.map_values(m), 1)
+    one = (F.size(m) == 1) & F.ltrim(first).startswith("{")
+    inner = F.when(one, first).otherwise(j)
     return F.from_json(inner, PARSED_QUERY_SCHEMA)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 # Accent folding pairs (accented -> plain), used by the TF-IDF tokenizer.
 ACCENTED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿ"
 PLAIN = "aaaaaaceeeeiiiinooooouuuuyy"
+WORD_RUN = r"[\p{L}\p{N}_]{2,}"
 
 
 def _c(col: Column | str) -> Column:
@@ -24,12 +25,13 @@ def tokenize_keyword(col: Column | str) -> Column:
 
 # ---------------------------------------------------------------- FN-4
 def tokenize_tfidf(col: Column | str, stop_words: list[str] | None = None, strip_accents: bool = False) -> Column:
-    """Vectoriser tokens: lower-case, words of two or more word characters (``\\b\\w\\w+\\b``),
+    """Vectoriser tokens: lower-case, maximal runs of two or more Unicode word characters
+    (letters, numbers, underscore: what ``\\b\\w\\w+\\b`` matches with Unicode ``\\w``),
     optional accent folding and stop-word removal (a list the caller supplies)."""
     s = F.lower(_c(col))
     if strip_accents:
         s = F.translate(s, ACCENTED, PLAIN)
-    toks = F.regexp_extract_all(s, F.lit(r"(?U)\b\w\w+\b"), 0)
+    toks = F.regexp_extract_all(s, F.lit(WORD_RUN), 0)
     if stop_words:
         stops = F.array(*[F.lit(w) for w in stop_words])
         toks = F.filter(toks, lambda x: ~F.array_contains(stops, x))
