@@ -132,6 +132,23 @@ def full_ranks(scores: DataFrame, seen: DataFrame, relevant: DataFrame, catalogu
     return r.select("user_id", "item_id", (F.col("_a") + b + 1).cast("long").alias("rank"))
 
 
+def full_ranks_prior(prior: DataFrame, seen: DataFrame, relevant: DataFrame) -> DataFrame:
+    """Exact full-catalogue ranks when every item scores ``prior[item]`` for every user.
+
+    rank(u, i) = position of i in the catalogue order (score desc, id asc) minus the
+    number of u's seen items ahead of it: one distributed global order plus one
+    window over each user's own seen and relevant rows (no users x items rows)."""
+    order = global_row_number(prior.select("item_id", "score"), [F.col("score").desc(), F.col("item_id").asc()],
+                              out="_pos")
+    rows = (seen.select("user_id", "item_id", F.lit(1).alias("_s"))
+            .unionByName(relevant.select("user_id", "item_id", F.lit(0).alias("_s")))
+            .join(relevant.select("user_id").distinct(), "user_id", "left_semi")
+            .join(order, "item_id"))
+    w = Window.partitionBy("user_id").orderBy("_pos").rowsBetween(Window.unboundedPreceding, -1)
+    r = rows.withColumn("_ahead", F.coalesce(F.sum("_s").over(w), F.lit(0)))
+    return r.where(F.col("_s") == 0).select("user_id", "item_id", (F.col("_pos") - F.col("_ahead")).cast("long").alias("rank"))
+
+
 def per_user_full(ranks: DataFrame) -> DataFrame:
     """AP (full) and nDCG (full) per user from the exact ranks of all relevant items."""
     w = Window.partitionBy("user_id").orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)

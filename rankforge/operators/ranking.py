@@ -116,3 +116,23 @@ def engine_ranks(df: DataFrame, group: str = "query_id", engine: str = "engine",
     """Distinct rank per (query, engine), 1-based, the input of rank fusion."""
     d = df.groupBy(group, engine, item).agg(F.max(score).alias(score))
     return full_rank(d, [group, engine], score, item)
+
+
+# ---------------------------------------------------------------- dense item prior top-k
+def top_k_prior(prior: DataFrame, users: DataFrame, exclude: DataFrame, k: int, score: str = "score",
+                item: str = "item_id", user: str = "user_id") -> DataFrame:
+    """Exact top-k per user when every unseen item scores ``prior[item]`` (a popularity list).
+
+    Items get one distributed global position by (score desc, item asc). A user
+    with e excluded items needs at most the first k + e positions, so each user
+    expands exactly that many positions (work proportional to k plus its own
+    excluded rows), drops its excluded items and keeps the first k.
+    """
+    order = global_row_number(prior.select(item, score), [F.col(score).desc(), F.col(item).asc()], out="_pos")
+    n_ex = exclude.select(user, item).distinct().groupBy(user).agg(F.count(F.lit(1)).alias("_e"))
+    need = users.select(user).distinct().join(n_ex, user, "left").fillna(0, ["_e"])
+    pos = need.select(user, F.explode(F.sequence(F.lit(1), F.col("_e") + F.lit(int(k)))).alias("_pos"))
+    cand = pos.join(order, "_pos").join(exclude.select(user, item), [user, item], "left_anti")
+    w = Window.partitionBy(user).orderBy("_pos")
+    return (cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+            .select(user, item, score, "rank"))
