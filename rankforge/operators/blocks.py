@@ -77,7 +77,7 @@ VEC = T.ArrayType(T.DoubleType())
 def block_pair_topk(left: DataFrame, right: DataFrame, k: int, scorer, left_id: str = "user_id",
                     right_id: str = "item_id", left_payload: str = "vector", right_payload: str = "vector",
                     pairs: dict[str, DataFrame] | None = None, exclude: DataFrame | None = None,
-                    block: int = 2048, out_score: str = "score") -> DataFrame:
+                    block: int = 2048, out_score: str = "score", round_digits: int | None = None) -> DataFrame:
     """Exact top-k right rows per left row of ``scorer(L, R, P)``, computed block pair by block pair.
 
     left/right carry an ``array<double>`` payload per row. ``pairs`` are sparse
@@ -139,6 +139,8 @@ def block_pair_topk(left: DataFrame, right: DataFrame, k: int, scorer, left_id:
                 np.add.at(M, (lp[ok], rp[ok]), sub["_val"].to_numpy(np.float64)[ok])
             mats[name] = M
         S = np.asarray(scorer(A, Bm, mats), dtype=np.float64)
+        if round_digits is not None:
+            S = np.round(S, round_digits)
         ex = pdf[pdf["_kind"] == 2]
         if len(ex):
             lp = lix.get_indexer(ex["_lid"].to_numpy(np.int64))
@@ -180,12 +182,13 @@ def dot_scorer(metric: str = "dot"):
 
 def block_topk(left: DataFrame, right: DataFrame, k: int, left_id: str = "user_id",
                right_id: str = "item_id", vector: str = "vector", exclude: DataFrame | None = None,
-               block: int = 2048, out_score: str = "score", metric: str = "dot") -> DataFrame:
+               block: int = 2048, out_score: str = "score", metric: str = "dot",
+               round_digits: int | None = None) -> DataFrame:
     """Exact top-k right rows per left row by dot product, cosine, or negative L2 distance
     (``metric='l2'``: higher is closer). ``exclude`` pairs (e.g. seen items) are masked
     inside their block pair, so k eligible rows survive per left row whenever k exist."""
     return block_pair_topk(left, right, k, dot_scorer(metric), left_id, right_id, vector, vector,
-                           exclude=exclude, block=block, out_score=out_score)
+                           exclude=exclude, block=block, out_score=out_score, round_digits=round_digits)
 
 
 # ---------------------------------------------------------------- local ridge (M-1 core)

@@ -57,9 +57,18 @@ def bm25_index(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> B
 
 # ---------------------------------------------------------------- RT-2
 def bm25_search(index: BM25Index, queries: DataFrame, k: int, text: str = "text", query_id: str = "query_id",
-                k1: float = BM25_K1, b: float = BM25_B) -> DataFrame:
+                k1: float = BM25_K1, b: float = BM25_B, round_digits: int | None = None) -> DataFrame:
     """(query_id, doc_id, score, rank): Okapi score summed over query tokens (a repeated
     token counts each time), only score > 0, top-k by score then doc id."""
+    s = bm25_scores(index, queries, text, query_id, k1, b)
+    if round_digits is not None:
+        s = s.withColumn("score", F.round("score", round_digits))
+    return top_k(s, k, "query_id", "score", "doc_id")
+
+
+def bm25_scores(index: BM25Index, queries: DataFrame, text: str = "text", query_id: str = "query_id",
+                k1: float = BM25_K1, b: float = BM25_B) -> DataFrame:
+    """(query_id, doc_id, score) for every document sharing a token with the query, score > 0."""
     qt = (queries.select(F.col(query_id).alias("query_id"), F.explode(tokenize_keyword(F.col(text))).alias("term"))
           .groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("_qf")))
     p = (qt.join(index.terms.select("term", "idf"), "term")
@@ -68,19 +77,19 @@ def bm25_search(index: BM25Index, queries: DataFrame, k: int, text: str = "text"
          .crossJoin(F.broadcast(index.corpus.select("avgdl"))))
     tf = F.col("tf")
     part = F.col("_qf") * F.col("idf") * (tf * (k1 + 1)) / (tf + k1 * (1 - b + b * F.col("dl") / F.col("avgdl")))
-    s = p.groupBy("query_id", "doc_id").agg(F.sum(part).alias("score")).where(F.col("score") > 0)
-    return top_k(s, k, "query_id", "score", "doc_id")
+    return p.groupBy("query_id", "doc_id").agg(F.sum(part).alias("score")).where(F.col("score") > 0)
 
 
 # ---------------------------------------------------------------- RT-3
 def dense_search(queries: DataFrame, vectors: DataFrame, k: int, metric: str = "cosine",
                  query_id: str = "query_id", doc_id: str = "doc_id", exclude: DataFrame | None = None,
-                 block: int = 2048) -> DataFrame:
+                 block: int = 2048, round_digits: int | None = None) -> DataFrame:
     """(query_id, doc_id, score, rank): exact nearest neighbours. Scores are
     similarities (higher = closer): cosine, dot, or negative L2 distance for 'l2'."""
     q = queries.select(F.col(query_id).alias("query_id"), "vector")
     v = vectors.select(F.col(doc_id).alias("doc_id"), "vector")
-    return block_topk(q, v, k, "query_id", "doc_id", "vector", exclude=exclude, block=block, metric=metric)
+    return block_topk(q, v, k, "query_id", "doc_id", "vector", exclude=exclude, block=block, metric=metric,
+                      round_digits=round_digits)
 
 
 # ---------------------------------------------------------------- RT-4
@@ -91,23 +100,26 @@ def distance_to_similarity(results: DataFrame, group: str = "query_id", distance
 
 # ---------------------------------------------------------------- RT-5
 def hybrid_search(index: BM25Index, queries: DataFrame, vectors: DataFrame, alpha: float | str,
-                  top_k_: int = HYBRID_TOP_K, candidate_k: int = HYBRID_CANDIDATE_K, text: str = "text") -> DataFrame:
+                  top_k_: int = HYBRID_TOP_K, candidate_k: int = HYBRID_CANDIDATE_K, text: str = "text",
+                  round_digits: int | None = None) -> DataFrame:
     """Keyword top candidate_k and dense top candidate_k per query, weighted RRF
     ((1-alpha) keyword, alpha dense), best ``top_k_``. ``alpha`` may name a column of
     ``queries``. Returns (query_id, doc_id, score, rank)."""
-    kw = bm25_search(index, queries, candidate_k, text)
-    de = dense_search(queries, vectors, candidate_k)
+    kw = bm25_search(index, queries, candidate_k, text, round_digits=round_digits)
+    de = dense_search(queries.where(F.col("vector").isNotNull()), vectors, candidate_k, round_digits=round_digits)
     if isinstance(alpha, str):
         al = queries.select("query_id", alpha)
         kw, de = kw.join(al, "query_id"), de.join(al, "query_id")
     fused = rrf(kw, de, alpha, "query_id", "doc_id")
+    if round_digits is not None:
+        fused = fused.withColumn("score", F.round("score", round_digits))
     return top_k(fused, top_k_, "query_id", "score", "doc_id")
 
 
 # ---------------------------------------------------------------- RT-6
 def filtered_dense_search(queries: DataFrame, vectors: DataFrame, docs_meta: DataFrame, k: int,
                           pre_filter: Column | None = None, post_filter: Column | None = None,
-                          metric: str = "cosine") -> DataFrame:
+                          metric: str = "cosine", round_digits: int | None = None) -> DataFrame:
     """Pre-filter documents (e.g. director equality) before the exact search, post-filter
     (e.g. genre overlap) after it. With an exact search the pre-filter loses nothing; the
     post-filter needs the over-fetched budget max(3k, 30)."""
@@ -117,7 +129,7 @@ def filtered_dense_search(queries: DataFrame, vectors: DataFrame, docs_meta: Dat
     if pre_filter is not None:
         v = v.where(pre_filter)
     r = dense_search(queries, v.select("doc_id", "vector"), over_fetch(k, "filter") if post_filter is not None else k,
-                     metric)
+                     metric, round_digits=round_digits)
     if post_filter is not None:
         r = r.join(docs_meta, "doc_id").where(post_filter).drop("rank")
         r = top_k(r, k, "query_id", "score", "doc_id")
@@ -126,14 +138,16 @@ def filtered_dense_search(queries: DataFrame, vectors: DataFrame, docs_meta: Dat
 
 # ---------------------------------------------------------------- RT-7
 def candidate_pool(index: BM25Index, hyde: DataFrame, subs: DataFrame, vectors: DataFrame,
-                   candidate_k: int = 30) -> DataFrame:
+                   candidate_k: int = 30, round_digits: int | None = None) -> DataFrame:
     """Hybrid search for the hypothetical text at alpha 0.75 and for each sub-query at its own
     alpha (rows of ``subs``: query_id, sub_id, text, vector, alpha), merged by max score per doc."""
-    h = hybrid_search(index, hyde.withColumn("_alpha", F.lit(HYDE_ALPHA)), vectors, "_alpha", candidate_k)
-    s = subs.select(F.concat_ws("#", F.col("query_id").cast("string"), F.col("sub_id").cast("string")).alias("_qid"),
+    h = hybrid_search(index, hyde.withColumn("_alpha", F.lit(HYDE_ALPHA)), vectors, "_alpha", candidate_k,
+                      round_digits=round_digits)
+    # Numeric composite id (query, sub-query) so the dense kernel keeps long ids; sub_id < 16.
+    s = subs.select((F.col("query_id").cast("long") * 16 + F.col("sub_id")).alias("_qid"),
                     "query_id", "text", "vector", "alpha")
     sr = hybrid_search(index, s.select(F.col("_qid").alias("query_id"), "text", "vector", "alpha"),
-                       vectors, "alpha", candidate_k)
+                       vectors, "alpha", candidate_k, round_digits=round_digits)
     sr = sr.join(s.select(F.col("_qid").alias("query_id"), F.col("query_id").alias("_orig")), "query_id") \
         .select(F.col("_orig").alias("query_id"), "doc_id", "score")
     return union_max([h.select("query_id", "doc_id", "score"), sr], ["query_id", "doc_id"])
