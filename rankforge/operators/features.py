@@ -93,39 +93,25 @@ def tfidf(docs: DataFrame, text_col: str, item: str = "item_id", max_features: i
 
 # ---------------------------------------------------------------- FE-4
 def truncated_svd(long_df: DataFrame, k: int, item: str = "item_id", feature: str = "term",
-                  value: str = "value") -> tuple[DataFrame, DataFrame]:
+                  value: str = "value", iters: int = 6, seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """Rank-k SVD of the item x feature matrix: (item, factors = U * sigma) and
     (component, singular_value, explained_variance_ratio).
 
-    k is capped at n_features - 1. Uses ``RowMatrix.computeSVD`` (distributed
-    rows; the feature Gram is features x features, so the vocabulary must be
-    capped). Signs follow the largest-magnitude loading of each right singular
-    vector being positive."""
-    from pyspark.mllib.linalg import Vectors
-    from pyspark.mllib.linalg.distributed import IndexedRow, IndexedRowMatrix
+    k is capped at n_features - 1. Randomized subspace iteration on the long
+    table (``operators.linalg``): no densified matrix, only k x k on the driver.
+    Signs: each component's largest-magnitude feature loading is positive."""
+    from rankforge.operators.linalg import randomized_svd
 
-    vocab = long_df.select(F.col(feature).alias("feature")).distinct()
-    vocab = global_row_number(vocab, [F.col("feature").asc()], out="idx").withColumn("idx", F.col("idx") - 1)
-    nf = vocab.count()
+    nf = long_df.select(feature).distinct().count()
     kk = int(max(1, min(k, nf - 1)))
-    rows = (long_df.join(vocab.withColumnRenamed("feature", feature), feature)
-            .groupBy(item).agg(F.collect_list(F.struct("idx", value)).alias("_e")))
-    rdd = rows.rdd.map(lambda r: IndexedRow(int(r[0]), Vectors.sparse(
-        nf, sorted((int(e[0]), float(e[1])) for e in r[1]))))
-    mat = IndexedRowMatrix(rdd)
-    svd = mat.computeSVD(kk, computeU=True)
-    s = np.array(svd.s.toArray())
-    V = np.array(svd.V.toArray())
-    signs = np.sign(V[np.argmax(np.abs(V), axis=0), np.arange(V.shape[1])])
-    signs[signs == 0] = 1.0
-    sig = [float(x) for x in s * 1.0]
-    sg = [float(x) for x in signs]
     spark = long_df.sparkSession
-    U = svd.U.rows.map(lambda r: (int(r.index), [float(u) * sig[i] * sg[i] for i, u in enumerate(r.vector.toArray())]))
-    factors = spark.createDataFrame(U, f"{item} long, factors array<double>")
-    # explained variance ratio over total variance of the (centered) columns
+    u, sig, _ = randomized_svd(long_df.select(F.col(item).alias("row"), F.col(feature).alias("col"),
+                                              F.col(value).alias("val")), kk, iters=iters, seed=seed)
+    sl = F.array(*[F.lit(float(x)) for x in sig])
+    factors = u.select(F.col("row").alias(item), F.zip_with("vector", sl, lambda a, b: a * b).alias("factors"))
+    n_items = long_df.select(item).distinct().agg(F.count(F.lit(1)).alias("_n"))
     tot = (long_df.groupBy(feature).agg(F.sum(value).alias("_s"), F.sum(F.col(value) ** 2).alias("_s2"))
-           .crossJoin(F.broadcast(long_df.select(item).distinct().agg(F.count(F.lit(1)).alias("_n"))))
+           .crossJoin(F.broadcast(n_items))
            .agg(F.sum(F.col("_s2") / F.col("_n") - (F.col("_s") / F.col("_n")) ** 2).alias("_tv")))
     comp = spark.createDataFrame([(i, sig[i]) for i in range(len(sig))], "component int, singular_value double")
     fac_var = (factors.select(F.posexplode("factors").alias("component", "_f"))

@@ -17,6 +17,7 @@ from rankforge.operators import prep, ranking
 from rankforge.operators.models import knn
 from rankforge.plans.registry import register, rscore
 from rankforge.plans.sqlparts import FOLDED, INTERACTIONS, rs, with_, wrap
+from rankforge.session import cut_lineage
 from rankforge.sources import tables as tb
 
 K = 10
@@ -24,7 +25,9 @@ K = 10
 
 # ---------------------------------------------------------------- Spark side helpers
 def folds(spark, sf_dir):
-    return prep.stratified_folds(tb.interactions(spark, sf_dir), 5, order="item")
+    """Folded interactions, checkpointed (reliably, in the shared checkpoint directory):
+    every model and metric below reads them several times."""
+    return cut_lineage(prep.stratified_folds(tb.interactions(spark, sf_dir), 5, order="item"))
 
 
 def split(spark, sf_dir, fold: int = 0):
