@@ -37,9 +37,9 @@ def full_rank(df: DataFrame, group: str | list[str] = "user_id", score: str = "s
 # ---------------------------------------------------------------- W-9
 def rank_of(ranked: DataFrame, pairs: DataFrame, group: str = "user_id", item: str = "item_id",
             rank_col: str = "rank") -> DataFrame:
-    """Rank of each requested (user, item) among the ranked rows; -1 when absent."""
-    r = ranked.select(group, item, rank_col)
-    return (pairs.join(r, [group, item], "left")
+    """Rank (and the ranked row's other columns) of each requested (user, item); rank -1 when absent."""
+    r = ranked
+    return (pairs.select(group, item).join(r, [group, item], "left")
             .withColumn(rank_col, F.coalesce(F.col(rank_col), F.lit(-1))))
 
 
