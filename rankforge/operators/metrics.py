@@ -33,19 +33,24 @@ def _idcg(n: Column) -> Column:
 
 
 def per_user_at_k(topk: DataFrame, relevant: DataFrame, k: int = 10,
-                  item_stats: DataFrame | None = None, ap_variant: str = "standard") -> DataFrame:
+                  item_stats: DataFrame | None = None, ap_variant: str = "standard",
+                  by: list[str] | None = None) -> DataFrame:
     """One row per evaluated user: ap, ndcg, precision, recall, hit, n_rel, n_hits
     (+ serendipity and novelty when ``item_stats`` (item_id, pop_ratio) is given).
 
-    ``ap_variant='hits'`` divides the AP sum by the hits found (EV-11).
+    ``ap_variant='hits'`` divides the AP sum by the hits found (EV-11). ``by`` adds
+    grouping columns present in both inputs (e.g. a sweep parameter), so a whole
+    parameter grid is evaluated in one plan.
     """
-    rel = relevant.select("user_id", "item_id", F.lit(1).alias("_hit"))
-    n_rel = rel.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_rel"))
-    t = topk.where(F.col("rank") <= k).select("user_id", "item_id", "rank").join(n_rel, "user_id")
-    t = t.join(rel, ["user_id", "item_id"], "left").fillna(0, ["_hit"])
+    by = list(by or [])
+    keys = by + ["user_id"]
+    rel = relevant.select(*keys, "item_id", F.lit(1).alias("_hit"))
+    n_rel = rel.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rel"))
+    t = topk.where(F.col("rank") <= k).select(*keys, "item_id", "rank").join(n_rel, keys)
+    t = t.join(rel, keys + ["item_id"], "left").fillna(0, ["_hit"])
     if item_stats is not None:
         t = t.join(item_stats.select("item_id", "pop_ratio"), "item_id", "left").fillna(0.0, ["pop_ratio"])
-    w = Window.partitionBy("user_id").orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
+    w = Window.partitionBy(*keys).orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
     t = t.withColumn("_cum", F.sum("_hit").over(w))
     aggs = [
         F.sum(F.when(F.col("_hit") == 1, F.col("_cum") / F.col("rank"))).alias("_apsum"),
@@ -55,12 +60,12 @@ def per_user_at_k(topk: DataFrame, relevant: DataFrame, k: int = 10,
     if item_stats is not None:
         aggs += [F.sum(F.col("_hit") * (F.lit(1.0) - F.col("pop_ratio"))).alias("_ser"),
                  F.avg(self_information(F.col("pop_ratio"))).alias("novelty")]
-    per = t.groupBy("user_id").agg(*aggs)
-    per = n_rel.join(per, "user_id", "left").fillna(0, ["n_hits"])
+    per = t.groupBy(*keys).agg(*aggs)
+    per = n_rel.join(per, keys, "left").fillna(0, ["n_hits"])
     denom = F.least(F.col("n_rel"), F.lit(k)).cast("double")
     ap_den = F.col("n_hits").cast("double") if ap_variant == "hits" else denom
     cols = [
-        "user_id", "n_rel", F.col("n_hits").cast("long").alias("n_hits"),
+        *keys, "n_rel", F.col("n_hits").cast("long").alias("n_hits"),
         F.when(F.col("n_hits") > 0, F.col("_apsum") / ap_den).otherwise(F.lit(0.0)).alias("ap"),
         F.coalesce(F.col("_dcg") / _idcg(F.least(F.col("n_rel"), F.lit(k))), F.lit(0.0)).alias("ndcg"),
         (F.col("n_hits") / F.lit(float(k))).alias("precision"),
@@ -72,14 +77,15 @@ def per_user_at_k(topk: DataFrame, relevant: DataFrame, k: int = 10,
     return per.select(*cols)
 
 
-def summarize_at_k(per_user: DataFrame, k: int = 10) -> DataFrame:
-    """Means over evaluated users (one row)."""
+def summarize_at_k(per_user: DataFrame, k: int = 10, by: list[str] | None = None) -> DataFrame:
+    """Means over evaluated users (one row, or one per ``by`` group)."""
     names = [c for c in ("ap", "ndcg", "precision", "recall", "hit", "serendipity", "novelty")
              if c in per_user.columns]
     label = {"ap": f"map_at_{k}", "ndcg": f"ndcg_at_{k}", "precision": f"precision_at_{k}",
              "recall": f"recall_at_{k}", "hit": f"hit_rate_at_{k}", "serendipity": "serendipity",
              "novelty": "novelty"}
-    return per_user.agg(F.count(F.lit(1)).alias("n_users"), *[F.avg(c).alias(label[c]) for c in names])
+    aggs = [F.count(F.lit(1)).alias("n_users"), *[F.avg(c).alias(label[c]) for c in names]]
+    return per_user.groupBy(*by).agg(*aggs) if by else per_user.agg(*aggs)
 
 
 # ---------------------------------------------------------------- EV-2 / EV-4 support

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from rankforge.plans import q_core, q_features, q_functions, q_fusion, q_metrics, q_models, q_pipelines, q_prep, q_retrieval, q_sources  # noqa: F401
+from rankforge.plans import q_core, q_features, q_functions, q_fusion, q_metrics, q_models, q_pipelines, q_prep, q_retrieval, q_sources, q_tuning  # noqa: F401
 from rankforge.plans.registry import REGISTRY
 
 
