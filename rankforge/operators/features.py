@@ -16,6 +16,7 @@ from rankforge.functions.text import char_ngrams, tokenize_tfidf
 from rankforge.operators.ranking import global_row_number
 
 EPS = 1e-8
+GRAM_SVD_MAX_FEATURES = 4096    # feature Gram (c x c) small enough for an exact driver-side eigen
 NUMERIC_BINS = 5               # fixed value: percentile bins per numeric column
 TOP_LANGUAGES = 10             # fixed value
 
@@ -100,13 +101,17 @@ def truncated_svd(long_df: DataFrame, k: int, item: str = "item_id", feature: st
     k is capped at n_features - 1. Randomized subspace iteration on the long
     table (``operators.linalg``): no densified matrix, only k x k on the driver.
     Signs: each component's largest-magnitude feature loading is positive."""
-    from rankforge.operators.linalg import randomized_svd
+    from rankforge.operators.linalg import gram_svd, randomized_svd
 
     nf = long_df.select(feature).distinct().count()
     kk = int(max(1, min(k, nf - 1)))
     spark = long_df.sparkSession
-    u, sig, _ = randomized_svd(long_df.select(F.col(item).alias("row"), F.col(feature).alias("col"),
-                                              F.col(value).alias("val")), kk, iters=iters, seed=seed)
+    ent = long_df.select(F.col(item).alias("row"), F.col(feature).alias("col"), F.col(value).alias("val"))
+    # A capped vocabulary keeps the feature Gram small: exact eigen route; otherwise randomized.
+    if nf <= GRAM_SVD_MAX_FEATURES:
+        u, sig, _ = gram_svd(ent, kk)
+    else:
+        u, sig, _ = randomized_svd(ent, kk, iters=iters, seed=seed)
     sl = F.array(*[F.lit(float(x)) for x in sig])
     factors = u.select(F.col("row").alias(item), F.zip_with("vector", sl, lambda a, b: a * b).alias("factors"))
     n_items = long_df.select(item).distinct().agg(F.count(F.lit(1)).alias("_n"))
@@ -278,3 +283,68 @@ def label_encode(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
     codes = global_row_number(df.select(col).distinct(), [F.col(col).asc()], out="_code")
     return df.join(codes, col, "left").withColumn(
         out or f"{col}_code", (F.col("_code") - 1).cast("int")).drop("_code")
+
+
+# ---------------------------------------------------------------- FE-14 .. FE-17 compositions
+def _svd_block(long_df: DataFrame, k: int, item: str, feature: str, items: DataFrame) -> DataFrame:
+    """Rank-k SVD factors of a long (item, feature, value) table as a dense block (missing items = zeros)."""
+    f, _ = truncated_svd(long_df.select(item, F.col(feature).cast("string").alias("term"), "value")
+                         .withColumnRenamed(item, "item_id"), k)
+    w = F.size("factors")
+    return items.select("item_id").join(f, "item_id", "left").select(
+        "item_id", F.coalesce("factors", F.array_repeat(F.lit(0.0), F.lit(k))).alias("vector"))
+
+
+def content_vector_79(meta: DataFrame, numeric: list[str]) -> DataFrame:
+    """FE-14: genre multi-hot | overview TF-IDF(100, min_df 2) -> SVD 32 | keywords TF-IDF(50) -> SVD 8 |
+    director char 2-3-grams TF-IDF(30) -> SVD 4 | cast char n-grams -> SVD 4 | log1p-z numerics; L2 per item."""
+    mh = multi_hot(meta, "genres", "genre")
+    genre = to_dense(mh, vocabulary(mh), items=meta)
+    ov = tfidf(meta, "overview", max_features=100, min_df=2)
+    kw = tfidf(meta.withColumn("_kw", F.array_join(F.slice(F.coalesce("movie_keywords", F.array()), 1, 20), " ")),
+               "_kw", max_features=50)
+    di = tfidf(meta, "director", max_features=30, analyzer="char")
+    ca = tfidf(meta.withColumn("_cast", F.array_join(F.coalesce("top_cast", F.array()), " ")), "_cast",
+               max_features=30, analyzer="char")
+    blocks = [(genre, 1.0), (_svd_block(ov, 32, "item_id", "term", meta), 1.0),
+              (_svd_block(kw, 8, "item_id", "term", meta), 1.0), (_svd_block(di, 4, "item_id", "term", meta), 1.0),
+              (_svd_block(ca, 4, "item_id", "term", meta), 1.0),
+              (numeric_block(log_zscore(meta, numeric), numeric), 1.0)]
+    return weighted_blocks(blocks)
+
+
+def content_vector_bins(meta: DataFrame, numeric: list[str], year: str = "year", language: str | None = None) -> DataFrame:
+    """FE-15: genre multi-hot | percentile-bin one-hot numerics | era one-hot (| top-10 language + other);
+    L2 per item, dense over the sorted vocabulary of all these tags."""
+    parts = [multi_hot(meta, "genres", "genre"), percentile_bins(meta, numeric), era_one_hot(meta, year)]
+    if language:
+        parts.append(top_value_one_hot(meta, language))
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    return weighted_blocks([(to_dense(u, vocabulary(u), items=meta), 1.0)])
+
+
+def content_vector_svd(meta: DataFrame, list_cols: list[str], numeric: list[str], k: int = 100,
+                       min_df: int = 2) -> DataFrame:
+    """FE-16: SVD-k of the binary multi-hot of several list fields (min_df) | min-max numerics; L2 per item."""
+    long = None
+    for c in list_cols:
+        b = binary_counts(meta, c, min_df, prefix=c)
+        long = b if long is None else long.unionByName(b)
+    n_feat = long.select("feature").distinct().count()
+    svd = _svd_block(long, int(max(1, min(k, n_feat - 1))), "item_id", "feature", meta)
+    return weighted_blocks([(svd, 1.0), (numeric_block(minmax_scale(meta, numeric), numeric), 1.0)])
+
+
+def content_vector_phi(meta: DataFrame, text_vectors: DataFrame, numeric: list[str], k_genre: int = 16) -> DataFrame:
+    """FE-17: supplied text vector | genre multi-hot SVD-16 | min-max numerics (each block as is, no L2)."""
+    mh = multi_hot(meta, "genres", "genre")
+    n_feat = mh.select("feature").distinct().count()
+    g = _svd_block(mh, int(max(1, min(k_genre, n_feat - 1))), "item_id", "feature", meta)
+    tv = meta.select("item_id").join(text_vectors.select("item_id", "vector"), "item_id", "left")
+    width = text_vectors.select(F.max(F.size("vector"))).first()[0] or 0
+    tv = tv.select("item_id", F.coalesce("vector", F.array_repeat(F.lit(0.0), F.lit(width))).cast("array<double>").alias("_t"))
+    nb = numeric_block(minmax_scale(meta, numeric), numeric).withColumnRenamed("vector", "_n")
+    return (tv.join(g.withColumnRenamed("vector", "_g"), "item_id").join(nb, "item_id")
+            .select("item_id", F.concat("_t", "_g", "_n").alias("vector")))

@@ -242,3 +242,41 @@ def q_fu04b(spark, sf_dir):
     users = ev.relevant_items(test).select("user_id").distinct()
     return hybrid.l2_fusion_topk(cf, g, pop, train.select("user_id", "item_id"), users, tb.items(spark, sf_dir),
                                  0.6, 0.3, 0.1, k=10)
+
+
+def _meta_num(spark, sf_dir):
+    from rankforge.plans.q_sources import item_meta
+
+    m = item_meta(spark, sf_dir).withColumn("vote_count", F.coalesce(F.col("vote_count"), F.lit(0)).cast("double")) \
+        .withColumn("vote_average", F.coalesce("vote_average", F.lit(0.0)))
+    return m
+
+
+@register("fe14_content_vector_79")
+def q_fe14(spark, sf_dir):
+    """FE-14: 79-d-style content vector (genres | overview SVD 32 | keywords SVD 8 | director SVD 4 |
+    cast SVD 4 | log-z numerics), L2 per item (rows check; blocks unit-tested)."""
+    v = fe.content_vector_79(_meta_num(spark, sf_dir), ["vote_average", "vote_count", "popularity", "runtime"])
+    return v.select("item_id", F.size("vector").alias("dim"))
+
+
+@register("fe15_content_vector_bins")
+def q_fe15(spark, sf_dir):
+    """FE-15: genres | percentile-bin numerics | era one-hot, dense and L2 per item (rows check)."""
+    v = fe.content_vector_bins(_meta_num(spark, sf_dir), ["vote_average", "vote_count", "popularity"])
+    return v.select("item_id", F.size("vector").alias("dim"))
+
+
+@register("fe16_content_vector_svd")
+def q_fe16(spark, sf_dir):
+    """FE-16: SVD of binary keywords / cast / genre multi-hot (min_df 2) + min-max numerics, L2 (rows check)."""
+    v = fe.content_vector_svd(_meta_num(spark, sf_dir), ["movie_keywords", "top_cast", "genres"],
+                              ["vote_average", "popularity"], k=20)
+    return v.select("item_id", F.size("vector").alias("dim"))
+
+
+@register("fe17_content_vector_phi")
+def q_fe17(spark, sf_dir):
+    """FE-17: supplied text vector (embeddings) | genre SVD | min-max numerics (rows check)."""
+    v = fe.content_vector_phi(_meta_num(spark, sf_dir), embed_vectors(spark, sf_dir), ["vote_average", "popularity"])
+    return v.select("item_id", F.size("vector").alias("dim"))

@@ -1 +1,6 @@
-"""rankforge.streaming"""
+"""rankforge.streaming: intentionally empty.
+
+The reference has no streaming, watermark, windowed or stateful operator: all
+inputs are read whole and models are retrained from scratch. Models here are
+batch Spark jobs whose outputs are tables (SRC-7); serving reads those tables.
+"""
