@@ -227,7 +227,7 @@ def safe_parse(js: Column | str) -> Column:
     """Parse a parsed-query JSON string; a one-key wrapper object is unwrapped; bad JSON -> null."""
     j = F.trim(_c(js))
     m = F.from_json(j, "map<string,string>")
-    first = F.element_at(F.map_values(m), 1)
+    first = F.try_element_at(F.map_values(m), F.lit(1))
     one = (F.size(m) == 1) & F.ltrim(first).startswith("{")
     inner = F.when(one, first).otherwise(j)
     return F.from_json(inner, PARSED_QUERY_SCHEMA)

@@ -41,7 +41,7 @@ def to_dense(long_df: DataFrame, vocab: DataFrame, item: str = "item_id", featur
         per = items.select(item).distinct().join(per, item, "left")
     per = per.crossJoin(F.broadcast(n))
     return per.select(item, F.transform(F.sequence(F.lit(0), F.col("_w") - 1),
-                                        lambda i: F.coalesce(F.element_at(F.col("_m"), i), F.lit(0.0)).cast("double")
+                                        lambda i: F.coalesce(F.try_element_at(F.col("_m"), i), F.lit(0.0)).cast("double")
                                         ).alias(out))
 
 
