@@ -9,7 +9,7 @@ materialising the matrix:
 * sparse arm: mean = sum / N, var = sum_sq / N - mean^2 (unscored items are 0);
 * content arm: mean = p . v_bar, E[s^2] = p^T C p / N with C = V^T V (d x d,
   aggregated per partition with NumPy and summed on the cluster);
-* percentile gate: exact ``percentile`` with a frequency column, each user's
+* percentile gate: exact distributed weighted selection (``ranking.weighted_quantile``), each user's
   implicit z value weighted by its number of unscored items.
 
 Scoring then runs in ``block_pair_topk``: each task scores one user block
@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rankforge.operators.blocks import block_pair_topk
+from rankforge.session import cut_lineage
 
 EPS = 1e-8
 
@@ -93,14 +94,17 @@ def sparse_stats(scores: DataFrame, n_items: DataFrame, prefix: str) -> DataFram
 
 def cf_percentile(cf: DataFrame, stats: DataFrame, users: DataFrame, n_items: DataFrame, perc: float) -> DataFrame:
     """One row (_gate): exact percentile (linear interpolation) of z(cf) over users x catalogue,
-    unscored items entering with their user's implicit z and a frequency."""
+    unscored items entering with their user's implicit z and a frequency. Computed by the
+    distributed weighted selection ``ranking.weighted_quantile`` (no single-task buffer)."""
+    from rankforge.operators.ranking import weighted_quantile
     z = cf.join(stats, "user_id").select(
         ((F.col("score") - F.col("cf_mu")) / (F.col("cf_sd") + F.lit(EPS))).alias("_z"), F.lit(1).alias("_f"))
     imp = (users.select("user_id").distinct().join(stats, "user_id", "left").crossJoin(F.broadcast(n_items))
            .select((-F.coalesce(F.col("cf_mu"), F.lit(0.0)) / (F.coalesce(F.col("cf_sd"), F.lit(0.0)) + F.lit(EPS)))
                    .alias("_z"), (F.col("_N") - F.coalesce(F.col("cf_n"), F.lit(0))).cast("long").alias("_f"))
            .where(F.col("_f") > 0))
-    return z.unionByName(imp).agg(F.percentile(F.col("_z"), F.lit(perc / 100.0), F.col("_f")).alias("_gate"))
+    gate = weighted_quantile(z.unionByName(imp), perc / 100.0, "_z", "_f")
+    return cf.sparkSession.createDataFrame([(float(gate),)], "_gate double")
 
 
 def gated_hybrid_topk(cf: DataFrame, seen: DataFrame, users: DataFrame, items: DataFrame,
@@ -112,6 +116,8 @@ def gated_hybrid_topk(cf: DataFrame, seen: DataFrame, users: DataFrame, items: D
 
     With ``embed_*`` None and beta 0 this is FU-2's w1*z(cf) + w2*z(content) (w1 = 1)."""
     n_items = items.select("item_id").distinct().agg(F.count(F.lit(1)).cast("double").alias("_N"))
+    # The sparse arm is read by the statistics, the gate and the kernel: materialise it once.
+    cf = cut_lineage(cf.select("user_id", "item_id", "score"))
     st = sparse_stats(cf, n_items, "cf")
     ss = content_stats(struct_profiles, struct_vectors, "st")
     u = users.select("user_id").distinct().join(st, "user_id", "left").join(ss, "user_id", "left")

@@ -8,6 +8,7 @@ shuffle, so only k rows per group and map task cross the network.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -136,3 +137,55 @@ def top_k_prior(prior: DataFrame, users: DataFrame, exclude: DataFrame, k: int,
     w = Window.partitionBy(user).orderBy("_pos")
     return (cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
             .select(user, item, score, "rank"))
+
+
+# ---------------------------------------------------------------- exact weighted quantile (AG-6)
+def weighted_quantile(df: DataFrame, q: float, value: str = "v", weight: str = "w",
+                      buckets: int = 1024, final_rows: int = 50000) -> float:
+    """Exact quantile with linear interpolation (the ``numpy.percentile`` rule) of a value
+    column where each row stands for ``weight`` copies.
+
+    Distributed selection: each pass aggregates the current value bracket into
+    ``buckets`` equal-width buckets (count, weight, min, max per bucket; at most
+    ``buckets`` rows reach the driver), keeps the bucket holding the target position,
+    and stops once the bracket has at most ``final_rows`` rows, which are collected.
+    No pass funnels the values through one task."""
+    d = df.select(F.col(value).cast("double").alias("_v"), F.col(weight).cast("double").alias("_w")) \
+        .where(F.col("_v").isNotNull() & (F.col("_w") > 0))
+    tot = d.agg(F.sum("_w").alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi")).first()
+    if tot is None or tot["n"] is None:
+        return float("nan")
+    pos = q * (tot["n"] - 1)
+    k0 = int(np.floor(pos))
+    frac = pos - k0
+
+    def value_at(idx: int) -> float:
+        lo, hi, below = tot["lo"], tot["hi"], 0.0
+        while True:
+            sub = d.where((F.col("_v") >= lo) & (F.col("_v") <= hi))
+            n_rows = sub.count()
+            if n_rows <= final_rows or lo == hi:
+                rows = sorted((r["_v"], r["_w"]) for r in sub.groupBy("_v").agg(F.sum("_w").alias("_w")).collect())
+                acc = below
+                for v, w in rows:
+                    acc += w
+                    if acc > idx:
+                        return float(v)
+                return float(rows[-1][0])
+            width = (hi - lo) / buckets
+            b = F.least(F.floor((F.col("_v") - F.lit(lo)) / F.lit(width)), F.lit(buckets - 1)).cast("int")
+            hist = sorted(sub.groupBy(b.alias("_b")).agg(F.sum("_w").alias("_w"), F.min("_v").alias("_lo"),
+                                                       F.max("_v").alias("_hi")).collect(), key=lambda r: r["_b"])
+            for r in hist:
+                if below + r["_w"] > idx:
+                    lo, hi = r["_lo"], r["_hi"]
+                    break
+                below += r["_w"]
+            else:
+                return float(hist[-1]["_hi"])
+
+    v0 = value_at(k0)
+    if frac == 0:
+        return v0
+    v1 = value_at(k0 + 1)
+    return v0 + frac * (v1 - v0)
