@@ -11,6 +11,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rankforge.operators.common import expand, with_scalars  # noqa: F401
+
 from rankforge.functions.scalars import era_bucket
 from rankforge.functions.text import char_ngrams, tokenize_tfidf
 from rankforge.operators.ranking import global_row_number
@@ -39,7 +41,7 @@ def to_dense(long_df: DataFrame, vocab: DataFrame, item: str = "item_id", featur
     per = j.groupBy(item).agg(F.map_from_entries(F.collect_list(F.struct("idx", value))).alias("_m"))
     if items is not None:
         per = items.select(item).distinct().join(per, item, "left")
-    per = per.crossJoin(F.broadcast(n))
+    per = with_scalars(per, n)
     return per.select(item, F.transform(F.sequence(F.lit(0), F.col("_w") - 1),
                                         lambda i: F.coalesce(F.try_element_at(F.col("_m"), i), F.lit(0.0)).cast("double")
                                         ).alias(out))
@@ -64,7 +66,7 @@ def select_vocabulary(tf: DataFrame, n_docs: DataFrame, max_features: int | None
     """(term, df, total): df within [min_df, max_df] (ints are counts, floats proportions),
     then the ``max_features`` terms with the highest total count (ties by term)."""
     st = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total"))
-    st = st.crossJoin(F.broadcast(n_docs))
+    st = with_scalars(st, n_docs)
     lo = F.lit(min_df) if isinstance(min_df, int) else F.ceil(F.lit(min_df) * F.col("_n"))
     hi = F.lit(max_df) if isinstance(max_df, int) else F.floor(F.lit(max_df) * F.col("_n"))
     st = st.where((F.col("df") >= lo) & (F.col("df") <= hi))
@@ -116,12 +118,12 @@ def truncated_svd(long_df: DataFrame, k: int, item: str = "item_id", feature: st
     factors = u.select(F.col("row").alias(item), F.zip_with("vector", sl, lambda a, b: a * b).alias("factors"))
     n_items = long_df.select(item).distinct().agg(F.count(F.lit(1)).alias("_n"))
     tot = (long_df.groupBy(feature).agg(F.sum(value).alias("_s"), F.sum(F.col(value) ** 2).alias("_s2"))
-           .crossJoin(F.broadcast(n_items))
+           .transform(lambda t: with_scalars(t, n_items))
            .agg(F.sum(F.col("_s2") / F.col("_n") - (F.col("_s") / F.col("_n")) ** 2).alias("_tv")))
     comp = spark.createDataFrame([(i, sig[i]) for i in range(len(sig))], "component int, singular_value double")
     fac_var = (factors.select(F.posexplode("factors").alias("component", "_f"))
                .groupBy("component").agg(F.var_pop("_f").alias("_var")))
-    comp = (comp.join(fac_var, "component").crossJoin(F.broadcast(tot))
+    comp = (with_scalars(comp.join(fac_var, "component"), tot)
             .select("component", "singular_value", (F.col("_var") / F.col("_tv")).alias("explained_variance_ratio")))
     return factors, comp
 
@@ -140,7 +142,7 @@ def log_zscore(items: DataFrame, cols: list[str], item: str = "item_id", fill: f
     """log1p(x, null -> fill) then z with population std + 1e-8, per column (one pass)."""
     logs = items.select(item, *[F.log1p(F.coalesce(F.col(c).cast("double"), F.lit(fill))).alias(c) for c in cols])
     st = logs.agg(*[F.avg(c).alias(f"_m_{c}") for c in cols], *[F.stddev_pop(c).alias(f"_s_{c}") for c in cols])
-    j = logs.crossJoin(F.broadcast(st))
+    j = with_scalars(logs, st)
     return j.select(item, *[((F.col(c) - F.col(f"_m_{c}")) / (F.col(f"_s_{c}") + F.lit(EPS))).alias(c) for c in cols])
 
 
@@ -148,7 +150,7 @@ def log_zscore(items: DataFrame, cols: list[str], item: str = "item_id", fill: f
 def minmax_scale(items: DataFrame, cols: list[str], item: str = "item_id") -> DataFrame:
     """(x - min) / (max - min) per column; constant columns -> 0."""
     st = items.agg(*[F.min(c).alias(f"_lo_{c}") for c in cols], *[F.max(c).alias(f"_hi_{c}") for c in cols])
-    j = items.crossJoin(F.broadcast(st))
+    j = with_scalars(items, st)
     out = []
     for c in cols:
         lo, hi = F.col(f"_lo_{c}"), F.col(f"_hi_{c}")
@@ -171,7 +173,7 @@ def percentile_bins(items: DataFrame, cols: list[str], bins: int = NUMERIC_BINS,
             F.percentile(F.col("_v"), F.array(*[F.lit(q) for q in qs])).alias("_all"),
             F.max(F.when(F.col("_v") > 0, 1).otherwise(0)).alias("_any"))
         edges = edges.select(F.when(F.col("_any") == 1, F.col("_pos")).otherwise(F.col("_all")).alias("_e"))
-        b = items.select(item, v.alias("_v")).crossJoin(F.broadcast(edges)).select(
+        b = with_scalars(items.select(item, v.alias("_v")), edges).select(
             item, F.size(F.filter("_e", lambda e: e <= F.col("_v"))).alias("_b"))
         part = b.select(item, F.concat(F.lit(f"{c}_bin_"), F.col("_b").cast("string")).alias("feature"),
                         F.lit(1.0).alias("value"))
@@ -266,7 +268,7 @@ def weighted_blocks(blocks: list[tuple[DataFrame, float]], item: str = "item_id"
         part = b.select(item, F.transform("vector", lambda x: x * F.lit(float(w))).alias(f"_b{idx}"))
         j = part if j is None else j.join(part, item, "full")
     for idx, width in enumerate(widths):
-        j = j.crossJoin(F.broadcast(width.withColumnRenamed("_w", f"_w{idx}")))
+        j = with_scalars(j, width.withColumnRenamed("_w", f"_w{idx}"))
     parts = [F.coalesce(F.col(f"_b{i}"), F.array_repeat(F.lit(0.0), F.col(f"_w{i}"))) for i in range(len(blocks))]
     cat = F.concat(*parts)
     nrm = F.sqrt(F.aggregate(F.transform(cat, lambda x: x * x), F.lit(0.0), lambda a, v: a + v))

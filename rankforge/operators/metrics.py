@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rankforge.operators.common import expand, with_scalars  # noqa: F401
+
 from rankforge.functions.scalars import self_information
 from rankforge.functions.vectors import dot
 from rankforge.operators.prep import LIKED_THRESHOLD
@@ -128,8 +130,8 @@ def full_ranks(scores: DataFrame, seen: DataFrame, relevant: DataFrame, catalogu
     cpos = global_row_number(cat, [F.col("item_id").asc()], out="_cpos")
     r = (rel.join(a, ["user_id", "item_id"], "left")
          .join(below, ["user_id", "item_id"], "left")
-         .join(cpos, "item_id", "left")
-         .crossJoin(F.broadcast(n_cat)))
+         .join(cpos, "item_id", "left"))
+    r = with_scalars(r, n_cat)
     s, i0 = F.col("score"), F.col("implicit")
     implicit_all = F.col("_ncat") - F.col("_tot")
     implicit_below = (F.col("_cpos") - 1) - F.col("_below")
@@ -173,7 +175,7 @@ def coverage(topk: DataFrame, catalogue: DataFrame, users: DataFrame | None = No
         t = t.join(users.select("user_id").distinct(), "user_id", "left_semi")
     n_rec = t.agg(F.countDistinct("item_id").alias("n_recommended"))
     n_cat = catalogue.agg(F.countDistinct("item_id").alias("n_catalogue"))
-    return n_rec.crossJoin(n_cat).withColumn("coverage_pct",
+    return with_scalars(n_rec, n_cat).withColumn("coverage_pct",
                                              F.col("n_recommended") * 100.0 / F.col("n_catalogue"))
 
 
@@ -215,6 +217,6 @@ def select_model(summary: DataFrame, metric: str = "map_at_10", tolerance: float
     and simpler (lower complexity, then name) wins. One row."""
     s = summary.where(F.col("metric") == metric)
     best = s.agg(F.max("mean").alias("_best"))
-    near = s.crossJoin(F.broadcast(best)).where(F.col("mean") >= F.col("_best") * (1 - tolerance))
+    near = with_scalars(s, best).where(F.col("mean") >= F.col("_best") * (1 - tolerance))
     w = Window.orderBy(F.col(complexity).asc(), F.col("mean").desc(), F.col("model").asc())
     return near.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r", "_best")

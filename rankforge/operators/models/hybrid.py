@@ -25,6 +25,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+
+from rankforge.operators.common import expand, with_scalars  # noqa: F401
 from pyspark.sql import types as T
 
 from rankforge.operators.blocks import block_pair_topk
@@ -63,13 +65,13 @@ def vector_moments(vectors: DataFrame, col: str = "vector") -> DataFrame:
     arr = agg.groupBy("_k").agg(F.array_sort(F.collect_list(F.struct("_p", "_v"))).alias("_e"))
     s = arr.where("_k = 's'").select(F.transform("_e", lambda e: e["_v"]).alias("s"))
     g = arr.where("_k = 'g'").select(F.transform("_e", lambda e: e["_v"]).alias("g"))
-    return n.crossJoin(s).crossJoin(g)
+    return with_scalars(with_scalars(n, s), g)
 
 
 def content_stats(profiles: DataFrame, item_vectors: DataFrame, prefix: str) -> DataFrame:
     """(user_id, <prefix>_mu, <prefix>_sd) of p_u . v_i over all catalogue items (population std)."""
     mom = vector_moments(item_vectors)
-    j = profiles.select("user_id", "vector").crossJoin(F.broadcast(mom))
+    j = with_scalars(profiles.select("user_id", "vector"), mom)
     d = F.size("vector")
     mu = F.aggregate(F.zip_with("vector", "s", lambda p, s: p * s), F.lit(0.0), lambda a, v: a + v) / F.col("n")
     # p^T G p = sum_a p_a * (sum_b G[a, b] p_b)
@@ -85,7 +87,7 @@ def sparse_stats(scores: DataFrame, n_items: DataFrame, prefix: str) -> DataFram
     """(user_id, <prefix>_mu, <prefix>_sd, <prefix>_n) over the catalogue, unscored = 0."""
     st = scores.groupBy("user_id").agg(F.sum("score").alias("_s1"), F.sum(F.col("score") ** 2).alias("_s2"),
                                        F.count(F.lit(1)).alias(f"{prefix}_n"))
-    st = st.crossJoin(F.broadcast(n_items))
+    st = with_scalars(st, n_items)
     mu = F.col("_s1") / F.col("_N")
     return st.select("user_id", mu.alias(f"{prefix}_mu"),
                      F.sqrt(F.greatest(F.col("_s2") / F.col("_N") - mu * mu, F.lit(0.0))).alias(f"{prefix}_sd"),
@@ -99,7 +101,7 @@ def cf_percentile(cf: DataFrame, stats: DataFrame, users: DataFrame, n_items: Da
     from rankforge.operators.ranking import weighted_quantile
     z = cf.join(stats, "user_id").select(
         ((F.col("score") - F.col("cf_mu")) / (F.col("cf_sd") + F.lit(EPS))).alias("_z"), F.lit(1).alias("_f"))
-    imp = (users.select("user_id").distinct().join(stats, "user_id", "left").crossJoin(F.broadcast(n_items))
+    imp = (with_scalars(users.select("user_id").distinct().join(stats, "user_id", "left"), n_items)
            .select((-F.coalesce(F.col("cf_mu"), F.lit(0.0)) / (F.coalesce(F.col("cf_sd"), F.lit(0.0)) + F.lit(EPS)))
                    .alias("_z"), (F.col("_N") - F.coalesce(F.col("cf_n"), F.lit(0))).cast("long").alias("_f"))
            .where(F.col("_f") > 0))
@@ -135,7 +137,7 @@ def gated_hybrid_topk(cf: DataFrame, seen: DataFrame, users: DataFrame, items: D
              F.coalesce(F.col("st_mu"), F.lit(0.0)), F.coalesce(F.col("st_sd"), F.lit(0.0))]
     vparts = [F.coalesce(F.col("_ps"), zeros(ds))]
     if has_embed:
-        u = u.crossJoin(F.broadcast(gate))
+        u = with_scalars(u, gate)
         ucols += [F.coalesce(F.col("em_mu"), F.lit(0.0)), F.coalesce(F.col("em_sd"), F.lit(0.0)), F.col("_gate")]
         vparts.append(F.coalesce(F.col("_pe"), zeros(de)))
     u = u.select("user_id", F.concat(F.array(*ucols), *vparts).alias("payload"))

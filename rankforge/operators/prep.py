@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rankforge.operators.common import expand, with_scalars  # noqa: F401
+
 # Fixed values shared with the reference's scoring rules.
 LIKED_THRESHOLD = 4.0          # relevant / liked: rating >= 4
 HATED_BELOW = 3.0              # hated: 0 < rating < 3
@@ -48,7 +50,7 @@ def time_decay(r: DataFrame, half_life_days: float, reference: DataFrame | None
     ref = r if reference is None else reference
     mx = scalar_max(ref.select(F.unix_timestamp(F.col(ts)).alias("_t")), "_t", "_max_ts")
     age_days = (F.col("_max_ts") - F.unix_timestamp(F.col(ts))) / F.lit(SECONDS_PER_DAY)
-    return (r.crossJoin(F.broadcast(mx))
+    return (with_scalars(r, mx)
              .withColumn(out, F.col(col) * F.pow(F.lit(0.5), age_days / F.lit(float(half_life_days))))
              .drop("_max_ts"))
 
@@ -146,7 +148,7 @@ def item_counts(r: DataFrame, users: DataFrame | None = None, item: str = "item_
     n_users_df = (users if users is not None else r.select(user)).agg(
         F.countDistinct(user).alias("_n_users"))
     return (r.groupBy(item).agg(F.count(F.lit(1)).alias("n"))
-             .crossJoin(F.broadcast(n_users_df))
+             .transform(lambda t: with_scalars(t, n_users_df))
              .select(item, "n", F.log1p("n").alias("log_pop"),
                      (F.col("n") / F.col("_n_users")).alias("pop_ratio")))
 
@@ -162,7 +164,7 @@ def vote_bayes(items_df: DataFrame, avg_col: str, count_col: str, q: float = 0.9
     stats = items_df.agg(F.percentile(F.col(count_col).cast("double"), F.lit(q)).alias("_m"),
                          F.avg(avg_col).alias("_c"))
     v, m, R, C = F.col(count_col), F.col("_m"), F.col(avg_col), F.col("_c")
-    return (items_df.crossJoin(F.broadcast(stats))
+    return (with_scalars(items_df, stats)
             .withColumn("bayes_rating", v / (v + m) * R + m / (v + m) * C)
             .drop("_m", "_c"))
 
@@ -192,7 +194,7 @@ def negative_sampling_dist(r: DataFrame, alpha: float = 0.75, top_share: float =
     tot = f.agg(F.sum("fa").alias("_tot"), F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy(F.col("fa").desc(), F.col("item_id"))
     # Global order over the catalogue (one row per item, not per interaction).
-    return (f.crossJoin(F.broadcast(tot))
+    return (with_scalars(f, tot)
             .withColumn("p", F.col("fa") / F.col("_tot"))
             .withColumn("_rk", F.row_number().over(w))
             .withColumn("in_top", F.col("_rk") <= F.floor(F.col("_n") * F.lit(top_share)))

@@ -14,6 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rankforge.operators.common import expand, with_scalars  # noqa: F401
+
 from rankforge.functions.text import tokenize_keyword
 from rankforge.operators.blocks import block_topk
 from rankforge.operators.fusion import minmax_rows, rrf
@@ -46,11 +48,11 @@ def bm25_index(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> B
                 .groupBy("term", "doc_id").agg(F.count(F.lit(1)).cast("double").alias("tf")))
     corpus = lengths.agg(F.count(F.lit(1)).alias("n_docs"), F.avg("dl").alias("avgdl"))
     df = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    raw = df.crossJoin(F.broadcast(corpus)).select(
+    raw = with_scalars(df, corpus).select(
         "term", "df", (F.log(F.col("n_docs") - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)).alias("_idf"))
     # Negative idf -> epsilon * mean idf, the mean taken over the raw values (negatives included).
     mean_idf = raw.agg(F.avg("_idf").alias("_mean"))
-    terms = raw.crossJoin(F.broadcast(mean_idf)).select(
+    terms = with_scalars(raw, mean_idf).select(
         "term", "df", F.when(F.col("_idf") < 0, F.lit(BM25_EPSILON) * F.col("_mean")).otherwise(F.col("_idf")).alias("idf"))
     return BM25Index(postings, lengths, terms, corpus)
 
@@ -74,7 +76,7 @@ def bm25_scores(index: BM25Index, queries: DataFrame, text: str = "text", query_
     p = (qt.join(index.terms.select("term", "idf"), "term")
          .join(index.postings, "term")
          .join(index.lengths, "doc_id")
-         .crossJoin(F.broadcast(index.corpus.select("avgdl"))))
+         .transform(lambda t: with_scalars(t, index.corpus.select("avgdl"))))
     tf = F.col("tf")
     part = F.col("_qf") * F.col("idf") * (tf * (k1 + 1)) / (tf + k1 * (1 - b + b * F.col("dl") / F.col("avgdl")))
     return p.groupBy("query_id", "doc_id").agg(F.sum(part).alias("score")).where(F.col("score") > 0)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from rankforge.operators.common import expand, with_scalars  # noqa: F401
+
 from rankforge.functions import lists, scalars, text, vectors
 from rankforge.operators import prep
 from rankforge.plans.registry import register
@@ -103,7 +105,7 @@ def q_fn06(spark, sf_dir):
     c = prep.item_counts(tb.interactions(spark, sf_dir)).select("item_id", "pop_ratio")
     it = tb.items(spark, sf_dir)
     my = it.agg(F.max("year").alias("_my"))
-    j = it.join(c, "item_id", "left").crossJoin(F.broadcast(my))
+    j = with_scalars(it.join(c, "item_id", "left"), my)
     return j.select("item_id", scalars.self_information(F.coalesce("pop_ratio", F.lit(0.0))).alias("self_information"),
                     scalars.year_recency("year", "_my").alias("recency"),
                     F.log1p("popularity").alias("log_price"),

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from rankforge.operators.common import expand, with_scalars  # noqa: F401
+
 from rankforge.operators import fusion as fu
 from rankforge.operators import prep, ranking
 from rankforge.plans.registry import register
@@ -28,7 +30,7 @@ def arms(spark, sf_dir):
     r = tb.interactions(spark, sf_dir)
     a = prep.time_decay(prep.positives(r), 365.0, reference=r).select("user_id", "item_id", F.col("weight").alias("score"))
     mx = r.agg(F.max(F.unix_timestamp("ts")).alias("_m"))
-    b = (r.crossJoin(F.broadcast(mx)).where(F.unix_timestamp("ts") >= F.col("_m") - 730 * 86400)
+    b = (with_scalars(r, mx).where(F.unix_timestamp("ts") >= F.col("_m") - 730 * 86400)
          .select("user_id", "item_id", F.col("rating").alias("score")))
     return a, b
 

@@ -15,6 +15,8 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from rankforge.operators.common import expand, with_scalars  # noqa: F401
+
 KNEE_GAIN = 0.003               # fixed value: marginal-gain knee
 
 
@@ -37,7 +39,7 @@ def marginal_gain(df: DataFrame, order: str, value: str, knee: float = KNEE_GAIN
     w = Window.orderBy(order)        # one row per variant: a handful of rows
     g = df.withColumn("gain", F.col(value) - F.lag(value).over(w))
     first = g.where(F.col("gain") < knee).agg(F.min(order).alias("_k"))
-    return g.crossJoin(F.broadcast(first)).withColumn("is_knee", F.coalesce(F.col(order) == F.col("_k"), F.lit(False))) \
+    return with_scalars(g, first).withColumn("is_knee", F.coalesce(F.col(order) == F.col("_k"), F.lit(False))) \
         .drop("_k")
 
 
