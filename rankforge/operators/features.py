@@ -11,10 +11,9 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rankforge.operators.common import expand, with_scalars  # noqa: F401
-
 from rankforge.functions.scalars import era_bucket
 from rankforge.functions.text import char_ngrams, tokenize_tfidf
+from rankforge.operators.common import with_scalars
 from rankforge.operators.ranking import global_row_number
 
 EPS = 1e-8

@@ -16,10 +16,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rankforge.operators.common import expand, with_scalars  # noqa: F401
-
 from rankforge.functions.scalars import self_information
 from rankforge.functions.vectors import dot
+from rankforge.operators.common import with_scalars
 from rankforge.operators.prep import LIKED_THRESHOLD
 from rankforge.operators.ranking import global_row_number
 

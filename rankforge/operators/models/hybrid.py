@@ -25,11 +25,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-
-from rankforge.operators.common import expand, with_scalars  # noqa: F401
 from pyspark.sql import types as T
 
 from rankforge.operators.blocks import block_pair_topk
+from rankforge.operators.common import with_scalars
 from rankforge.session import cut_lineage
 
 EPS = 1e-8

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rankforge.operators.common import expand, with_scalars  # noqa: F401
+from rankforge.operators.common import with_scalars
 
 # Fixed values shared with the reference's scoring rules.
 LIKED_THRESHOLD = 4.0          # relevant / liked: rating >= 4

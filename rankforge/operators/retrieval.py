@@ -14,10 +14,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rankforge.operators.common import expand, with_scalars  # noqa: F401
-
 from rankforge.functions.text import tokenize_keyword
 from rankforge.operators.blocks import block_topk
+from rankforge.operators.common import with_scalars
 from rankforge.operators.fusion import minmax_rows, rrf
 from rankforge.operators.ranking import full_rank, top_k, union_max
 

@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from rankforge.operators.common import expand, with_scalars  # noqa: F401
-
 from rankforge.functions import lists, scalars, text, vectors
 from rankforge.operators import prep
+from rankforge.operators.common import with_scalars
 from rankforge.plans.registry import register
 from rankforge.plans.sqlparts import INTERACTIONS, with_, wrap
 from rankforge.sources import tables as tb

@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rankforge.operators.common import expand, with_scalars  # noqa: F401
+from rankforge.operators.common import with_scalars
 
 KNEE_GAIN = 0.003               # fixed value: marginal-gain knee
 
@@ -54,7 +54,7 @@ def objective_with_diversity(trials: DataFrame, weight: float = 0.1) -> DataFram
 
 
 def best_trial(trials: DataFrame, metric: str = "map_at_10", key: str | None = None) -> DataFrame:
-    """Argmax of the metric (ties by trial number), per key when given."""
+    """Argmax of the metric rounded to 1e-9 (ties by trial number), per key when given."""
     w = Window.partitionBy(key) if key else Window.partitionBy(F.lit(1))
-    o = w.orderBy(F.col(metric).desc(), F.col("trial").asc())
+    o = w.orderBy(F.round(F.col(metric), 9).desc(), F.col("trial").asc())
     return trials.withColumn("_r", F.row_number().over(o)).where("_r = 1").drop("_r")
