@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankforge.llm import bin_packing, fm_toxicity, rff_quality, simhash_bk, suffix_rules, token_blocks, url_rules, winnowing, zip_warc
+from rankforge.llm import attention_lm, bin_packing, fm_toxicity, rff_quality, simhash_bk, suffix_rules, token_blocks, url_rules, winnowing, zip_warc
 from rankforge.llm.common import fold, table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -34,6 +34,10 @@ def op2_bin_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
 
 
+def op3_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attention_lm.score_texts(table(spark, sf_dir, "documents"), VOCABULARY, 49407, fold(F.col("doc_id"), 7) == 2)
+
+
 def op4_zip_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zip_warc.archive_and_read(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
@@ -81,5 +85,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_token_blocks, op2_bin_completion, op4_zip_warc, op5_fourier_quality, op6_suffix_repetition, op7_url_rules, op8_simhash_bk_trees,
+        op1_token_blocks, op2_bin_completion, op3_attention_lm, op4_zip_warc, op5_fourier_quality, op6_suffix_repetition, op7_url_rules, op8_simhash_bk_trees,
         op9_winnowing, op10_factorization_toxicity, pipeline)}
