@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: An item of a list literal with its quotes.
+QUOTED = "(?s)" + r'"(?:[^"\\]|\\.)*"' + "|" + r"'(?:[^'\\]|\\.)*'"
+
 
 def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
@@ -17,9 +20,12 @@ def to_list(col: Column | str, max_items: int | None = None, sep: str | None = N
     Accepted encodings: a Python list literal (``['a', 'b']``), ``a|b|c``,
     ``a,b,c``, a single value, or null (-> empty array). Items are trimmed and
     empty items dropped; ``max_items`` keeps the first n. Never evaluates text.
+    In a literal each item ends at the quote that opened it, so ``"Children's"`` is one
+    item; a backslash keeps the character behind it.
     """
     s = F.trim(_c(col).cast("string"))
-    literal = F.regexp_extract_all(s, F.lit(r"""['"]([^'"]*)['"]"""), 1)
+    quoted = F.regexp_extract_all(s, F.lit(QUOTED), 0)
+    literal = F.transform(quoted, lambda x: F.regexp_replace(F.substring(x, F.lit(2), F.length(x) - 2), r"\\(.)", "$1"))
     if sep is not None:
         plain = F.split(s, _re_escape(sep))
     else:

@@ -1,4 +1,4 @@
-"""The grouped kernels: co-occurrence Gram, blocked dot-product top-k, local ridge.
+"""The grouped kernels: co-occurrence Gram and blocked dot-product top-k.
 
 These are the only places where work leaves Catalyst for NumPy, and every
 group they build has a size bound that does not grow with the data:
@@ -13,7 +13,6 @@ group they build has a size bound that does not grow with the data:
   (left block, right block) pair with a GEMM, masks excluded pairs of that
   block pair, keeps its top-k per left row, and a final row_number merges
   the partial lists. Per task memory is block x block, whatever the skew.
-* ``local_ridge``: solves one small dense system per target item.
 """
 
 from __future__ import annotations
@@ -189,61 +188,3 @@ def block_topk(left: DataFrame, right: DataFrame, k: int, left_id: str = "user_i
     inside their block pair, so k eligible rows survive per left row whenever k exist."""
     return block_pair_topk(left, right, k, dot_scorer(metric), left_id, right_id, vector, vector,
                            exclude=exclude, block=block, out_score=out_score, round_digits=round_digits)
-
-
-# ---------------------------------------------------------------- local ridge (M-1 core)
-def local_ridge(neighbours: DataFrame, sub_gram: DataFrame, lam: float, targets_per_task: int = 256) -> DataFrame:
-    """Per target j: w = (G_NN + lam I)^-1 G_Nj.
-
-    neighbours: (target, nb, g_nj) - the right-hand side.
-    sub_gram:   (target, a, b, g) for a <= b among the neighbours of target.
-    Returns (target, nb, weight).
-
-    Targets are hashed into groups of about ``targets_per_task``; each group's
-    systems are padded to a common size (identity rows) and solved by one
-    stacked ``np.linalg.solve``. Group memory is targets x m^2 with m the
-    neighbourhood size, so it is bounded by the caller's ``max_neighbors``.
-    """
-    n_groups = max(1, math.ceil(neighbours.select("target").distinct().count() / targets_per_task))
-    grp = F.pmod(F.xxhash64(F.col("target")), F.lit(n_groups)).cast("int")
-    rhs = neighbours.select(grp.alias("_grp"), F.col("target"), F.col("nb").alias("a"),
-                            F.lit(None).cast("long").alias("b"), F.col("g_nj").alias("g"), F.lit(0).alias("_kind"))
-    sub = sub_gram.select(grp.alias("_grp"), "target", "a", "b", "g", F.lit(1).alias("_kind"))
-    lam_f = float(lam)
-    schema = T.StructType([T.StructField("target", T.LongType()), T.StructField("nb", T.LongType()),
-                           T.StructField("weight", T.DoubleType())])
-
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        r = pdf[pdf["_kind"] == 0].sort_values(["target", "a"])
-        s = pdf[pdf["_kind"] == 1]
-        tg = r["target"].to_numpy(np.int64)
-        ids = r["a"].to_numpy(np.int64)
-        if len(tg) == 0:
-            return pd.DataFrame({"target": np.zeros(0, np.int64), "nb": np.zeros(0, np.int64), "weight": np.zeros(0)})
-        ut, start, cnt = np.unique(tg, return_index=True, return_counts=True)
-        m = int(cnt.max())
-        t_idx = np.repeat(np.arange(len(ut)), cnt)
-        pos = np.arange(len(tg)) - np.repeat(start, cnt)
-        M = np.zeros((len(ut), m, m))
-        b = np.zeros((len(ut), m))
-        b[t_idx, pos] = r["g"].to_numpy(np.float64)
-        # Position of each (target, id) inside its padded system.
-        key = pd.MultiIndex.from_arrays([tg, ids])
-        st = s["target"].to_numpy(np.int64)
-        ti = np.searchsorted(ut, st)
-        pa = key.get_indexer(pd.MultiIndex.from_arrays([st, s["a"].to_numpy(np.int64)]))
-        pb = key.get_indexer(pd.MultiIndex.from_arrays([st, s["b"].to_numpy(np.int64)]))
-        ok = (pa >= 0) & (pb >= 0)
-        g = s["g"].to_numpy(np.float64)[ok]
-        ia, ib, tt = pos[pa[ok]], pos[pb[ok]], ti[ok]
-        M[tt, ia, ib] = g
-        M[tt, ib, ia] = g
-        diag = np.arange(m)
-        M[:, diag, diag] += lam_f
-        # Padding rows/cols beyond each target's count: identity, zero rhs -> zero weight.
-        pad = diag[None, :] >= cnt[:, None]
-        M[np.nonzero(pad)[0], np.nonzero(pad)[1], np.nonzero(pad)[1]] = 1.0
-        w = np.linalg.solve(M, b[..., None])[..., 0]
-        return pd.DataFrame({"target": tg, "nb": ids, "weight": w[t_idx, pos]})
-
-    return rhs.unionByName(sub).groupBy("_grp").applyInPandas(solve, schema)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from rankforge.functions.scalars import era_bucket
 from rankforge.functions.text import char_ngrams, tokenize_tfidf
 from rankforge.operators.common import with_scalars
-from rankforge.operators.ranking import global_row_number
+from rankforge.operators.ranking import global_row_number, weighted_quantiles
 
 EPS = 1e-8
 GRAM_SVD_MAX_FEATURES = 4096    # feature Gram (c x c) small enough for an exact driver-side eigen
@@ -166,14 +166,11 @@ def percentile_bins(items: DataFrame, cols: list[str], bins: int = NUMERIC_BINS,
     out = None
     for c in cols:
         v = F.coalesce(F.col(c).cast("double"), F.lit(0.0))
-        vals = items.select(v.alias("_v"))
-        edges = vals.agg(
-            F.percentile(F.when(F.col("_v") > 0, F.col("_v")), F.array(*[F.lit(q) for q in qs])).alias("_pos"),
-            F.percentile(F.col("_v"), F.array(*[F.lit(q) for q in qs])).alias("_all"),
-            F.max(F.when(F.col("_v") > 0, 1).otherwise(0)).alias("_any"))
-        edges = edges.select(F.when(F.col("_any") == 1, F.col("_pos")).otherwise(F.col("_all")).alias("_e"))
-        b = with_scalars(items.select(item, v.alias("_v")), edges).select(
-            item, F.size(F.filter("_e", lambda e: e <= F.col("_v"))).alias("_b"))
+        vals = items.select(v.alias("_v"), F.lit(1.0).alias("_w"))
+        vals = vals.where(F.col("_v") > 0) if vals.where(F.col("_v") > 0).limit(1).count() else vals
+        edges = [e for e in weighted_quantiles(vals, qs, "_v", "_w") if e == e]
+        b = items.select(item, F.size(F.filter(F.array(*[F.lit(e) for e in edges]).cast("array<double>"),
+                                               lambda e: e <= v)).alias("_b"))
         part = b.select(item, F.concat(F.lit(f"{c}_bin_"), F.col("_b").cast("string")).alias("feature"),
                         F.lit(1.0).alias("value"))
         out = part if out is None else out.unionByName(part)
@@ -289,11 +286,16 @@ def label_encode(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
 # ---------------------------------------------------------------- FE-14 .. FE-17 compositions
 def _svd_block(long_df: DataFrame, k: int, item: str, feature: str, items: DataFrame) -> DataFrame:
     """Rank-k SVD factors of a long (item, feature, value) table as a dense block (missing items = zeros)."""
-    f, _ = truncated_svd(long_df.select(item, F.col(feature).cast("string").alias("term"), "value")
-                         .withColumnRenamed(item, "item_id"), k)
-    w = F.size("factors")
-    return items.select("item_id").join(f, "item_id", "left").select(
-        "item_id", F.coalesce("factors", F.array_repeat(F.lit(0.0), F.lit(k))).alias("vector"))
+    f, comp = truncated_svd(long_df.select(item, F.col(feature).cast("string").alias("term"), "value")
+                            .withColumnRenamed(item, "item_id"), k)
+    # The rank can be smaller than k (few features); every row has that many entries.
+    return with_all_rows(f, items, comp.count())
+
+
+def with_all_rows(factors: DataFrame, items: DataFrame, width: int, item: str = "item_id") -> DataFrame:
+    """(item, vector) for every row of ``items``; one without any feature is a zero row of the matrix, and so has zeros."""
+    return items.select(item).join(factors, item, "left").select(
+        item, F.coalesce("factors", F.array_repeat(F.lit(0.0), int(width))).alias("vector"))
 
 
 def content_vector_79(meta: DataFrame, numeric: list[str]) -> DataFrame:

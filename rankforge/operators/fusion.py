@@ -128,9 +128,6 @@ def warm_cold_route(model_a: DataFrame, model_b: DataFrame, counts: DataFrame,
                     F.when(warm, F.col("_a")).otherwise(F.col("_b")).alias("score")).where(F.col("score").isNotNull())
 
 
-def route_counts(routed: DataFrame) -> DataFrame:
-    return routed.groupBy("route").agg(F.count(F.lit(1)).alias("n"))
-
 
 def minmax_route(model_a: DataFrame, model_b: DataFrame, counts: DataFrame,
                  threshold: int = WARM_MIN_INTERACTIONS) -> DataFrame:
@@ -153,14 +150,17 @@ def bayesian_blend(scores: DataFrame, bayes: DataFrame, w: float, group: str = "
 
 # ---------------------------------------------------------------- FU-8 / FU-9
 def candidate_z_fusion(a: DataFrame, b: DataFrame, alpha: float, beta: float,
-                       group: str = "query_id", item: str = "item_id") -> DataFrame:
+                       group: str = "query_id", item: str = "item_id", own_a: DataFrame | None = None) -> DataFrame:
     """alpha * z(a) + beta * z(b) over the union of candidate ids per group (missing = 0.0),
     population std + 1e-8. If one side is empty for a group the weights become (0,1)/(1,0);
-    both empty gives no rows."""
+    both empty gives no rows. ``own_a``: the rows that engine A found itself, where ``a``
+    also holds scores looked up for B's candidates; emptiness is decided on these."""
+    own = own_a if own_a is not None else a
     j = (a.select(group, item, F.col("score").alias("_a"))
+         .join(own.select(group, item, F.lit(1).alias("_own")), [group, item], "left")
          .join(b.select(group, item, F.col("score").alias("_b")), [group, item], "full"))
     w = Window.partitionBy(group)
-    na = F.count("_a").over(w)
+    na = F.count("_own").over(w)
     nb = F.count("_b").over(w)
     j = j.withColumn("_na", na).withColumn("_nb", nb).fillna(0.0, ["_a", "_b"])
     j = zscore_rows(j, group, "_a", "_za")

@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rankforge.functions.vectors import dot
+from rankforge.functions.vectors import EPS, dot
+from rankforge.operators.common import with_scalars
 
 
 def title_match(external: DataFrame, catalogue: DataFrame, title: str = "title") -> DataFrame:
@@ -24,6 +25,18 @@ def title_match(external: DataFrame, catalogue: DataFrame, title: str = "title")
     return external.withColumn("_nt", norm(title)).join(first, "_nt", "left").drop("_nt")
 
 
+def fit_statistics(train: DataFrame, cols: list[str]) -> DataFrame:
+    """One row: mean and population std of log1p of each numeric column (null as 0), stored with the model."""
+    logs = [F.log1p(F.coalesce(F.col(c).cast("double"), F.lit(0.0))).alias(c) for c in cols]
+    return train.select(*logs).agg(*[F.avg(c).alias(f"_mean_{c}") for c in cols], *[F.stddev_pop(c).alias(f"_std_{c}") for c in cols])
+
+
+def featurise(rows: DataFrame, statistics: DataFrame, cols: list[str], key: str) -> DataFrame:
+    """(key, vector): numeric features scaled with the *training* statistics, whatever rows are given."""
+    j = with_scalars(rows.select(key, *[F.log1p(F.coalesce(F.col(c).cast("double"), F.lit(0.0))).alias(c) for c in cols]), statistics)
+    return j.select(key, F.array(*[(F.col(c) - F.col(f"_mean_{c}")) / (F.col(f"_std_{c}") + F.lit(EPS)) for c in cols]).alias("vector"))
+
+
 def score_external(external: DataFrame, users: DataFrame, alpha_struct: float, alpha_embed: float,
                    struct_profiles: DataFrame, embed_profiles: DataFrame | None = None,
                    catalogue_scores: DataFrame | None = None, catalogue: DataFrame | None = None) -> DataFrame:

@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankforge.operators.common import with_scalars
+from rankforge.operators.ranking import global_row_number, weighted_quantile
+from rankforge.session import cut_lineage
 
 # Fixed values shared with the reference's scoring rules.
 LIKED_THRESHOLD = 4.0          # relevant / liked: rating >= 4
@@ -161,8 +163,9 @@ def item_mean_rating(r: DataFrame, item: str = "item_id", col: str = "rating") -
 # ---------------------------------------------------------------- AG-4
 def vote_bayes(items_df: DataFrame, avg_col: str, count_col: str, q: float = 0.90) -> DataFrame:
     """v/(v+m)*R + m/(v+m)*C with m = q-quantile of vote counts and C = mean of R."""
-    stats = items_df.agg(F.percentile(F.col(count_col).cast("double"), F.lit(q)).alias("_m"),
-                         F.avg(avg_col).alias("_c"))
+    items_df = cut_lineage(items_df)
+    m = weighted_quantile(items_df.withColumn("_w1", F.lit(1.0)), q, count_col, "_w1")
+    stats = items_df.agg(F.lit(m).alias("_m"), F.avg(avg_col).alias("_c"))
     v, m, R, C = F.col(count_col), F.col("_m"), F.col(avg_col), F.col("_c")
     return (with_scalars(items_df, stats)
             .withColumn("bayes_rating", v / (v + m) * R + m / (v + m) * C)
@@ -191,12 +194,11 @@ def negative_sampling_dist(r: DataFrame, alpha: float = 0.75, top_share: float =
     the top ``top_share`` fraction of items by p (ties by item id)."""
     f = positives(r, threshold).groupBy("item_id").agg(F.count(F.lit(1)).alias("freq"))
     f = f.withColumn("fa", F.pow(F.col("freq").cast("double"), F.lit(float(alpha))))
+    f = cut_lineage(f)
     tot = f.agg(F.sum("fa").alias("_tot"), F.count(F.lit(1)).alias("_n"))
-    w = Window.orderBy(F.col("fa").desc(), F.col("item_id"))
-    # Global order over the catalogue (one row per item, not per interaction).
-    return (with_scalars(f, tot)
+    ranked = global_row_number(f, [F.col("fa").desc(), F.col("item_id").asc()], out="_rk")
+    return (with_scalars(ranked, tot)
             .withColumn("p", F.col("fa") / F.col("_tot"))
-            .withColumn("_rk", F.row_number().over(w))
             .withColumn("in_top", F.col("_rk") <= F.floor(F.col("_n") * F.lit(top_share)))
             .select("item_id", "freq", "p", "in_top"))
 
@@ -210,3 +212,13 @@ def item_temperature(train: DataFrame, catalogue: DataFrame, threshold: int = 5,
     return t.withColumn("temperature",
                         F.when(F.col("n_pos") >= threshold, "warm")
                          .when(F.col("n_pos") > 0, "cold").otherwise("unseen"))
+
+
+# ---------------------------------------------------------------- AG-10
+def user_top_genres(r, items, k: int = 3, threshold: float = 4.0):
+    """AG-10: (user_id, genre, n, rank) top-k genres of each user's liked items."""
+    liked = r.where(F.col("rating") >= threshold).select("user_id", "item_id")
+    g = liked.join(items.select("item_id", F.explode("genres").alias("genre")), "item_id")
+    c = g.groupBy("user_id", "genre").agg(F.count(F.lit(1)).alias("n"))
+    w = Window.partitionBy("user_id").orderBy(F.col("n").desc(), F.col("genre").asc())
+    return c.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)

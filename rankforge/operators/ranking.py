@@ -140,52 +140,51 @@ def top_k_prior(prior: DataFrame, users: DataFrame, exclude: DataFrame, k: int,
 
 
 # ---------------------------------------------------------------- exact weighted quantile (AG-6)
-def weighted_quantile(df: DataFrame, q: float, value: str = "v", weight: str = "w",
-                      buckets: int = 1024, final_rows: int = 50000) -> float:
-    """Exact quantile with linear interpolation (the ``numpy.percentile`` rule) of a value
-    column where each row stands for ``weight`` copies.
-
-    Distributed selection: each pass aggregates the current value bracket into
-    ``buckets`` equal-width buckets (count, weight, min, max per bucket; at most
-    ``buckets`` rows reach the driver), keeps the bucket holding the target position,
-    and stops once the bracket has at most ``final_rows`` rows, which are collected.
-    No pass funnels the values through one task."""
+def weighted_quantile(df: DataFrame, q: float, value: str = "v", weight: str = "w", buckets: int = 1024) -> float:
+    """One quantile of ``weighted_quantiles``."""
+    return weighted_quantiles(df, [q], value, weight, buckets)[0]
+
+
+def weighted_quantiles(df: DataFrame, qs: list[float], value: str = "v", weight: str = "w",
+                       buckets: int = 1024) -> list[float]:
+    """Exact quantiles with linear interpolation (the ``numpy.percentile`` rule) of a value
+    column where each row stands for ``weight`` copies; NaN for each when there is no row.
+
+    Distributed selection: a pass aggregates the brackets that hold the wanted positions
+    (both neighbours of every quantile, all at once) into at most ``buckets`` equal-width
+    buckets each, and each position goes on in its bucket until that holds a single value.
+    Only bucket rows reach the driver, and no pass funnels the values through one task."""
     d = df.select(F.col(value).cast("double").alias("_v"), F.col(weight).cast("double").alias("_w")) \
-        .where(F.col("_v").isNotNull() & (F.col("_w") > 0))
+        .where(F.col("_v").isNotNull() & ~F.isnan("_v") & (F.col("_w") > 0))
     tot = d.agg(F.sum("_w").alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi")).first()
     if tot is None or tot["n"] is None:
-        return float("nan")
-    pos = q * (tot["n"] - 1)
-    k0 = int(np.floor(pos))
-    frac = pos - k0
-
-    def value_at(idx: int) -> float:
-        lo, hi, below = tot["lo"], tot["hi"], 0.0
-        while True:
-            sub = d.where((F.col("_v") >= lo) & (F.col("_v") <= hi))
-            n_rows = sub.count()
-            if n_rows <= final_rows or lo == hi:
-                rows = sorted((r["_v"], r["_w"]) for r in sub.groupBy("_v").agg(F.sum("_w").alias("_w")).collect())
-                acc = below
-                for v, w in rows:
-                    acc += w
-                    if acc > idx:
-                        return float(v)
-                return float(rows[-1][0])
-            width = (hi - lo) / buckets
-            b = F.least(F.floor((F.col("_v") - F.lit(lo)) / F.lit(width)), F.lit(buckets - 1)).cast("int")
-            hist = sorted(sub.groupBy(b.alias("_b")).agg(F.sum("_w").alias("_w"), F.min("_v").alias("_lo"),
-                                                       F.max("_v").alias("_hi")).collect(), key=lambda r: r["_b"])
-            for r in hist:
-                if below + r["_w"] > idx:
-                    lo, hi = r["_lo"], r["_hi"]
+        return [float("nan")] * len(qs)
+    at = [q * (tot["n"] - 1) for q in qs]
+    wanted = sorted({int(np.floor(p)) for p in at} | {int(np.ceil(p)) for p in at})
+    # position -> (lowest value, highest value, weight below) of the bracket that holds it
+    bracket = {k: (tot["lo"], tot["hi"], 0.0) for k in wanted}
+    while open_ := sorted({b for b in bracket.values() if b[0] != b[1]}):
+        which, bucket = F.lit(None).cast("int"), F.lit(None).cast("int")
+        for i, (lo, hi, _) in enumerate(open_):
+            inside = (F.col("_v") >= lo) & (F.col("_v") <= hi)
+            # Dividing first keeps the steps finite and apart for any two doubles.
+            place = F.floor((F.col("_v") / F.lit(buckets) - F.lit(lo / buckets)) / F.lit(hi / buckets - lo / buckets) * F.lit(buckets))
+            which = F.when(inside, F.lit(i)).otherwise(which)
+            bucket = F.when(inside, F.greatest(F.lit(0), F.least(place, F.lit(buckets - 1)))).otherwise(bucket)
+        hist = (d.select(which.alias("_i"), bucket.cast("int").alias("_b"), "_v", "_w").where("_i IS NOT NULL")
+                .groupBy("_i", "_b").agg(F.sum("_w").alias("_w"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")).collect())
+        for k, b in bracket.items():
+            if b[0] == b[1]:
+                continue
+            below, own = b[2], open_.index(b)
+            rows = sorted((r for r in hist if r["_i"] == own), key=lambda r: r["_b"])
+            for r in rows:
+                if below + r["_w"] > k or r is rows[-1]:
+                    bracket[k] = (r["_lo"], r["_hi"], below)
                     break
                 below += r["_w"]
-            else:
-                return float(hist[-1]["_hi"])
-
-    v0 = value_at(k0)
-    if frac == 0:
-        return v0
-    v1 = value_at(k0 + 1)
-    return v0 + frac * (v1 - v0)
+    out = []
+    for p in at:
+        v0, v1 = bracket[int(np.floor(p))][0], bracket[int(np.ceil(p))][0]
+        out.append(float(v0 + (p - np.floor(p)) * (v1 - v0)))
+    return out

@@ -18,7 +18,8 @@ from rankforge.functions.text import tokenize_keyword
 from rankforge.operators.blocks import block_topk
 from rankforge.operators.common import with_scalars
 from rankforge.operators.fusion import minmax_rows, rrf
-from rankforge.operators.ranking import full_rank, top_k, union_max
+from rankforge.operators.ranking import global_row_number, top_k, union_max
+from rankforge.session import cut_lineage
 
 # Okapi BM25 defaults of the keyword index.
 BM25_K1 = 1.5
@@ -42,11 +43,14 @@ class BM25Index:
 # ---------------------------------------------------------------- RT-1
 def bm25_index(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> BM25Index:
     toks = docs.select(F.col(doc_id).alias("doc_id"), tokenize_keyword(F.coalesce(F.col(text), F.lit(""))).alias("_t"))
-    lengths = toks.select("doc_id", F.size("_t").cast("double").alias("dl"))
-    postings = (toks.select("doc_id", F.explode("_t").alias("term"))
-                .groupBy("term", "doc_id").agg(F.count(F.lit(1)).cast("double").alias("tf")))
+    # Texts are tokenised once; everything else is read from the stored postings.
+    postings = cut_lineage(toks.select("doc_id", F.explode("_t").alias("term"))
+                           .groupBy("term", "doc_id").agg(F.count(F.lit(1)).cast("double").alias("tf")))
+    counted = postings.groupBy("doc_id").agg(F.sum("tf").alias("dl"))
+    lengths = cut_lineage(docs.select(F.col(doc_id).alias("doc_id")).join(counted, "doc_id", "left").fillna(0.0, ["dl"]))
     corpus = lengths.agg(F.count(F.lit(1)).alias("n_docs"), F.avg("dl").alias("avgdl"))
-    df = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    corpus = docs.sparkSession.createDataFrame([tuple(corpus.first())], "n_docs long, avgdl double")
+    df = cut_lineage(postings.groupBy("term").agg(F.count(F.lit(1)).alias("df")))
     raw = with_scalars(df, corpus).select(
         "term", "df", (F.log(F.col("n_docs") - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)).alias("_idf"))
     # Negative idf -> epsilon * mean idf, the mean taken over the raw values (negatives included).
@@ -144,9 +148,10 @@ def candidate_pool(index: BM25Index, hyde: DataFrame, subs: DataFrame, vectors:
     alpha (rows of ``subs``: query_id, sub_id, text, vector, alpha), merged by max score per doc."""
     h = hybrid_search(index, hyde.withColumn("_alpha", F.lit(HYDE_ALPHA)), vectors, "_alpha", candidate_k,
                       round_digits=round_digits)
-    # Numeric composite id (query, sub-query) so the dense kernel keeps long ids; sub_id < 16.
-    s = subs.select((F.col("query_id").cast("long") * 16 + F.col("sub_id")).alias("_qid"),
-                    "query_id", "text", "vector", "alpha")
+    # A number of its own for each (query, sub-query), however many sub-queries there are: the
+    # dense kernel keeps long ids.
+    s = cut_lineage(global_row_number(subs.select("query_id", "sub_id", "text", "vector", "alpha"),
+                                      [F.col("query_id").asc(), F.col("sub_id").asc()], out="_qid"))
     sr = hybrid_search(index, s.select(F.col("_qid").alias("query_id"), "text", "vector", "alpha"),
                        vectors, "alpha", candidate_k, round_digits=round_digits)
     sr = sr.join(s.select(F.col("_qid").alias("query_id"), F.col("query_id").alias("_orig")), "query_id") \
@@ -156,15 +161,20 @@ def candidate_pool(index: BM25Index, hyde: DataFrame, subs: DataFrame, vectors:
 
 # ---------------------------------------------------------------- RT-8
 def token_overlap_score(query: Column, doc: Column) -> Column:
-    """Default pair scorer: cosine of the binary keyword-token sets of the query (first 500
-    characters) and document text (first 512 characters)."""
-    q = F.array_distinct(tokenize_keyword(F.substring(query, 1, RERANK_QUERY_CHARS)))
-    d = F.array_distinct(tokenize_keyword(F.substring(doc, 1, RERANK_DOC_CHARS)))
+    """Default pair scorer: cosine of the binary keyword-token sets of query and document
+    text, both whole. A scorer with an input limit cuts for itself (``with_input_limit``)."""
+    q = F.array_distinct(tokenize_keyword(query))
+    d = F.array_distinct(tokenize_keyword(doc))
     inter = F.size(F.array_intersect(q, d)).cast("double")
     den = F.sqrt(F.size(q).cast("double") * F.size(d).cast("double"))
     return F.when(den > 0, inter / den).otherwise(F.lit(0.0))
 
 
+def with_input_limit(scorer, query_chars: int = RERANK_QUERY_CHARS, doc_chars: int = RERANK_DOC_CHARS):
+    """A pair scorer whose model takes only so many characters of query and document."""
+    return lambda query, doc: scorer(F.substring(query, 1, query_chars), F.substring(doc, 1, doc_chars))
+
+
 def rerank_text(text_key: Column | None, overview: Column | None, title: Column | None, item_id: Column) -> Column:
     """Document text for the scorer: given key -> overview -> title -> id, first non-blank."""
     opts = [c for c in (text_key, overview, title) if c is not None]
@@ -182,7 +192,3 @@ def rerank(pairs: DataFrame, query_col: str = "query_text", doc_col: str = "doc_
     w = Window.partitionBy(group).orderBy(F.col("rerank_score").desc(), F.col(item).asc())
     s = s.withColumn("rerank_rank", F.row_number().over(w))
     return s.where(F.col("rerank_rank") <= top) if top else s
-
-
-def engine_rank(results: DataFrame, group: str = "query_id", item: str = "doc_id") -> DataFrame:
-    return full_rank(results, group, "score", item)

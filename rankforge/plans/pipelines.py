@@ -18,9 +18,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankforge.functions.scalars import display_score, hyde_gate, route_query
+from rankforge.functions.vectors import cosine
 from rankforge.operators import fusion as fu
 from rankforge.operators import retrieval as rt
-from rankforge.operators.ranking import over_fetch, top_k
+from rankforge.operators.common import with_scalars
+from rankforge.session import cut_lineage
 
 # Fusion defaults and fallback thresholds.
 DEFAULT_ALPHA = 0.80
@@ -81,18 +83,39 @@ def fallback_trigger(results: DataFrame, queries: DataFrame, dense: DataFrame |
 
 
 # ---------------------------------------------------------------- personal candidates
-def personal_candidates(queries: DataFrame, scores: DataFrame, items: DataFrame, seen: DataFrame, k: int,
-                        filtered: bool = True) -> DataFrame:
+def top_n(df: DataFrame, n: str, score: str, group: str = "query_id", item: str = "item_id") -> DataFrame:
+    """Rows ranked 1..n per group, n a column of the rows (ties by item)."""
+    w = Window.partitionBy(group).orderBy(F.col(score).desc_nulls_last(), F.col(item).asc())
+    return df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= F.col(n))
+
+
+def personal_candidates(queries: DataFrame, scores: DataFrame, items: DataFrame, seen: DataFrame, k: int | str,
+                        filtered: bool = True, popular: DataFrame | None = None) -> DataFrame:
     """(query_id, item_id, mix_score, rank): the user's unseen items by personal score,
-    metadata filters applied before the ranking (filters never run after the cut)."""
-    q = queries.where(F.col("user_id").isNotNull()).select("query_id", "user_id")
+    metadata filters applied before the ranking (filters never run after the cut).
+    ``k``: a number, or the column of ``queries`` that holds one. A user without history
+    gets the best k of ``popular`` (item_id, score), unfiltered."""
+    limit = F.lit(k) if isinstance(k, int) else F.col(k)
+    q = queries.where(F.col("user_id").isNotNull()).select("query_id", "user_id", limit.cast("long").alias("_k"))
     c = q.join(scores.select("user_id", "item_id", F.col("score").alias("mix_score")), "user_id") \
         .join(seen.select("user_id", "item_id"), ["user_id", "item_id"], "left_anti")
     if filtered:
         c = metadata_filter(c, queries, items)
     # Ranking key rounded to 1e-9: equal scores computed in different orders tie by item id.
-    c = c.withColumn("_rs", F.round("mix_score", 9))
-    return top_k(c, k, "query_id", "_rs", "item_id").drop("user_id", "_rs")
+    c = top_n(c.withColumn("_rs", F.round("mix_score", 9)), "_k", "_rs").select("query_id", "item_id", "mix_score", "rank")
+    if popular is None:
+        return c
+    cold = q.join(seen.select("user_id").distinct(), "user_id", "left_anti")
+    most = cold.agg(F.max("_k")).first()[0]
+    if not most:
+        return c
+    # The list has as many rows as the largest request.
+    best = (popular.select("item_id", "score").orderBy(F.round("score", 9).desc(), "item_id").limit(int(most))
+            .agg(F.array_sort(F.collect_list(F.struct((-F.round("score", 9)).alias("o"), "item_id", "score"))).alias("_list"))
+            .select(F.transform("_list", lambda e: e["item_id"]).alias("_ids"), F.transform("_list", lambda e: e["score"]).alias("_scores")))
+    listed = with_scalars(cold, best).select("query_id", F.posexplode(F.slice("_ids", F.lit(1), F.col("_k").cast("int"))).alias("_pos", "item_id"), "_scores")
+    listed = listed.select("query_id", "item_id", F.element_at("_scores", F.col("_pos") + 1).alias("mix_score"), (F.col("_pos") + 1).alias("rank"))
+    return c.unionByName(listed)
 
 
 def dense_candidates(queries: DataFrame, vectors: DataFrame, k: int, text_vector: str = "vector") -> DataFrame:
@@ -109,57 +132,74 @@ def _rerank(c: DataFrame, queries: DataFrame, docs: DataFrame, query_col: str =
     return r.drop("query_text", "doc_text")
 
 
+def _rich_text(queries: DataFrame) -> DataFrame:
+    """``_rich``: the gated hypothetical text and the semantic description."""
+    hyde = hyde_gate("text", "hypothetical_ideal", "semantic_description")
+    return queries.withColumn("_hyde", hyde).withColumn("_rich", F.trim(F.concat_ws(" ", F.col("_hyde"), F.col("semantic_description"))))
+
+
+def _with_lookup(pers: DataFrame, found: DataFrame, queries: DataFrame, scores: DataFrame) -> DataFrame:
+    """J-9: personal rows, and for ids that only the other engine found the user's score by lookup
+    (seen items too)."""
+    only = found.join(pers.select("query_id", "item_id"), ["query_id", "item_id"], "left_anti") \
+        .join(queries.select("query_id", "user_id"), "query_id")
+    back = only.join(scores.select("user_id", "item_id", F.col("score").alias("mix_score")), ["user_id", "item_id"])
+    return pers.select("query_id", "item_id", "mix_score").unionByName(back.select("query_id", "item_id", "mix_score"))
+
+
 # ---------------------------------------------------------------- RT-9: P1 sequential
-def p1_sequential(queries, scores, items, docs, seen, scorer=None) -> DataFrame:
-    """Filters -> personal top-n -> metadata -> rerank (order by rerank score) -> TK-4 cut."""
-    n = queries.select("query_id", "n")
-    c = personal_candidates(queries, scores, items, seen, 1000000, True).join(n, "query_id") \
-        .where(F.col("rank") <= F.col("n")).drop("rank", "n")
-    r = _rerank(c, queries, docs, "text", scorer)
+def p1_sequential(queries, scores, items, docs, seen, scorer=None, popular=None) -> DataFrame:
+    """Filters -> personal top-n -> metadata -> rerank by the semantic description -> TK-4 cut."""
+    c = personal_candidates(queries, scores, items, seen, "n", True, popular).drop("rank")
+    r = _rerank(c, queries, docs, "semantic_description", scorer)
     return r.select("query_id", "item_id", "mix_score", F.lit(None).cast("double").alias("fused_score"),
                     "rerank_score", F.col("rerank_rank").alias("rank"), F.lit("P1").alias("pipeline"))
 
 
 # ---------------------------------------------------------------- RT-10 / RT-12: P2 dual, P4 HyDE
 def p2_dual(queries, scores, items, docs, vectors, seen, alpha=DEFAULT_ALPHA, beta=DEFAULT_BETA, hyde=False,
-            scorer=None) -> DataFrame:
-    """Personal top-20 with filters + dense top-30 reranked to 20, dense-only ids backfilled
-    with their personal score (J-9), z-fusion over the union (FU-8/9), best n."""
-    q = queries
-    if hyde:
-        q = q.withColumn("_hyde", hyde_gate("text", "hypothetical_ideal", "semantic_description"))
-    pers = personal_candidates(q, scores, items, seen, PERSONAL_K).drop("rank")
-    de = dense_candidates(q, vectors, DENSE_K)
-    de = _rerank(de, q, docs, "_hyde" if hyde else "semantic_description", scorer) \
-        .where(F.col("rerank_rank") <= RERANK_K).select("query_id", "item_id", "dense_score")
-    # J-9: dense-only ids get the personal score by lookup (unseen items only).
-    user = q.select("query_id", "user_id")
-    only = de.join(pers.select("query_id", "item_id"), ["query_id", "item_id"], "left_anti").join(user, "query_id")
-    back = only.join(scores.select("user_id", "item_id", F.col("score").alias("mix_score")), ["user_id", "item_id"]) \
-        .join(seen.select("user_id", "item_id"), ["user_id", "item_id"], "left_anti").select("query_id", "item_id", "mix_score")
-    personal = pers.unionByName(back)
+            scorer=None, popular=None) -> DataFrame:
+    """Personal top-20 with filters + dense top-30 reranked to 20, dense-only ids scored by lookup
+    (J-9), z-fusion over the union (FU-8/9; an engine that found nothing itself has no weight),
+    best n. P2 keeps the fused order, with the dense side's rerank score (0 for ids it did not
+    find); P4 reads hypothetical and semantic text together and reranks the best n by them."""
+    q = _rich_text(queries)
+    text = "_rich" if hyde else "semantic_description"
+    pers = personal_candidates(q, scores, items, seen, PERSONAL_K, True, popular).drop("rank")
+    de = _rerank(dense_candidates(q, vectors, DENSE_K).drop("rank"), q, docs, text, scorer) \
+        .where(F.col("rerank_rank") <= RERANK_K).select("query_id", "item_id", "dense_score", "rerank_score")
+    personal = _with_lookup(pers, de, q, scores)
     f = fu.candidate_z_fusion(personal.withColumnRenamed("mix_score", "score"), de.withColumnRenamed("dense_score", "score"),
-                              alpha, beta, group="query_id")
-    f = f.withColumnRenamed("score_a", "mix_score").withColumnRenamed("score_b", "dense_score")
-    t = top_k(f.withColumn("_rs", F.round("fused_score", 9)), 1000000, "query_id", "_rs", "item_id").join(
-        q.select("query_id", "n"), "query_id").where(F.col("rank") <= F.col("n"))
-    return t.select("query_id", "item_id", "mix_score", "fused_score", F.lit(None).cast("double").alias("rerank_score"),
-                    "rank", F.lit("P4" if hyde else "P2").alias("pipeline"))
+                              alpha, beta, group="query_id", own_a=pers)
+    f = f.withColumnRenamed("score_a", "mix_score").drop("score_b").join(q.select("query_id", "n"), "query_id")
+    t = top_n(f.withColumn("_rs", F.round("fused_score", 9)), "n", "_rs").select("query_id", "item_id", "mix_score", "fused_score", "rank")
+    if hyde:
+        r = _rerank(t.drop("rank"), q, docs, text, scorer).withColumnRenamed("rerank_rank", "rank")
+    else:
+        r = t.join(de.select("query_id", "item_id", "rerank_score"), ["query_id", "item_id"], "left").fillna(0.0, ["rerank_score"])
+    return r.select("query_id", "item_id", "mix_score", "fused_score", "rerank_score", "rank",
+                    F.lit("P4" if hyde else "P2").alias("pipeline"))
 
 
 # ---------------------------------------------------------------- RT-11: P3 RAG (no user signal)
 def p3_rag(queries, items, docs, vectors, scorer=None) -> DataFrame:
-    """Director pre-filter, exact dense search over-fetched max(3n, 30), genre/year post-filter,
-    rerank budget max(n, 20), in-list min-max of the dense score, best n."""
-    qn = queries.select("query_id", "n").agg(F.max("n")).first()[0] or 10
-    pre_q = queries.select("query_id", "director_filter")
-    it = items.select("item_id", F.col("director").alias("_d"))
-    de = dense_candidates(queries, vectors, over_fetch(int(qn), "filter"))
-    de = de.join(pre_q, "query_id").join(it, "item_id", "left").where(
-        F.col("director_filter").isNull() | (F.lower(F.trim("director_filter")) == F.lower(F.trim("_d")))) \
-        .select("query_id", "item_id", "dense_score")
-    de = metadata_filter(de, queries.withColumn("director_filter", F.lit(None).cast("string")), items)
-    de = top_k(de, max(int(qn), RERANK_K), "query_id", "dense_score", "item_id").drop("rank")
+    """Exact dense search, among the director's items where one is given; each query fetches its n, or
+    max(3n, 30) before a genre filter; rerank budget max(n, 20), in-list min-max of the dense
+    score, best n by the rerank score."""
+    has_genre = F.coalesce(F.size("genre_filter") > 0, F.lit(False))
+    budget = F.when(has_genre, F.greatest(F.col("n") * 3, F.lit(30))).otherwise(F.col("n"))
+    q = queries.where(F.col("vector").isNotNull()).withColumn("_budget", budget)
+    free, directed = q.where(F.col("director_filter").isNull()), q.where(F.col("director_filter").isNotNull())
+    most = free.agg(F.max("_budget")).first()[0] or 1
+    de = dense_candidates(free, vectors, int(most)).select("query_id", "item_id", "dense_score")
+    own = (directed.select("query_id", F.col("vector").alias("_qv"), F.lower(F.trim("director_filter")).alias("_d"))
+           .join(items.select("item_id", F.lower(F.trim("director")).alias("_d")), "_d").join(vectors, "item_id")
+           .select("query_id", "item_id", F.round(cosine("_qv", "vector", 1e-12), 9).alias("dense_score")))
+    de = top_n(de.unionByName(own).join(q.select("query_id", "_budget"), "query_id"), "_budget", "dense_score").drop("rank", "_budget")
+    none = F.lit(None)
+    genre_only = queries.withColumns({"director_filter": none.cast("string"), "year_min": none.cast("int"), "year_max": none.cast("int")})
+    de = metadata_filter(de, genre_only, items).join(queries.select("query_id", F.greatest("n", F.lit(RERANK_K)).alias("_kept")), "query_id")
+    de = top_n(de, "_kept", "dense_score").select("query_id", "item_id", "dense_score")
     de = fu.minmax_rows(de, "query_id", "dense_score", "dense_norm")
     r = _rerank(de, queries, docs, "semantic_description", scorer).join(queries.select("query_id", "n"), "query_id") \
         .where(F.col("rerank_rank") <= F.col("n"))
@@ -170,47 +210,56 @@ def p3_rag(queries, items, docs, vectors, scorer=None) -> DataFrame:
 
 # ---------------------------------------------------------------- RT-13: P5 deep hybrid
 def p5_deep(queries, subs, scores, items, docs, vectors, index, seen, alpha=DEFAULT_ALPHA, beta=DEFAULT_BETA,
-            scorer=None) -> DataFrame:
+            scorer=None, popular=None) -> DataFrame:
     """Satisfiable queries: candidate pool (hypothetical text at 0.75 + sub-queries, max-merged),
-    personal top-30, z-fusion, best 2n reranked after fusion, cut to n. Unsatisfiable queries
-    produce no rows here (their fallback is flagged by ``fallback_trigger``)."""
-    ok, _ = satisfiable_split(queries)
-    hyde = ok.select("query_id", hyde_gate("text", "hypothetical_ideal", "semantic_description").alias("text"), "vector")
+    personal top-30, pool-only ids scored by lookup, z-fusion, best 2n reranked after fusion by
+    hypothetical and semantic text, cut to n. Unsatisfiable queries produce no rows here (their
+    fallback is flagged by ``fallback_trigger``)."""
+    ok, _ = satisfiable_split(_rich_text(queries))
+    hyde = ok.select("query_id", F.col("_hyde").alias("text"), "vector")
     pool = rt.candidate_pool(index, hyde, subs.join(ok.select("query_id"), "query_id", "left_semi"), vectors.select(
         F.col("item_id").alias("doc_id"), "vector"), 30, round_digits=9).withColumnRenamed("doc_id", "item_id")
-    pers = personal_candidates(ok, scores, items, seen, 30).drop("rank")
-    f = fu.candidate_z_fusion(pers.withColumnRenamed("mix_score", "score"), pool, alpha, beta, group="query_id")
-    f = f.withColumnRenamed("score_a", "mix_score").drop("score_b")
-    head = top_k(f.withColumn("_rs", F.round("fused_score", 9)), 1000000, "query_id", "_rs", "item_id") \
-        .join(ok.select("query_id", "n"), "query_id").where(F.col("rank") <= 2 * F.col("n")).drop("rank", "_rs", "n")
-    r = _rerank(head, ok, docs, "semantic_description", scorer)
+    pers = personal_candidates(ok, scores, items, seen, 30, True, popular).drop("rank")
+    personal = _with_lookup(pers, pool, ok, scores)
+    f = fu.candidate_z_fusion(personal.withColumnRenamed("mix_score", "score"), pool, alpha, beta, group="query_id", own_a=pers)
+    f = f.withColumnRenamed("score_a", "mix_score").drop("score_b").join(ok.select("query_id", (F.col("n") * 2).alias("_2n")), "query_id")
+    head = top_n(f.withColumn("_rs", F.round("fused_score", 9)), "_2n", "_rs").select("query_id", "item_id", "mix_score", "fused_score")
+    r = _rerank(head, ok, docs, "_rich", scorer)
     # A scorer that gave every candidate <= -90 carries no signal: keep the fused order then.
     w = Window.partitionBy("query_id")
     dropped = F.max("rerank_score").over(w) <= RERANK_DROPPED
-    fw = Window.partitionBy("query_id").orderBy(F.col("fused_score").desc(), F.col("item_id"))
-    r = r.withColumn("_fr", F.row_number().over(fw)).withColumn("rank", F.when(dropped, F.col("_fr")).otherwise(F.col("rerank_rank")))
+    fw = Window.partitionBy("query_id").orderBy(F.round("fused_score", 9).desc(), F.col("item_id"))
+    r = r.withColumn("_fr", F.row_number().over(fw)).withColumn("_drop", dropped) \
+        .withColumn("rank", F.when(F.col("_drop"), F.col("_fr")).otherwise(F.col("rerank_rank"))) \
+        .withColumn("rerank_score", F.when(~F.col("_drop"), F.col("rerank_score")))
     r = r.join(ok.select("query_id", "n"), "query_id").where(F.col("rank") <= F.col("n"))
     return r.select("query_id", "item_id", "mix_score", "fused_score", "rerank_score", "rank", F.lit("P5").alias("pipeline"))
 
 
 # ---------------------------------------------------------------- RT-14: router
 def recommend(queries, scores, items, docs, vectors, seen, subs=None, index=None, forced: str | None = None,
-              scorer=None) -> DataFrame:
+              scorer=None, popular=None) -> DataFrame:
     """Route every query row (FN-14) and union the pipelines' rows; TK-4 cut to the requested n;
-    PF-11 display score; 'none' rows (blank text) produce nothing."""
-    routed = queries.withColumn("route", route_query("text", "user_id", F.lit(forced) if forced else None))
+    PF-11 display score. 'none' rows (blank text) produce nothing, a route that does not exist
+    one row of pipeline 'error' without an item. ``forced``: a route for all rows, or the column
+    of ``queries`` that names one."""
+    route = None if forced is None else F.col(forced) if forced in queries.columns else F.lit(forced)
+    routed = queries.withColumn("route", route_query("text", "user_id", route))
     by = {p: routed.where(F.col("route") == p) for p in ("P1", "P2", "P3", "P4", "P5")}
-    parts = [p1_sequential(by["P1"], scores, items, docs, seen, scorer),
-             p2_dual(by["P2"], scores, items, docs, vectors, seen, scorer=scorer),
+    parts = [p1_sequential(by["P1"], scores, items, docs, seen, scorer, popular),
+             p2_dual(by["P2"], scores, items, docs, vectors, seen, scorer=scorer, popular=popular),
              p3_rag(by["P3"], items, docs, vectors, scorer),
-             p2_dual(by["P4"], scores, items, docs, vectors, seen, hyde=True, scorer=scorer)]
+             p2_dual(by["P4"], scores, items, docs, vectors, seen, hyde=True, scorer=scorer, popular=popular)]
     if subs is not None and index is not None:
-        parts.append(p5_deep(by["P5"], subs, scores, items, docs, vectors, index, seen, scorer=scorer))
+        parts.append(p5_deep(by["P5"], subs, scores, items, docs, vectors, index, seen, scorer=scorer, popular=popular))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     out = out.join(queries.select("query_id", "n"), "query_id").where(F.col("rank") <= F.col("n")).drop("n")
-    return out.withColumn("display_score", display_score("fused_score", "mix_score", "rerank_score"))
+    out = out.withColumn("display_score", display_score("fused_score", "mix_score", "rerank_score"))
+    failed = routed.where(F.col("route") == "error").select("query_id", *[
+        (F.lit("error") if f.name == "pipeline" else F.lit(None)).cast(f.dataType).alias(f.name) for f in out.schema.fields if f.name != "query_id"])
+    return out.unionByName(failed)
 
 
 # ---------------------------------------------------------------- RT-16 / AG-11
@@ -223,13 +272,15 @@ def overlap(a: DataFrame, b: DataFrame) -> DataFrame:
     return ca.join(cb, "query_id", "full").join(common, "query_id", "left").fillna(0, ["n_a", "n_b", "n_common"])
 
 
-def compare_pipelines(queries, scores, items, docs, vectors, seen, scorer=None) -> DataFrame:
-    """P1..P4 side by side for every query with a user, plus the P1 / P4 overlap."""
+def compare_pipelines(queries, scores, items, docs, vectors, seen, scorer=None, popular=None) -> DataFrame:
+    """P1..P4 side by side: (query_id, rank, p1..p4: the item each pipeline has at that rank) for every
+    query with a user, with the size of the P1 / P4 overlap."""
     q = queries.where(F.col("user_id").isNotNull())
-    p1 = p1_sequential(q, scores, items, docs, seen, scorer)
-    p2 = p2_dual(q, scores, items, docs, vectors, seen, scorer=scorer)
+    p1 = p1_sequential(q, scores, items, docs, seen, scorer, popular)
+    p2 = p2_dual(q, scores, items, docs, vectors, seen, scorer=scorer, popular=popular)
     p3 = p3_rag(q, items, docs, vectors, scorer)
-    p4 = p2_dual(q, scores, items, docs, vectors, seen, hyde=True, scorer=scorer)
-    counts = p1.unionByName(p2).unionByName(p3).unionByName(p4).groupBy("query_id").pivot(
-        "pipeline", ["P1", "P2", "P3", "P4"]).agg(F.count(F.lit(1)))
-    return counts.join(overlap(p1, p4).select("query_id", F.col("n_common").alias("p1_p4_common")), "query_id", "left")
+    p4 = p2_dual(q, scores, items, docs, vectors, seen, hyde=True, scorer=scorer, popular=popular)
+    rows = cut_lineage(p1.unionByName(p2).unionByName(p3).unionByName(p4).select("query_id", "rank", "pipeline", "item_id"))
+    side = rows.groupBy("query_id", "rank").pivot("pipeline", ["P1", "P2", "P3", "P4"]).agg(F.first("item_id"))
+    both = overlap(rows.where("pipeline = 'P1'"), rows.where("pipeline = 'P4'"))
+    return side.join(both.select("query_id", F.col("n_common").alias("p1_p4_common")), "query_id", "left").fillna(0, ["p1_p4_common"])

@@ -73,11 +73,13 @@ def q_fe03(spark, sf_dir):
 
 @register("fe04_truncated_svd")
 def q_fe04(spark, sf_dir):
-    """FE-4: rank-8 SVD of the document TF-IDF (100 terms); rows = documents (rows check)."""
-    t = fe.tfidf(tb.keyword_docs(spark, sf_dir), "text", "doc_id", max_features=100, min_df=2)
-    factors, _ = fe.truncated_svd(t.withColumnRenamed("doc_id", "item_id"), 8)
-    return factors.select(F.col("item_id").alias("doc_id"), F.size("factors").alias("k"),
-                          F.sqrt(F.aggregate("factors", F.lit(0.0), lambda a, x: a + x * x)).alias("norm"))
+    """FE-4: rank-8 SVD of the document TF-IDF (100 terms): the factors of every document (signs fixed by the
+    largest loading), zeros for one without any of the terms."""
+    docs = tb.keyword_docs(spark, sf_dir)
+    t = fe.tfidf(docs, "text", "doc_id", max_features=100, min_df=2)
+    factors, comp = fe.truncated_svd(t.withColumnRenamed("doc_id", "item_id"), 8)
+    return fe.with_all_rows(factors.withColumnRenamed("item_id", "doc_id"), docs, comp.count(), "doc_id").select(
+        "doc_id", F.posexplode("vector").alias("component", "value"))
 
 
 @register("fe05_binary_counts", with_(

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rankforge.functions import lists, scalars, text, vectors
 from rankforge.operators import prep
 from rankforge.operators.common import with_scalars
+from rankforge.operators.prep import user_top_genres
 from rankforge.plans.registry import register
 from rankforge.plans.sqlparts import INTERACTIONS, with_, wrap
 from rankforge.sources import tables as tb
@@ -247,10 +248,10 @@ def q_fn13(spark, sf_dir):
                     F.when(F.size("p.alphas") >= 2, F.element_at("p.alphas", 2)).alias("alpha2"))
 
 
-# Query table used by the routing / pipeline queries: one query per benchmark passage
-# (its first 8 words), issued by the latest buyer of the passage's part (none -> no user).
+# Query table used by the routing / pipeline queries: one query per benchmark passage,
+# issued by the latest buyer of the passage's part (none -> no user).
 QUERIES_SQL = """
-SELECT b.item_id AS query_id, array_to_string(string_split_regex(trim(b.text), '\\s+')[1:8], ' ') AS text,
+SELECT b.item_id AS query_id, b.text AS text,
        (SELECT arg_max(user_id, (ts, user_id)) FROM r WHERE r.item_id = b.item_id) AS user_id
 FROM benchmark b"""
 
@@ -297,15 +298,6 @@ def q_fn18(spark, sf_dir):
 ITEM_GENRES = "SELECT p_partkey AS item_id, p_name AS title, p_brand AS director, unnest(string_split(p_name, ' ')) AS genre FROM part"
 
 
-def user_top_genres(r, items, k: int = 3, threshold: float = 4.0):
-    """AG-10: (user_id, genre, n, rank) top-k genres of each user's liked items."""
-    liked = r.where(F.col("rating") >= threshold).select("user_id", "item_id")
-    g = liked.join(items.select("item_id", F.explode("genres").alias("genre")), "item_id")
-    c = g.groupBy("user_id", "genre").agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy("user_id").orderBy(F.col("n").desc(), F.col("genre").asc())
-    return c.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-
-
 TOPG_SQL = """
 SELECT user_id, genre, n, rank FROM (
   SELECT user_id, genre, CAST(count(*) AS BIGINT) AS n,

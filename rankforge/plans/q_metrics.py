@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from rankforge.operators import features as fe
 from rankforge.operators import metrics as ev
 from rankforge.operators import prep, ranking
-from rankforge.operators.models import knn
-from rankforge.plans.registry import register, rscore
+from rankforge.operators.item_matrix import matrix_topk
+from rankforge.operators.models import ease, knn
+from rankforge.plans.registry import register
 from rankforge.plans.sqlparts import FOLDED, INTERACTIONS, rs, with_, wrap
 from rankforge.session import cut_lineage
 from rankforge.sources import tables as tb
@@ -200,20 +201,41 @@ def q_ev13(spark, sf_dir):
                                         (F.sum("hit") / F.count(F.lit(1))).alias("recall"))
 
 
-def cv_long(spark, sf_dir, positive_only: bool = False, model: str = "popularity"):
-    """EV-12: the 5-fold table (model, fold, metric, value); one plan per fold, unioned."""
-    fl = folds(spark, sf_dir)
-    cat = catalogue(spark, sf_dir)
+def cross_validate(folded, fit_topk, model: str, cat=None, k: int = 5):
+    """EV-12: the table (model, fold, metric, value) of any model. ``fit_topk(train, users)`` fits on a
+    fold's training rows and gives (user_id, item_id, rank, ...) for the users that its test rows judge."""
     out = None
-    for f in range(5):
-        train, test = prep.fold_split(fl, f)
-        topk, rel = pop_topk(train, test, cat, positive_only=positive_only)
+    for f in range(k):
+        train, test = prep.fold_split(folded, f)
+        rel = ev.relevant_items(test)
+        topk = fit_topk(train, rel.select("user_id").distinct())
         s = summary_for(train, test, cat, topk, rel).drop("n_users")
         long = ev.to_long(s.withColumn("fold", F.lit(f)).withColumn("model", F.lit(model)), ["model", "fold"])
         out = long if out is None else out.unionByName(long)
     return out
 
 
+def cv_long(spark, sf_dir, positive_only: bool = False, model: str = "popularity"):
+    """EV-12 of the popularity rankers."""
+    cat = catalogue(spark, sf_dir)
+
+    def fit_topk(train, users):
+        return ranking.top_k_prior(pop_prior(train, cat, positive_only), users, train, K)
+
+    return cross_validate(folds(spark, sf_dir), fit_topk, model, cat)
+
+
+def knn_topk(train, users):
+    """The item-kNN ranker as a model for cross-validation."""
+    return knn.knn_topk(train, K, train).join(users, "user_id", "left_semi")
+
+
+def ease_topk(train, users):
+    """EASE (lambda 500, column form) as a model for cross-validation."""
+    x = prep.positives(train).select("user_id", "item_id", F.lit(1.0).alias("weight"))
+    return matrix_topk(x.join(users, "user_id", "left_semi"), ease.ease_model(x, 500.0, "column"), K, train)
+
+
 def _cv_sql(positive_only: bool, model: str) -> str:
     parts = []
     for f in range(5):
@@ -236,6 +258,39 @@ def q_ev12(spark, sf_dir):
     return cv_long(spark, sf_dir)
 
 
+def _knn_fold_sql(f: int) -> str:
+    b = {k: v for k, v in base_sql(f).items() if k not in ("cand", "ranked", "top")}
+    return with_(**b, **knn_sql_on("train"),
+                 kun="SELECT sc.* FROM sc JOIN (SELECT DISTINCT user_id FROM rel) u USING (user_id) ANTI JOIN train USING (user_id, item_id)",
+                 kr=f"SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY {rs('score')} DESC, item_id) AS rank FROM kun",
+                 top=f"SELECT * FROM kr WHERE rank <= {K}", **per_user_sql()) + f"""
+SELECT 'item_knn' AS model, CAST({f} AS INTEGER) AS fold, metric, CAST(value AS DOUBLE) AS value FROM (
+  SELECT avg(ap) AS map_at_10, avg(ndcg) AS ndcg_at_10, avg(precision) AS precision_at_10, avg(recall) AS recall_at_10,
+         avg(hit) AS hit_rate_at_10, avg(serendipity) AS serendipity, avg(novelty) AS novelty FROM per)
+UNPIVOT (value FOR metric IN (map_at_10, ndcg_at_10, precision_at_10, recall_at_10, hit_rate_at_10, serendipity, novelty))"""
+
+
+def knn_sql_on(src: str) -> dict:
+    return dict(
+        g=f"SELECT a.item_id AS i, b.item_id AS j, sum(a.rating * b.rating) AS g FROM {src} a JOIN {src} b USING (user_id) GROUP BY 1, 2",
+        n="SELECT i, sqrt(g) AS nrm FROM g WHERE i = j",
+        s="SELECT g.i, g.j, g.g / (ni.nrm * nj.nrm) AS sim FROM g JOIN n ni ON g.i = ni.i JOIN n nj ON g.j = nj.i",
+        sc=f"SELECT x.user_id, s.j AS item_id, sum(x.rating * s.sim) AS score FROM {src} x JOIN s ON x.item_id = s.i GROUP BY 1, 2",
+    )
+
+
+@register("ev12_cross_validate_knn", wrap(" UNION ALL ".join(f"SELECT * FROM ({_knn_fold_sql(f)}) f{f}" for f in range(5)), ["value"]))
+def q_ev12_knn(spark, sf_dir):
+    """EV-12: 5-fold cross-validation of the item-kNN ranker through the model callable."""
+    return cross_validate(folds(spark, sf_dir), knn_topk, "item_knn")
+
+
+@register("ev12_cross_validate_ease")
+def q_ev12_ease(spark, sf_dir):
+    """EV-12: 5-fold cross-validation of EASE through the model callable."""
+    return cross_validate(folds(spark, sf_dir), ease_topk, "ease")
+
+
 @register("ag09_fold_summary", wrap(f"""
 SELECT model, metric, avg(value) AS mean, stddev_samp(value) AS std_sample, stddev_pop(value) AS std_population,
        CAST(count(*) AS BIGINT) AS n_folds FROM ({CV_SQL}) t GROUP BY model, metric""",
@@ -260,15 +315,6 @@ def q_ag12(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- item-kNN metrics (the flagship model)
-def knn_sql_on(src: str) -> dict:
-    return dict(
-        g=f"SELECT a.item_id AS i, b.item_id AS j, sum(a.rating * b.rating) AS g FROM {src} a JOIN {src} b USING (user_id) GROUP BY 1, 2",
-        n="SELECT i, sqrt(g) AS nrm FROM g WHERE i = j",
-        s="SELECT g.i, g.j, g.g / (ni.nrm * nj.nrm) AS sim FROM g JOIN n ni ON g.i = ni.i JOIN n nj ON g.j = nj.i",
-        sc=f"SELECT x.user_id, s.j AS item_id, sum(x.rating * s.sim) AS score FROM {src} x JOIN s ON x.item_id = s.i GROUP BY 1, 2",
-    )
-
-
 @register("ev_knn_at_10", wrap(with_(**{k: v for k, v in base_sql().items() if k not in ("cand", "ranked", "top")},
                                       **knn_sql_on("train"),
                                       kun="SELECT sc.* FROM sc JOIN (SELECT DISTINCT user_id FROM rel) u USING (user_id) ANTI JOIN train USING (user_id, item_id)",
@@ -279,9 +325,7 @@ def q_ev_knn(spark, sf_dir):
     """EV-1..9 for the item-kNN ranker (flagship model) on fold 0."""
     train, test = split(spark, sf_dir)
     rel = ev.relevant_items(test)
-    scores = knn.knn_scores(train).join(rel.select("user_id").distinct(), "user_id", "left_semi")
-    unseen = prep.mask_seen(scores, train)
-    topk = ranking.top_k(unseen.withColumn("_rs", rscore()), K, score="_rs").drop("_rs")
+    topk = knn_topk(train, rel.select("user_id").distinct())
     return summary_for(train, test, None, topk, rel)
 
 

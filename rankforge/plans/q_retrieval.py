@@ -2,8 +2,7 @@
 
 Corpus: ``documents`` (document i describes part i); document vectors: the
 ``embeddings`` row with the same id. Queries: every ``benchmark`` passage
-(first 8 words as the query text, the whole passage as the hypothetical text)
-with the vector of the same id when one exists. Rankings order by scores
+(whole, as query text and as hypothetical text) with the vector of the same id when one exists. Rankings order by scores
 rounded to 1e-9 (the oracle's rule) so float summation order cannot flip ties.
 """
 
@@ -36,8 +35,7 @@ INDEX = dict(
     terms="SELECT term, df, CASE WHEN idf0 < 0 THEN 0.25 * (SELECT avg(idf0) FROM rawidf) ELSE idf0 END AS idf FROM rawidf",
 )
 
-BQ = """SELECT b.item_id AS query_id, array_to_string(string_split_regex(trim(b.text), '\\s+')[1:8], ' ') AS text,
-          b.text AS full_text, CAST(e.embedding AS DOUBLE[]) AS vector
+BQ = """SELECT b.item_id AS query_id, b.text AS text, b.text AS full_text, CAST(e.embedding AS DOUBLE[]) AS vector
         FROM benchmark b LEFT JOIN embeddings e ON e.vec_id = b.item_id"""
 
 
@@ -171,38 +169,33 @@ def q_rt06(spark, sf_dir):
     return r.select("query_id", "doc_id", "score", F.col("rank").cast("int").alias("rank"))
 
 
-SUBS = """SELECT query_id, sub_id, text, vector, CASE WHEN sub_id = 0 THEN 0.3 ELSE 0.7 END AS alpha FROM (
-  SELECT query_id, 0 AS sub_id, string_split(full_text, '. ')[1] AS text, vector FROM bq
-  UNION ALL SELECT query_id, 1, string_split(full_text, '. ')[2], vector FROM bq
-    WHERE len(string_split(full_text, '. ')) >= 2) z"""
+SUBS = """SELECT query_id, CAST(sub_id - 1 AS INTEGER) AS sub_id, string_split(full_text, '. ')[sub_id] AS text, vector,
+  CASE WHEN sub_id = 1 THEN 0.3 ELSE 0.7 END AS alpha
+FROM (SELECT *, unnest(range(1, len(string_split(full_text, '. ')) + 1)) AS sub_id FROM bq) z"""
 
 
 @register("rt07_candidate_pool", wrap(with_(**INDEX, bq=BQ, hq="SELECT query_id, full_text AS text, vector FROM bq",
                                             **hybrid_sql("hq", "0.75", "a", 30, 60), subs=SUBS,
-                                            sq="SELECT query_id * 16 + sub_id AS query_id, query_id AS orig, text, vector, alpha FROM subs",
+                                            sq="SELECT row_number() OVER (ORDER BY query_id, sub_id) AS query_id, query_id AS orig, text, vector, alpha FROM subs",
                                             **hybrid_sql("sq", "alpha", "b", 30, 60)) + """
 SELECT query_id, doc_id, max(score) AS score FROM (
   SELECT query_id, doc_id, score FROM atop
   UNION ALL SELECT sq.orig, btop.doc_id, btop.score FROM btop JOIN sq USING (query_id)) z GROUP BY query_id, doc_id""",
                                       ["score"]))
 def q_rt07(spark, sf_dir):
-    """RT-7 / SO-1: hypothetical text (whole passage) at alpha 0.75 plus two sentence sub-queries at
-    alphas 0.3 / 0.7, hybrid top-30 each, merged by max score per document."""
+    """RT-7 / SO-1: hypothetical text (whole passage) at alpha 0.75 plus a sub-query for every sentence at
+    alphas 0.3 (first) / 0.7, hybrid top-30 each, merged by max score per document."""
     q = queries(spark, sf_dir)
     hyde = q.select("query_id", F.col("full_text").alias("text"), "vector")
-    parts = F.split("full_text", r"\. ")
-    s0 = q.select("query_id", F.lit(0).alias("sub_id"), F.element_at(parts, 1).alias("text"), "vector")
-    s1 = q.where(F.size(parts) >= 2).select("query_id", F.lit(1).alias("sub_id"), F.element_at(parts, 2).alias("text"),
-                                            "vector")
-    subs = s0.unionByName(s1).withColumn("alpha", F.when(F.col("sub_id") == 0, 0.3).otherwise(0.7))
+    subs = q.select("query_id", F.posexplode(F.split("full_text", r"\. ")).alias("sub_id", "text"), "vector") \
+        .withColumn("alpha", F.when(F.col("sub_id") == 0, 0.3).otherwise(0.7))
     return rt.candidate_pool(index(spark, sf_dir), hyde, subs, doc_vectors(spark, sf_dir), 30, round_digits=RD)
 
 
 def _overlap_sql(q: str, d: str) -> str:
-    qt = f"list_distinct({kw_sql(f'substr({q}, 1, 500)')})"
-    dt = f"list_distinct({kw_sql(f'substr({d}, 1, 512)')})"
-    return (f"CASE WHEN sqrt(len({qt}) * len({dt})) > 0 THEN len(list_intersect({qt}, {dt})) / sqrt(len({qt}) * len({dt})) "
-            f"ELSE 0.0 END")
+    qt, dt = f"list_distinct({kw_sql(q)})", f"list_distinct({kw_sql(d)})"
+    return (f"round(CASE WHEN sqrt(len({qt}) * len({dt})) > 0 THEN len(list_intersect({qt}, {dt})) / sqrt(len({qt}) * len({dt})) "
+            f"ELSE 0.0 END, {RD})")
 
 
 @register("rt08_rerank", wrap(with_(**INDEX, bq=BQ, **hybrid_sql("bq", "0.5", "h"),
@@ -212,8 +205,7 @@ SELECT query_id, doc_id, rerank_score,
   CAST(row_number() OVER (PARTITION BY query_id ORDER BY round(rerank_score, {RD}) DESC, doc_id) AS INTEGER) AS rerank_rank
 FROM p""", ["rerank_score"]))
 def q_rt08(spark, sf_dir):
-    """RT-8: hybrid top-30 re-scored by the default token-overlap scorer (query 500 / document 512
-    characters), re-ranked per query."""
+    """RT-8: hybrid top-30 re-scored by the default token-overlap scorer on whole texts, re-ranked per query."""
     q = queries(spark, sf_dir)
     h = rt.hybrid_search(index(spark, sf_dir), q, doc_vectors(spark, sf_dir), 0.5, round_digits=RD)
     pairs = (h.join(q.select("query_id", F.col("text").alias("query_text")), "query_id")

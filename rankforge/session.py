@@ -38,7 +38,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint directory, configuring a scratch one only if unset.
 
     A cluster names a shared folder in ``spark.checkpoint.dir``; we use it as is.
-    Only a session without one (local tests) gets a fresh scratch directory.
+    Only a local session without one (tests) gets a fresh scratch directory: on a
+    cluster a folder of the driver's machine is out of the executors' sight.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -46,6 +47,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         conf_dir = tempfile.mkdtemp(prefix="rankforge-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir

@@ -41,23 +41,28 @@ def read_folds(spark: SparkSession, directory: str, sep: str = "\t") -> DataFram
 
 
 # ---------------------------------------------------------------- SRC-3
-ITEM_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in (
-    "movie_id", "title", "year", "genres", "director", "top_cast", "overview", "movie_keywords", "vote_average",
-    "vote_count", "popularity", "runtime")])
-
-
-def read_items(spark: SparkSession, path: str) -> DataFrame:
-    """Item metadata CSV (quoted, multi-line text): id renamed, list fields -> arrays, numbers typed."""
-    df = spark.read.schema(ITEM_SCHEMA).option("header", True).option("multiLine", True) \
-        .option("escape", '"').csv(path)
-    return df.select(F.col("movie_id").cast("long").alias("item_id"), "title",
-                     F.expr("try_cast(year as int)").alias("year"),
-                     to_list("genres").alias("genres"), "director", to_list("top_cast").alias("top_cast"),
-                     "overview", to_list("movie_keywords").alias("movie_keywords"),
-                     F.expr("try_cast(vote_average as double)").alias("vote_average"),
-                     F.expr("try_cast(vote_count as double)").alias("vote_count"),
-                     F.expr("try_cast(popularity as double)").alias("popularity"),
-                     F.expr("try_cast(runtime as double)").alias("runtime"))
+# The columns of the metadata file and their kinds.
+ITEM_FIELDS = {
+    "movie_id": "long", "title": "text", "year": "int", "language": "text", "genres": "list", "director": "text",
+    "top_cast": "list", "overview": "text", "movie_keywords": "list", "vote_average": "double", "vote_count": "double",
+    "popularity": "double", "runtime": "double", "budget": "double", "revenue": "double",
+    "production_companies": "list", "production_countries": "list",
+}
+
+
+def read_items(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Item metadata CSV, fields found by the names in the header, in whatever order: id renamed,
+    list fields -> arrays, numbers typed; a field that the file lacks is null (an empty list).
+
+    Quoted text may hold line ends, so a file is one task; ``multi_line=False`` splits files
+    whose records are single lines."""
+    df = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"').csv(path)
+    out = []
+    for name, kind in ITEM_FIELDS.items():
+        c = F.col(name) if name in df.columns else F.lit(None).cast("string")
+        c = c if kind == "text" else to_list(c) if kind == "list" else c.try_cast(kind)
+        out.append(c.alias("item_id" if name == "movie_id" else name))
+    return df.select(*out)
 
 
 # ---------------------------------------------------------------- SRC-4

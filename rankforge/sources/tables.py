@@ -13,7 +13,7 @@ per-pair latest-row pick.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TABLES = (
@@ -77,45 +77,11 @@ def keyword_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", "text")
 
 
-def benchmark_queries(spark: SparkSession, sf_dir: str, n_words: int = 8) -> DataFrame:
-    """Query table (query_id, text): the first ``n_words`` words of each benchmark passage.
-
-    Queries are short by nature; the benchmark passages are the given query
-    source and every passage becomes one query.
-    """
-    b = table(spark, sf_dir, "benchmark")
-    words = F.split(F.trim(F.col("text")), r"\s+")
-    return b.select(F.col("item_id").alias("query_id"),
-                    F.array_join(F.slice(words, 1, n_words), " ").alias("text"))
+def benchmark_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Query table (query_id, text): every benchmark passage, whole, is one query."""
+    return table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
 
 
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "embeddings")
     return e.select(F.col("vec_id").alias("item_id"), F.col("embedding").alias("vector"), "label")
-
-
-# Implicit-feedback weight of each event type.
-EVENT_WEIGHTS = {"view": 1.0, "click": 2.0, "signup": 3.0, "purchase": 5.0, "error": 0.0}
-
-
-def event_weight(col: Column, weights: dict[str, float] = EVENT_WEIGHTS) -> Column:
-    expr = None
-    for k, v in weights.items():
-        expr = F.when(col == k, F.lit(v)) if expr is None else expr.when(col == k, F.lit(v))
-    return expr.otherwise(F.lit(0.0))
-
-
-def implicit_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Implicit feedback from ``events``: (user_id, item_id, weight) summed per pair.
-
-    The event payload ``{"k": n}`` names the item.
-    """
-    ev = table(spark, sf_dir, "events").select("user_id", "event_type", "props")
-    item = F.get_json_object("props", "$.k").cast("bigint")
-    return (ev.select("user_id", item.alias("item_id"), event_weight(F.col("event_type")).alias("w"))
-            .where(F.col("item_id").isNotNull())
-            .groupBy("user_id", "item_id").agg(F.sum("w").alias("weight")))
-
-
-def latest_window(keys: list[str], order_cols: list[str]) -> Window:
-    return Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order_cols])

@@ -27,25 +27,108 @@ def test_ease_equals_closed_form(spark, form):
     P = np.linalg.inv(X.T @ X + lam * np.eye(n))
     ref = -P / (np.diag(P)[None, :] if form == "column" else np.diag(P)[:, None])
     np.fill_diagonal(ref, 0.0)
-    B = _dense(ease.ease_fit(df, lam, form, None).collect(), "src_item", "dst_item", "weight", (n, n))
+    B = _dense(ease.ease_fit(df, lam, form, tile=4).collect(), "src_item", "dst_item", "weight", (n, n))
     assert np.allclose(B, ref, atol=1e-10)
     assert np.allclose(np.diag(B), 0.0)
     # D1: the two forms are transposes and rank differently in general.
     if form == "row":
-        Bc = _dense(ease.ease_fit(df, lam, "column", None).collect(), "src_item", "dst_item", "weight", (n, n))
+        Bc = _dense(ease.ease_fit(df, lam, "column").collect(), "src_item", "dst_item", "weight", (n, n))
         assert np.allclose(B, Bc.T, atol=1e-10)
 
 
-def test_ease_truncation_keeps_all_when_enough(spark):
+def _history(rng, users, items, density=0.5):
+    x = (rng.random((users, items)) < density) * rng.integers(1, 6, (users, items))
+    x[0, :] = rng.integers(1, 6, items)  # a power user with every item
+    return x.astype(float)
+
+
+def _frame(spark, x):
+    return spark.createDataFrame([(int(u), int(i) * 3 + 7, float(x[u, i])) for u, i in zip(*np.nonzero(x))], "user_id long, item_id long, weight double")
+
+
+@pytest.mark.parametrize("tile", [1, 7, 64, 300])
+def test_ease_of_200_items_is_the_closed_form(spark, tile):
+    """Tiles that do and don't divide the matrix; items that never meet have weights too."""
+    from rankforge.operators.item_matrix import matrix_scores, matrix_topk
     from rankforge.operators.models import ease
 
-    rng = np.random.default_rng(3)
-    X = (rng.random((20, 6)) < 0.6).astype(float)
-    df = spark.createDataFrame([(u, i, 1.0) for u in range(20) for i in range(6) if X[u, i]],
-                               "user_id long, item_id long, weight double")
-    a = _dense(ease.ease_fit(df, 3.0, "column", None).collect(), "src_item", "dst_item", "weight", (6, 6))
-    b = _dense(ease.ease_fit(df, 3.0, "column", 5).collect(), "src_item", "dst_item", "weight", (6, 6))
-    assert np.allclose(a, b)
+    n = 20 if tile == 1 else 200
+    x = _history(np.random.default_rng(tile), 30, n, 0.04)
+    df = _frame(spark, x)
+    p = np.linalg.inv(x.T @ x + 9.0 * np.eye(n))
+    ref = -p / np.diag(p)[None, :]
+    np.fill_diagonal(ref, 0.0)
+    m = ease.ease_model(df, 9.0, "column", tile=tile)
+    got = np.zeros((n, n))
+    for r in ease.ease_weights(m).collect():
+        got[(r.src_item - 7) // 3, (r.dst_item - 7) // 3] = r.weight
+    assert np.abs(got - ref).max() < 1e-9
+    scores = x @ ref
+    for r in matrix_scores(df, m).collect():
+        assert abs(r.score - scores[r.user_id, (r.item_id - 7) // 3]) < 1e-9
+    top = matrix_topk(df, m, 5, df).collect()
+    for u in range(30):
+        unseen = [i for i in range(n) if not x[u, i]]
+        want = sorted(unseen, key=lambda i: (-round(scores[u, i], 9), i))[:5] if x[u].any() else []
+        assert [(r.item_id - 7) // 3 for r in sorted((r for r in top if r.user_id == u), key=lambda r: r.rank)] == want
+
+
+def test_influences_are_the_largest_contributions(spark):
+    from rankforge.operators.models import ease
+
+    x = _history(np.random.default_rng(5), 12, 30, 0.3)
+    df = _frame(spark, x)
+    m = ease.ease_model(df, 5.0, "column", tile=8)
+    p = np.linalg.inv(x.T @ x + 5.0 * np.eye(30))
+    b = -p / np.diag(p)[None, :]
+    np.fill_diagonal(b, 0.0)
+    pairs = spark.createDataFrame([(u, (u % 30) * 3 + 7) for u in range(12)] + [(3, 1_000_000)], "user_id long, item_id long")
+    for r in ease.influences(df, m, pairs, 3).collect():
+        d = (r.item_id - 7) // 3
+        c = np.abs(x[r.user_id] * b[:, d])
+        c[x[r.user_id] == 0] = -1
+        assert (r.src_item - 7) // 3 == sorted(range(30), key=lambda i: (-round(c[i], 9), i))[r.rank - 1]
+
+
+def test_tiles_invert_any_positive_definite_matrix(spark):
+    from rankforge.operators.tiles import invert, store_tiles
+
+    rng = np.random.default_rng(1)
+    a = rng.normal(size=(23, 23))
+    a = a @ a.T + 0.5 * np.eye(23)
+    df = spark.createDataFrame([(i, j, float(a[i, j])) for i in range(23) for j in range(i, 23)], "i long, j long, v double")
+    t = invert(spark, store_tiles(df, 23, 0.25, size=5))
+    got = np.block([[t.read(i, j) for j in range(t.blocks)] for i in range(t.blocks)])
+    assert np.allclose(got, np.linalg.inv(a + 0.25 * np.eye(23)))
+    assert invert(spark, store_tiles(df.limit(0), 0)).blocks == 0
+
+
+def test_knn_topk_with_a_power_user_equals_dense(spark):
+    from rankforge.operators.models import knn
+
+    x = _history(np.random.default_rng(8), 25, 40, 0.15)
+    x[1, :] = 0
+    x[1, 3] = 2.0
+    norm = np.sqrt((x * x).sum(0))
+    s = x @ ((x.T @ x) / np.outer(norm, norm))
+    top = knn.knn_topk(_frame(spark, x).withColumnRenamed("weight", "rating"), 6, _frame(spark, x)).collect()
+    for u in range(25):
+        unseen = [i for i in range(40) if not x[u, i] and s[u, i]]
+        want = sorted(unseen, key=lambda i: (-round(s[u, i], 9), i))[:6] if x[u].any() else []
+        assert [(r.item_id - 7) // 3 for r in sorted((r for r in top if r.user_id == u), key=lambda r: r.rank)] == want
+
+
+@pytest.mark.parametrize("values", [[1.0], [1, 1, 1, 5], list(range(100)), [1e300, -1e300, 0, 1e-300, 3, 3], [0.1, 0.1 + 1e-17, 0.1 + 2e-17, 0.3]])
+def test_weighted_quantiles_equal_numpy(spark, values):
+    from rankforge.operators.ranking import weighted_quantiles
+
+    rng = np.random.default_rng(0)
+    w = rng.integers(1, 5, len(values))
+    qs = [0.0, 0.1, 0.5, 0.74, 0.9, 1.0]
+    df = spark.createDataFrame([(float(v), float(k)) for v, k in zip(values, w)] + [(None, 3.0), (float("nan"), 2.0), (4.0, 0.0)], "v double, w double")
+    want = np.quantile(np.repeat(np.array(values, float), w), qs)
+    assert np.allclose(weighted_quantiles(df, qs, buckets=4), want)
+    assert all(np.isnan(x) for x in weighted_quantiles(df.limit(0), qs))
 
 
 # ---------------------------------------------------------------- Gram (J-1) with chunking

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 
@@ -164,3 +165,55 @@ def test_zero_std_fusion_is_finite(spark):
     b = spark.createDataFrame([(1, 3, 1.0)], "query_id long, item_id long, score double")
     rows = candidate_z_fusion(a, b, 0.8, 0.2).collect()
     assert all(np.isfinite(r["fused_score"]) for r in rows)
+
+
+@pytest.mark.parametrize("text,want", [
+    ("[\"Children's\", 'War']", ["Children's", "War"]), ("[\"Ocean's Eleven crew\"]", ["Ocean's Eleven crew"]),
+    ("""['It\\'s', 'a\\\\b', "say \\"x\\""]""", ["It's", "a\\b", 'say "x"']), ("['a, b', 'c|d']", ["a, b", "c|d"]), ("[]", []), (None, []),
+])
+def test_list_literals_with_quotes_fn1(spark, text, want):
+    from rankforge.functions.lists import to_list
+
+    got = spark.createDataFrame([(text,)], "x string").select(to_list("x")).first()[0]
+    assert got == (want or []), got
+
+
+def test_items_are_read_by_name_src3(spark, tmp_path):
+    """Columns in another order, with more of them, a quoted line end, and some missing."""
+    from rankforge.sources.readers import ITEM_FIELDS, read_items
+
+    (tmp_path / "m.csv").write_text('title,language,movie_id,genres,extra,overview,budget\n'
+                                    '"A ""b""",en,7,"[""Children\'s"", \'War\']",x,"two\nlines",12.5\n')
+    r = read_items(spark, str(tmp_path / "m.csv")).first()
+    assert (r.item_id, r.title, r.language, r.genres, r.overview, r.budget) == (7, 'A "b"', "en", ["Children's", "War"], "two\nlines", 12.5)
+    assert r.director is None and r.top_cast == [] and len(r) == len(ITEM_FIELDS) == 17
+
+
+def test_fallback_reasons_pf9(spark):
+    """Each rule alone, and the first of several."""
+    from rankforge.plans.pipelines import fallback_trigger
+
+    q = spark.createDataFrame([(i, 1) for i in range(6)], "query_id long, n int")
+    rows = [(1, 1.0, 0.0, 0.0), (2, -0.6, 0.0, 0.0), (3, 0.0, -0.7, 0.0), (4, 1.0, 0.0, -2.5), (5, 1.0, 0.0, float("nan"))]
+    res = spark.createDataFrame([(i, 9, *x) for i, *x in rows], "query_id long, item_id long, mix_score double, fused_score double, rerank_score double")
+    dense = spark.createDataFrame([(1, 0.2), (1, 0.1), (2, 0.9)], "query_id long, score double")
+    got = {r.query_id: r.reason for r in fallback_trigger(res, q, dense).collect()}
+    assert got == {0: "too_few_results", 1: "weak_dense_match", 2: "weak_personal_score", 3: "weak_personal_score", 4: "rerank_mismatch", 5: ""}
+
+
+def test_cold_start_and_director_search(spark):
+    """A user without history gets the popular list; P3 looks among the director's items, however far down they rank."""
+    from rankforge.plans.pipelines import p3_rag, personal_candidates
+
+    items = spark.createDataFrame([(i, ["g"], "Ann" if i == 99 else "Bob", 1990) for i in range(100)], "item_id long, genres array<string>, director string, year int")
+    vec = spark.createDataFrame([(i, [1.0, float(i)]) for i in range(100)], "item_id long, vector array<double>")
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(100)], "doc_id long, text string")
+    q = spark.createDataFrame([(1, 5, "t", "t", "h", None, " ANN ", None, None, 3, True, [1.0, 0.0]), (2, 77, "t", "t", "h", None, None, None, None, 2, True, [1.0, 0.0])],
+                              "query_id long, user_id long, text string, semantic_description string, hypothetical_ideal string, genre_filter array<string>, "
+                              "director_filter string, year_min int, year_max int, n int, db_satisfiable boolean, vector array<double>")
+    assert {(r.query_id, r.item_id) for r in p3_rag(q, items, docs, vec).collect()} == {(1, 99), (2, 0), (2, 1)}
+    scores = spark.createDataFrame([(5, 99, 1.0)], "user_id long, item_id long, score double")
+    seen = spark.createDataFrame([(5, 1)], "user_id long, item_id long")
+    popular = spark.createDataFrame([(i, float(i % 10)) for i in range(100)], "item_id long, score double")
+    got = {(r.query_id, r.item_id, r.rank) for r in personal_candidates(q, scores, items, seen, "n", True, popular).collect()}
+    assert got == {(1, 99, 1), (2, 9, 1), (2, 19, 2)}
