@@ -19,10 +19,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rankforge.llm.common import alnum_words, prepare
+from rankforge.llm.common import alnum_words, prepare, stored
 
 #: Buckets of the term hash; labelled rows in the sample; features; factors of a feature; texts that must hold a feature.
 BUCKETS, MOST_ROWS, MOST_TERMS, FACTORS, LEAST_TEXTS = 1 << 20, 20_000, 1024, 8, 5
@@ -91,28 +92,28 @@ class FactorizationMachine:
         return 1 / (1 + np.exp(-np.clip(self.margin(doc[own >= 0], own[own >= 0], len(column)), -35, 35)))
 
 
-def strongest_terms(doc: np.ndarray, bucket: np.ndarray, label: np.ndarray, buckets: int, most: int, least: int) -> np.ndarray:
-    """Buckets in at least ``least`` texts, with the largest log likelihood ratio against the label."""
-    n, positive = len(label), label.sum()
-    held = np.bincount(bucket, minlength=buckets).astype(float)
-    own = np.flatnonzero(held >= least)
-    held, both = held[own], np.bincount(bucket, weights=label[doc], minlength=buckets)[own]
+def strongest_terms(rows: DataFrame, n: int, positive: float, most: int, least: int) -> DataFrame:
+    """``bucket`` of the ``most`` terms in at least ``least`` of n texts that have the largest log likelihood ratio
+    against the label; ``rows(label, bucket)``: the terms of each text."""
+    counts = rows.groupBy("bucket").agg(F.count(F.lit(1)).cast("double").alias("held"), F.sum("label").cast("double").alias("both")).filter(F.col("held") >= least)
+    held, both, n, positive = F.col("held"), F.col("both"), F.lit(float(n)), F.lit(float(positive))
 
-    def term(seen, expected):
-        return np.where(seen > 0, seen * np.log(np.maximum(seen, 1e-12) / np.maximum(expected, 1e-12)), 0)
+    def term(seen: Column, share: Column) -> Column:
+        expected = share / n
+        return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(F.lit(0.0))
 
-    ratio = term(both, held * positive / n) + term(held - both, held * (n - positive) / n) + term(positive - both, (n - held) * positive / n) + term((n - held) - (positive - both), (n - held) * (n - positive) / n)
-    return np.sort(own[np.lexsort((own, -ratio))[:most]])
+    ratio = term(both, held * positive) + term(held - both, held * (n - positive)) + term(positive - both, (n - held) * positive) + term(n - held - positive + both, (n - held) * (n - positive))
+    return counts.select("bucket", F.round(ratio, 6).alias("ratio")).orderBy(F.desc("ratio"), "bucket").limit(most).select("bucket")
 
 
-def fit(doc: np.ndarray, bucket: np.ndarray, label: np.ndarray, buckets: int = BUCKETS, most: int = MOST_TERMS, factors: int = FACTORS, least: int = LEAST_TEXTS,
+def fit(doc: np.ndarray, bucket: np.ndarray, label: np.ndarray, buckets: int = BUCKETS, factors: int = FACTORS,
         epochs: int = 20, rate: float = 0.1, l2: float = 5e-4, weight: float = 4.0, batch: int = 128, seed: int = 7) -> FactorizationMachine:
     """Logistic loss (a positive row counts ``weight`` times), AdaGrad over mini-batches; ``doc`` (ascending) numbers the
-    rows of ``label``."""
+    rows of ``label``; every bucket that occurs is a feature."""
     n, positive = len(label), float(label.sum())
     feature = np.full(buckets, -1, np.int64)
     bias = float(np.log((positive + 1) / (n - positive + 1)))
-    kept = strongest_terms(doc, bucket, label, buckets, most, least) if n else np.empty(0, np.int64)
+    kept = np.unique(bucket)
     feature[kept] = np.arange(len(kept))
     rng = np.random.default_rng(seed)
     model = FactorizationMachine(feature, bias, np.zeros(len(kept)), rng.normal(0, 0.01, (len(kept), factors)))
@@ -148,11 +149,11 @@ def fit(doc: np.ndarray, bucket: np.ndarray, label: np.ndarray, buckets: int = B
 
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-          most_rows: int = MOST_ROWS, buckets: int = BUCKETS, **options) -> FactorizationMachine:
+          most_rows: int = MOST_ROWS, buckets: int = BUCKETS, most: int = MOST_TERMS, least: int = LEAST_TEXTS, **options) -> FactorizationMachine:
     """Fit on at most ``most_rows`` labelled rows among those that ``learn`` (of the id column ``id``) admits.
 
-    The sample is chosen from ids and labels alone; only then are its texts read. What comes to the driver is the
-    sample's hashed terms, bounded by ``most_rows`` texts.
+    The sample is chosen from ids and labels alone; only then are its texts read. Its terms are counted and chosen on
+    the cluster; what comes to the driver is which of the ``most`` chosen ones each of the sampled texts holds.
     """
     prepare(docs.sparkSession)
     rows = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).filter(F.col("label").isNotNull() & F.col("id").isNotNull()).filter(learn)
@@ -161,17 +162,40 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_
     sample = present.orderBy(F.xxhash64("id"), "id", "label").limit(most_rows)
 
     def terms(batches):
+        row = TaskContext.get().partitionId() << 40
         for batch in batches:
             doc, bucket = term_pairs(batch.column(2), buckets)
             cut = np.searchsorted(doc, np.arange(batch.num_rows + 1)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.string()), batch.column(1), pa.ListArray.from_arrays(pa.array(cut), pa.array(bucket.astype(np.int32)))], ["id", "label", "terms"])
-
-    found = texts.join(F.broadcast(sample), "id").select("id", "label", "text").mapInArrow(terms, "id string, label int, terms array<int>").toArrow()
-    found = found.sort_by([("id", "ascending"), ("label", "ascending")])
-    lists = found.column("terms").combine_chunks()
-    lists = lists if isinstance(lists, pa.Array) else pa.concat_arrays(lists.chunks) if lists.num_chunks else pa.array([], pa.list_(pa.int32()))
-    sizes = np.array(lists.value_lengths().to_numpy(zero_copy_only=False), np.int64)
-    return fit(np.repeat(np.arange(len(sizes)), sizes), lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64), found.column("label").to_numpy().astype(np.float64), buckets, **options)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(row + np.arange(batch.num_rows)), batch.column(0).cast(pa.string()), batch.column(1), pa.ListArray.from_arrays(pa.array(cut), pa.array(bucket.astype(np.int32)))],
+                ["row", "id", "label", "terms"])
+            row += batch.num_rows
+
+    found = stored(texts.join(F.broadcast(sample), "id").select("id", "label", "text").mapInArrow(terms, "row long, id string, label int, terms array<int>"), "toxicity-terms")
+    rows = found.select("row", "id", "label").toArrow().sort_by([("id", "ascending"), ("label", "ascending"), ("row", "ascending")])
+    label = rows.column("label").to_numpy().astype(np.float64)
+    each = found.select("label", F.explode("terms").alias("bucket"))
+    kept = np.sort([r[0] for r in strongest_terms(each, len(label), label.sum(), most, least).collect()]).astype(np.int64)
+
+    def chosen(batches):
+        for batch in batches:
+            lists = batch.column(1)
+            bucket = lists.flatten().to_numpy(zero_copy_only=False)
+            there = np.isin(bucket, kept)
+            size = np.diff(np.concatenate([[0], np.cumsum(there)])[np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)])
+            cut = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(cut), pa.array(bucket[there].astype(np.int32)))], ["row", "terms"])
+
+    held = found.select("row", "terms").mapInArrow(chosen, "row long, terms array<int>").toArrow()
+    lists = pa.concat_arrays(held.column("terms").chunks) if held.num_rows else pa.array([], pa.list_(pa.int32()))
+    size = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    # Rows in the order of their ids, each with the chosen terms it holds.
+    key = rows.column("row").to_numpy()
+    order = np.argsort(key)
+    doc = np.repeat(order[np.searchsorted(key[order], held.column("row").to_numpy())] if len(key) else np.empty(0, np.int64), size)
+    bucket = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    place = np.lexsort((bucket, doc))
+    return fit(doc[place], bucket[place], label, buckets, **options)
 
 
 def toxicity(spark, model: FactorizationMachine):
