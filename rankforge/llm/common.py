@@ -7,6 +7,7 @@ white-space characters, and ``bytes.lower()`` lowers exactly A-Z.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -56,6 +57,17 @@ def byte_texts(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
+def runs_of(column: pa.Array, most: int = 2 << 20) -> Iterator[pa.Array]:
+    """Whole texts in runs of about ``most`` bytes."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)) if len(column) else np.empty(0)
+    at = 0
+    while at < len(column):
+        base = sizes[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(sizes, base + most, side="right")))
+        yield column.slice(at, end - at)
+        at = end
+
+
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Indices start, start+1, ... of each run, one run after the other."""
     ends = np.cumsum(lengths)

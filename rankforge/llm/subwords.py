@@ -14,13 +14,15 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from rankforge.llm.common import ragged, words_of
+from rankforge.llm.common import Words, ragged, words_of
 
 #: Characters that form a piece of their own behind letters (no apostrophe: "'s" and the like are pieces too),
 #: and the letters before them that need neither normalising nor a piece pattern.
 TAIL = ".,!*#$%&;:?|()-"
 LETTERS = "^[a-zß-öø-ÿ]+$"
 SPECIAL = "<|"
+#: Ids are put together for so many words at once.
+RUN_WORDS = 1 << 18
 
 
 class Ragged:
@@ -60,7 +62,7 @@ def _numbers(found: list) -> tuple[np.ndarray, np.ndarray]:
 class SubwordEncoder:
     """``encode(column)`` gives the ids of all texts, flat, and where each text ends."""
 
-    def __init__(self, path: str, most_words: int = 500_000):
+    def __init__(self, path: str, most_words: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core is one task's share
         from tokenizers import Tokenizer, pre_tokenizers
 
@@ -117,8 +119,9 @@ class SubwordEncoder:
                     self.ids.add(*encode(batch))
         return np.fromiter(map(known.__getitem__, parts), np.int64, len(parts))
 
-    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts as int32, ends of the texts); null has none."""
+    def encode(self, column: pa.Array, words: Words | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts as int32, ends of the texts); null has none. ``words``: the texts' lower-cased words,
+        where the caller has them already."""
         column = pc.fill_null(column, "")
         if not self.by_word:
             ids, lengths = _numbers(self.full.encode_batch_fast(column.to_pylist(), add_special_tokens=False))
@@ -126,13 +129,28 @@ class SubwordEncoder:
         if len(self.code) > self.most_words:
             self._clear()
         # A special token's text is matched in its own case.
-        words = words_of(column, lower=not pc.any(pc.match_substring(column, SPECIAL)).as_py())
-        runs = np.stack(self._runs(words.distinct), 1)[words.codes].ravel()
+        special = pc.any(pc.match_substring(column, SPECIAL)).as_py()
+        if words is None or special:
+            words = words_of(column, lower=not special)
+        runs = np.stack(self._runs(words.distinct), 1)
         there = runs >= 0
-        ids, taken = self.ids.take(runs[there])
-        lengths = np.zeros(len(runs), np.int64)
-        lengths[there] = taken
-        return ids, np.concatenate([[0], np.cumsum(lengths)])[2 * words.ends]
+        size = np.where(there, self.ids.length[np.where(there, runs, 0)], 0).sum(1)[words.codes]
+        ends = np.concatenate([[0], np.cumsum(size)])[words.ends]
+        ids, at = np.empty(int(size.sum()), np.int32), 0
+        for a in range(0, len(words.codes), RUN_WORDS):
+            own = runs[words.codes[a:a + RUN_WORDS]].ravel()
+            part, _ = self.ids.take(own[own >= 0])
+            ids[at:at + len(part)] = part
+            at += len(part)
+        pa.default_memory_pool().release_unused()  # else each batch's buffers stay with the worker
+        return ids, ends
+
+
+def vocabulary_size(path: str) -> int:
+    """Ids that the vocabulary can give, without loading a tokenizer."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    return 1 + max([*spec["model"]["vocab"].values(), *(t["id"] for t in spec.get("added_tokens", []))])
 
 
 _ENCODERS: dict[str, SubwordEncoder] = {}

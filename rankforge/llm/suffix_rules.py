@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankforge.llm.common import byte_texts, prepare, words_of
+from rankforge.llm.common import byte_texts, prepare, runs_of, words_of
 
 #: Words that a repeat must have to count as covering; most of a text that repeats may cover; most words of a repeat
 #: as a share of the text. Base rules: least words, most percent of words in 3-word windows found twice.
@@ -146,16 +146,6 @@ def _dup_lines(text: bytes) -> int:
     return len(lines) - len(set(lines))
 
 
-def runs_of(column: pa.Array, most: int = 2 << 20) -> Iterator[pa.Array]:
-    """Whole texts in runs of about ``most`` bytes."""
-    sizes = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)) if len(column) else np.empty(0)
-    at = 0
-    while at < len(column):
-        base = sizes[at - 1] if at else 0
-        end = max(at + 1, int(np.searchsorted(sizes, base + most, side="right")))
-        yield column.slice(at, end - at)
-        at = end
-
 
 def repetition(least: int = LEAST, most_covered: float = MOST_COVERED, most_longest: float = MOST_LONGEST):
     """A function of a text column that gives the struct ``FIELDS``."""

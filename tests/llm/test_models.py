@@ -246,7 +246,9 @@ def test_training_helps_texts_held_out(spark):
     texts = duckdb.sql(f"SELECT doc_id, text FROM '{MIDDLE}/documents.parquet'").fetchall()
     enc = attention_lm.encoder(queries.VOCABULARY)
     train = spark.createDataFrame([(bytes(enc.encode(pa.array([t]))[0].astype("<u2").tobytes()),) for d, t in texts if d % 5], "ids binary").repartition(2)
-    model = attention_lm.train_model(train, queries.VOCABULARY, 49407, every=2)
+    counts = np.bincount(np.concatenate([enc.encode(pa.array([t]))[0] for d, t in texts if d % 5]), minlength=enc.size).astype(float)
+    counts[49407] += sum(d % 5 > 0 for d, _ in texts)
+    model = attention_lm.train_model(train, counts, 49407, every=2)
     counted = attention_lm.replace(model, out=np.zeros_like(model.out))
     ids, ends = enc.encode(pa.array([t for d, t in texts if d % 5 == 0]))
     full, part = (attention_lm.log_probabilities(m, ids.astype(np.int64), ends, 49407).sum() for m in (model, counted))
