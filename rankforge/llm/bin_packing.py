@@ -214,5 +214,5 @@ def pack_documents(docs: DataFrame, vocabulary: str, end_id: int, capacity: int
         return pa.table({"piece_key": key[order], "sequence_id": (number << 40) + sequence, "offset": offset})
 
     dealt = pieces.select("piece_key", "length", F.pmod(F.xxhash64("piece_key"), F.lit(shards)).alias("shard"))
-    placed = dealt.groupBy("shard").applyInArrow(pack, "piece_key long, sequence_id long, offset long")
+    placed = dealt.repartition(shards, "shard").groupBy("shard").applyInArrow(pack, "piece_key long, sequence_id long, offset long")
     return pieces.join(placed, "piece_key").drop("piece_key")
