@@ -16,10 +16,12 @@ VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 #: Host and path rules, and patterns for what they leave open.
 URL_RULES = [url_rules.parse_rule(x) for x in ("allow org/", "block example.org/es/", "block example.org/en/1", "allow com/fr/", "block com/de/")]
 URL_PATTERNS = [
-    url_rules.Pattern(r"\bads?[-_.]track", ("ads", "track")),
+    url_rules.Pattern(r"\bad[-_.]track", ("ad",)),
+    url_rules.Pattern(r"\bads[-_.]track", ("ads",)),
     url_rules.Pattern(r"\bspam[-_.]farm\b", ("spam", "farm")),
     url_rules.Pattern(r"\bcasino([-_.](win|bet|slots))?\b", ("casino",)),
-    url_rules.Pattern(r"\bcheap[-_.]pills?\b", ("cheap", "pills")),
+    url_rules.Pattern(r"\bcheap[-_.]pill\b", ("cheap", "pill")),
+    url_rules.Pattern(r"\bcheap[-_.]pills\b", ("cheap", "pills")),
     url_rules.Pattern(r"\badult[-_.][a-z0-9]+", ("adult",)),
     url_rules.Pattern(r"[?&]utm_source=spam\b", ("utm", "source", "spam")),
 ]

@@ -115,6 +115,20 @@ def test_only_candidates_run_and_every_match_is_found(spark):
     assert found == {k: "block" if any(re.search(p.regex, u) for p in queries.URL_PATTERNS) else "allow" for k, u in enumerate(urls)}
 
 
+def test_forms_of_a_word_are_found_whichever_token_is_rarest(spark):
+    """Against the SQL's one expression; each host alone and all together, so that every token is the rarest at times."""
+    import re
+
+    pattern = re.search(r"regexp_matches\(lower\(url\),\s*'([^']+)'", sql.OP7)[1]
+    hosts = ["ad-track", "ads-track", "ad.tracker", "ads-tracker", "ads_tracking", "x-ad-track", "cheap-pill", "cheap_pills", "cheap.pill", "cheap-pillsx", "bad-track", "ad-x.track", "track.ads", "pills.cheap", "ads", "pills"]
+    urls = [f"http://{h}.x.com/" for h in hosts]
+    wanted = ["block" if re.search(pattern, u) else "allow" for u in urls]
+    assert set(wanted) == {"block", "allow"}
+    for own in ([*range(len(urls))], [0, 0, 2, 14], [3, 4, 12], [6, 6, 8, 15], [6, 7], [8]):
+        pages = spark.createDataFrame([(k, urls[k]) for k in own], "page_id long, url string")
+        assert {r.page_id: r.verdict for r in url_rules.judge_urls(pages, [], queries.URL_PATTERNS).collect()} == {k: wanted[k] for k in own}
+
+
 def test_url_plan_is_native(spark, small_dir):
     plan = queries.op7_url_rules(spark, small_dir)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange" not in plan
