@@ -255,6 +255,29 @@ def test_training_helps_texts_held_out(spark):
     assert full > part
 
 
+def test_every_window_trains_once_with_the_production_values():
+    m = small_model()
+    rng = np.random.default_rng(2)
+    for lengths in (np.arange(100), np.arange(1, 23), np.array([0]), np.full(7, 600)):
+        ids, ends = rng.integers(0, 40, lengths.sum()), np.cumsum(lengths)
+        rounds = [attention_lm.training_windows(m, ids, ends, 0, attention_lm.EVERY, turn) for turn in range(attention_lm.ROUNDS)]
+        assert sum(int(real.sum()) for _, _, real in rounds) == (lengths + 1).sum()
+        alone = attention_lm.training_windows(m, ids, ends, 0, 1, 0)
+        seen = sorted(x.tobytes() + c.tobytes() for xs, cs, _ in rounds for x, c in zip(xs, cs))
+        assert seen == sorted(x.tobytes() + c.tobytes() for x, c in zip(*alone[:2]))
+
+
+def test_short_texts_train_the_attention(spark):
+    """Texts of 2 to 23 subwords, the end included."""
+    rng = np.random.default_rng(5)
+    texts = [rng.integers(0, 40, n) for n in range(1, 23)]
+    train = spark.createDataFrame([(t.astype("<u2").tobytes(),) for t in texts], "ids binary")
+    counts = np.bincount(np.concatenate(texts), minlength=2000).astype(float)
+    counts[1999] += len(texts)
+    model = attention_lm.train_model(train, counts, 1999)
+    assert np.abs(model.near).max() > 0
+
+
 def test_lm_of_odd_rows(spark):
     from pyspark.sql import functions as F
 
