@@ -1,9 +1,10 @@
 """Packing of documents into training sequences by bin completion.
 
-The largest piece left opens a sequence. Its fillings are enumerated, those that an unused larger piece could
-improve (dominated ones) left out, and tried by least waste. A branch ends when its waste exceeds what the best
-solution so far can still be beaten with; best fit decreasing gives the first such solution. Pieces are counted
-by length, so a filling is used as often as its lengths allow.
+The largest piece left opens a sequence. Its fillings, of any number of pieces, are enumerated from tables of subset
+sums as the search asks for them, least waste first, without those that an unused piece could improve (dominated
+ones); a filling of few pieces without waste is looked for before the tables are made. A branch ends when its waste
+exceeds what the best solution so far can still be beaten with; best fit decreasing gives the first such solution.
+Pieces are counted by length, so a filling without waste is used as often as its lengths allow, then once less, and so on.
 
 Lengths are dealt by hash to shards of about ``SHARD`` pieces, each packed in a task of its own; a shard wastes
 less than a sequence more than one packing of all, so sequences are full to about 1/10,000.
@@ -15,6 +16,8 @@ columns are not looked at; an empty table gives no rows.
 from __future__ import annotations
 
 import bisect
+from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +28,7 @@ from pyspark.sql import functions as F
 from rankforge.llm.common import prepare, stored
 from rankforge.llm.subwords import encoder
 
-#: Pieces in a shard; fillings kept at a node; search steps after which the best solution so far is taken.
+#: Pieces in a shard; fillings kept by the quick look; search steps after which the best solution so far is taken.
 SHARD, WIDTH, STEPS = 60_000, 4, 20_000
 
 Pattern = tuple[int, ...]
@@ -60,7 +63,7 @@ def lower_bound(counts: np.ndarray, capacity: int) -> int:
 
 
 def fillings(counts: np.ndarray, room: int, width: int = WIDTH, depth: int = 4) -> list[Pattern]:
-    """Undominated fillings of ``room``, least waste first, then those with the larger pieces."""
+    """A quick look: undominated fillings of ``room`` by few pieces, least waste first, then those with the larger pieces."""
     if room <= 0:
         return [()]
     there = np.flatnonzero(counts[:room + 1])
@@ -106,39 +109,111 @@ def fillings(counts: np.ndarray, room: int, width: int = WIDTH, depth: int = 4)
     return [x for x in order if not dominated(x)][:width] or order[:1]
 
 
+def reachable(sizes: list[int], counts: np.ndarray, room: int) -> list[int]:
+    """Bit s of the k-th number is set where pieces of the k smallest ``sizes`` can fill s."""
+    full, table = (1 << (room + 1)) - 1, [1]
+    for x in sizes:
+        bits, left, step = table[-1], min(int(counts[x]), room // x), 1
+        while left > 0:
+            step = min(step, left)
+            bits |= (bits << (step * x)) & full
+            left, step = left - step, 2 * step
+        table.append(bits)
+    return table
+
+
+def all_fillings(counts: np.ndarray, room: int) -> Iterator[Pattern]:
+    """Every filling of ``room``, least waste first, then those with the larger pieces."""
+    sizes = np.flatnonzero(counts[:room + 1]).tolist()
+    table = reachable(sizes, counts, room)
+
+    def fill(total: int, k: int) -> Iterator[Pattern]:
+        if not total:
+            yield ()
+            return
+        for j in range(min(k, bisect.bisect_right(sizes, total)) - 1, -1, -1):
+            if not table[j + 1] >> total & 1:
+                return
+            x = sizes[j]
+            for m in range(min(int(counts[x]), total // x), 0, -1):
+                if table[j] >> (total - m * x) & 1:
+                    for rest in fill(total - m * x, j):
+                        yield (x,) * m + rest
+
+    for total in range(room, -1, -1):
+        if table[-1] >> total & 1:
+            yield from fill(total, len(sizes))
+
+
+def completions(counts: np.ndarray, head: int, capacity: int) -> Iterator[Pattern]:
+    """Every sequence that ``head`` opens, one without waste first, then by least waste. The counts may change between
+    two calls of ``next`` but are the same at each; the tables are made anew for every run of fillings, twice as long as
+    the one before, so that a path of many open nodes keeps none of them."""
+    room = capacity - head
+    counts[head] -= 1
+    first = fillings(counts, room)[0]
+    counts[head] += 1
+    exact = sum(first) == room
+    if exact:
+        yield (head, *first)
+        if len(first) < 2:
+            return  # nothing can take the place of a piece that fits exactly
+    at, many = 0, 8
+    while True:
+        counts[head] -= 1
+        run = list(islice(all_fillings(counts, room), at, at + many))
+        counts[head] += 1
+        for x in run:
+            if not exact or x != first:
+                yield (head, *x)
+        if len(run) < many:
+            return
+        at, many = at + many, 2 * many
+
+
+def dominated(counts: np.ndarray, pattern: Pattern, capacity: int) -> bool:
+    """An unused piece fits beside the filling, or in the place of a smaller one of it."""
+    slack = capacity - sum(pattern)
+    if not slack:
+        return False
+    return any(counts[y] > pattern.count(y) for x in {0, *pattern[1:]} for y in (x + 1 + np.flatnonzero(counts[x + 1:x + slack + 1])).tolist())
+
+
 def complete_bins(counts: np.ndarray, capacity: int, steps: int = STEPS) -> list[tuple[Pattern, int]]:
     """Branch and bound over fillings of the largest piece left: (pattern, how often) of the best solution found."""
     counts = counts.astype(np.int64).copy()
     best = [(p, 1) for p in best_fit(counts, capacity)]
     n_best, bound = len(best), lower_bound(counts, capacity)
     total = int((counts * np.arange(len(counts))).sum())
-    path: list[tuple[Pattern, int, list[Pattern], int]] = []  # pattern, times, others to try, waste before it
+    path: list[tuple[Pattern, int, Iterator[Pattern], int]] = []  # pattern, times, others to try, waste before it
     waste = used = 0
-    choices: list[Pattern] | None = None
+    choices: Iterator[Pattern] | None = None
     for _ in range(steps):
         if n_best <= bound:
             break
-        left = np.flatnonzero(counts)
-        if not len(left):
-            if used < n_best:
-                best, n_best = [(p, t) for p, t, _, _ in path], used
-            choices = []
-        allowed = (n_best - 1) * capacity - total - waste
         if choices is None:
-            head = int(left[-1])
-            counts[head] -= 1
-            choices = [(head, *x) for x in fillings(counts, capacity - head)]
-            counts[head] += 1
-        choices = [x for x in choices if capacity - sum(x) <= allowed]
-        if not choices:
+            left = np.flatnonzero(counts)
+            if not len(left) and used < n_best:
+                best, n_best = [(p, t) for p, t, _, _ in path], used
+            choices = completions(counts, int(left[-1]), capacity) if len(left) else iter(())
+        pattern = next(choices, None)
+        if pattern is None or capacity - sum(pattern) > (n_best - 1) * capacity - total - waste:
             if not path:
                 break
             pattern, times, choices, waste = path.pop()
             used -= times
             for x in pattern:
                 counts[x] += times
+            if times > 1:  # once less, and another sequence for the head that this frees
+                times -= 1
+                path.append((pattern, times, choices, waste))
+                used += times
+                for x in pattern:
+                    counts[x] -= times
+                choices = filter(lambda other, own=pattern: other != own, completions(counts, pattern[0], capacity))
+            continue
+        if dominated(counts, pattern, capacity):
             continue
-        pattern, choices = choices[0], choices[1:]
         lost = capacity - sum(pattern)
         times = min(int(counts[x]) // pattern.count(x) for x in set(pattern)) if lost == 0 else 1
         path.append((pattern, times, choices, waste))

@@ -172,6 +172,25 @@ def test_packing_is_close_to_the_bound():
     assert sequence.max() + 1 <= bin_packing.lower_bound(np.bincount(lengths, minlength=4097), 4096) + 1
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_completion_beats_best_fit_with_many_pieces_a_sequence(seed):
+    lengths = np.random.default_rng(seed).integers(300, 500, 400)  # about ten of 4096
+    counts = np.bincount(lengths, minlength=4097)
+    sequence, offset = bin_packing.pack_lengths(lengths, 4096)
+    check_places(lengths, sequence, offset, 4096)
+    assert len(lengths) / (sequence.max() + 1) >= 8
+    assert sequence.max() + 1 == bin_packing.lower_bound(counts, 4096) < len(bin_packing.best_fit(counts, 4096))
+
+
+def test_all_fillings_are_enumerated_by_waste():
+    pieces = [2, 2, 2, 3, 5, 5, 7, 9]
+    counts = np.bincount(pieces, minlength=21)
+    wanted = {tuple(sorted(c, reverse=True)) for k in range(9) for c in combinations(pieces, k) if sum(c) <= 20}
+    found = list(bin_packing.all_fillings(counts, 20))
+    assert len(found) == len(set(found)) and set(found) == wanted
+    assert [sum(x) for x in found] == sorted((sum(x) for x in found), reverse=True)
+
+
 def test_packed_documents(spark, small_dir, encoder):
     rows = queries.op2_bin_completion(spark, small_dir).collect()
     own = {}
