@@ -2,8 +2,9 @@
 
 score = w0 + sum w_i + sum over pairs <v_i, v_j> for the hashed terms i, j that a text holds (each once), through the
 logistic function: pairs such as an insult with a mention of a group have a weight of their own, which additive weights
-miss. The fit uses a bounded sample of labelled rows (``MOST_ROWS``, by a hash of the id); of the hashed terms the
-``MOST_TERMS`` with the strongest association with the label there are features. Scores cover whole texts of all rows.
+miss. The fit uses a bounded sample of labelled rows (``MOST_ROWS``, by a hash of the id); all hashed terms that
+``LEAST_TEXTS`` texts of it hold are features, also those that say nothing of the label alone. Scores cover whole
+texts of all rows.
 
 Defined results: null and wordless texts have the score of the bias alone; labels that are null are not learned from;
 an id with several labels is learned from once for each; without labelled rows the score is 0.5 for all; rows that
@@ -23,10 +24,10 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rankforge.llm.common import alnum_words, prepare, stored
+from rankforge.llm.common import alnum_words, prepare, ragged, runs_of, stored
 
-#: Buckets of the term hash; labelled rows in the sample; features; factors of a feature; texts that must hold a feature.
-BUCKETS, MOST_ROWS, MOST_TERMS, FACTORS, LEAST_TEXTS = 1 << 20, 20_000, 1024, 8, 5
+#: Buckets of the term hash; labelled rows in the sample; factors of a feature; texts that must hold a feature.
+BUCKETS, MOST_ROWS, FACTORS, LEAST_TEXTS = 1 << 20, 20_000, 8, 5
 PREFIXES, TIMES = (5, 6, 7), (2, 4)
 
 
@@ -87,23 +88,12 @@ class FactorizationMachine:
         return out
 
     def score(self, column: pa.Array) -> np.ndarray:
-        doc, bucket = term_pairs(column, len(self.feature), self.feature >= 0)
-        own = self.feature[bucket]
-        return 1 / (1 + np.exp(-np.clip(self.margin(doc[own >= 0], own[own >= 0], len(column)), -35, 35)))
-
-
-def strongest_terms(rows: DataFrame, n: int, positive: float, most: int, least: int) -> DataFrame:
-    """``bucket`` of the ``most`` terms in at least ``least`` of n texts that have the largest log likelihood ratio
-    against the label; ``rows(label, bucket)``: the terms of each text."""
-    counts = rows.groupBy("bucket").agg(F.count(F.lit(1)).cast("double").alias("held"), F.sum("label").cast("double").alias("both")).filter(F.col("held") >= least)
-    held, both, n, positive = F.col("held"), F.col("both"), F.lit(float(n)), F.lit(float(positive))
-
-    def term(seen: Column, share: Column) -> Column:
-        expected = share / n
-        return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(F.lit(0.0))
-
-    ratio = term(both, held * positive) + term(held - both, held * (n - positive)) + term(positive - both, (n - held) * positive) + term(n - held - positive + both, (n - held) * (n - positive))
-    return counts.select("bucket", F.round(ratio, 6).alias("ratio")).orderBy(F.desc("ratio"), "bucket").limit(most).select("bucket")
+        wanted, margins = self.feature >= 0, [np.empty(0)]
+        for run in runs_of(column):
+            doc, bucket = term_pairs(run, len(self.feature), wanted)
+            own = self.feature[bucket]
+            margins.append(self.margin(doc[own >= 0], own[own >= 0], len(run)))
+        return 1 / (1 + np.exp(-np.clip(np.concatenate(margins), -35, 35)))
 
 
 def fit(doc: np.ndarray, bucket: np.ndarray, label: np.ndarray, buckets: int = BUCKETS, factors: int = FACTORS,
@@ -149,11 +139,11 @@ def fit(doc: np.ndarray, bucket: np.ndarray, label: np.ndarray, buckets: int = B
 
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-          most_rows: int = MOST_ROWS, buckets: int = BUCKETS, most: int = MOST_TERMS, least: int = LEAST_TEXTS, **options) -> FactorizationMachine:
+          most_rows: int = MOST_ROWS, buckets: int = BUCKETS, least: int = LEAST_TEXTS, **options) -> FactorizationMachine:
     """Fit on at most ``most_rows`` labelled rows among those that ``learn`` (of the id column ``id``) admits.
 
-    The sample is chosen from ids and labels alone; only then are its texts read. Its terms are counted and chosen on
-    the cluster; what comes to the driver is which of the ``most`` chosen ones each of the sampled texts holds.
+    The sample is chosen from ids and labels alone; only then are its texts read. Its terms are counted on the
+    cluster; what comes to the driver is which of those in ``least`` texts each of the sampled texts holds.
     """
     prepare(docs.sparkSession)
     rows = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).filter(F.col("label").isNotNull() & F.col("id").isNotNull()).filter(learn)
@@ -174,14 +164,15 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_
     found = stored(texts.join(F.broadcast(sample), "id").select("id", "label", "text").mapInArrow(terms, "row long, id string, label int, terms array<int>"), "toxicity-terms")
     rows = found.select("row", "id", "label").toArrow().sort_by([("id", "ascending"), ("label", "ascending"), ("row", "ascending")])
     label = rows.column("label").to_numpy().astype(np.float64)
-    each = found.select("label", F.explode("terms").alias("bucket"))
-    kept = np.sort([r[0] for r in strongest_terms(each, len(label), label.sum(), most, least).collect()]).astype(np.int64)
+    common = found.select(F.explode("terms").alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("held")).filter(F.col("held") >= least)
+    kept = np.zeros(buckets, bool)
+    kept[common.select("bucket").toArrow().column("bucket").to_numpy()] = True
 
     def chosen(batches):
         for batch in batches:
             lists = batch.column(1)
             bucket = lists.flatten().to_numpy(zero_copy_only=False)
-            there = np.isin(bucket, kept)
+            there = kept[bucket]
             size = np.diff(np.concatenate([[0], np.cumsum(there)])[np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)])
             cut = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(cut), pa.array(bucket[there].astype(np.int32)))], ["row", "terms"])
@@ -189,13 +180,11 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_
     held = found.select("row", "terms").mapInArrow(chosen, "row long, terms array<int>").toArrow()
     lists = pa.concat_arrays(held.column("terms").chunks) if held.num_rows else pa.array([], pa.list_(pa.int32()))
     size = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-    # Rows in the order of their ids, each with the chosen terms it holds.
-    key = rows.column("row").to_numpy()
-    order = np.argsort(key)
-    doc = np.repeat(order[np.searchsorted(key[order], held.column("row").to_numpy())] if len(key) else np.empty(0, np.int64), size)
-    bucket = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-    place = np.lexsort((bucket, doc))
-    return fit(doc[place], bucket[place], label, buckets, **options)
+    # Rows in the order of their ids, each with the common terms it holds.
+    by_row = np.argsort(held.column("row").to_numpy())
+    place = by_row[np.searchsorted(held.column("row").to_numpy()[by_row], rows.column("row").to_numpy())] if held.num_rows else by_row
+    bucket = lists.flatten().to_numpy(zero_copy_only=False)[ragged((np.cumsum(size) - size)[place], size[place])]
+    return fit(np.repeat(np.arange(len(label)), size[place]), bucket, label, buckets, **options)
 
 
 def toxicity(spark, model: FactorizationMachine):

@@ -120,6 +120,21 @@ def test_machine_learns_a_pair_that_additive_weights_miss():
     assert (((model.margin(doc, own, len(sets)) > 0) == np.array(label)).mean()) > 0.99
 
 
+def test_training_keeps_terms_that_matter_only_in_a_pair(spark):
+    """Each word of the pair is as common in toxic texts as in others, and 1,200 words by chance are not."""
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(1)
+    rows = []
+    for k in range(3000):
+        a, b = k % 2, k // 2 % 2
+        rows.append((k, " ".join([("fool", "pal")[a], ("north", "south")[b], *(f"w{x}" for x in rng.integers(0, 1200, 3))]), int(a == b)))
+    table = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = fm_toxicity.train(table.select("doc_id", "text"), table.select("doc_id", "toxic"), F.lit(True), weight=1.0, epochs=60, l2=0.0)
+    score = model.score(pa.array(["fool north", "pal south", "fool south", "pal north"]))
+    assert (score[:2] > 0.9).all() and (score[2:] < 0.1).all(), score
+
+
 def test_terms_of_texts():
     doc, bucket = fm_toxicity.term_pairs(pa.array(["Abcdefgh abcdefgh, x", None, "x x"]))
     kinds = lambda w: {int(fm_toxicity._buckets(pa.array([w[:n] if n else w]), n, fm_toxicity.BUCKETS)[0]) for n in (0, *fm_toxicity.PREFIXES)}
