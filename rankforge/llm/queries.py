@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankforge.llm import attention_lm, bin_packing, fm_toxicity, rff_quality, simhash_bk, suffix_rules, token_blocks, url_rules, winnowing, zip_warc
+from rankforge.llm import attention_lm, bin_packing, collocations, fair_mixing, fm_toxicity, importance, rff_quality, simhash_bk, suffix_rules, token_blocks, url_rules, winnowing, zip_warc
 from rankforge.llm.common import fold, table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -79,6 +79,19 @@ def op10_factorization_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.withColumnRenamed("id", "doc_id")
+
+
+def op12_fair_queueing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fair_mixing.mix_sources(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+def op13_suffix_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine_phrases(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -88,4 +101,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_token_blocks, op2_bin_completion, op3_attention_lm, op4_zip_warc, op5_fourier_quality, op6_suffix_repetition, op7_url_rules, op8_simhash_bk_trees,
-        op9_winnowing, op10_factorization_toxicity, pipeline)}
+        op9_winnowing, op10_factorization_toxicity, op11_importance_resampling, op12_fair_queueing, op13_suffix_collocations, pipeline)}
