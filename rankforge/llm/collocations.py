@@ -36,9 +36,9 @@ from rankforge.llm.common import prepare, runs_of, stored
 
 LONGEST, LEAST, TOP, SHARE = 5, 100, 2000, 100
 #: Suffixes a group may hold; slots for each prefix length; bits of the table of words that can be in a candidate.
-BUDGET, SLOTS, WORD_BITS = 1_500_000, 1 << 12, 1 << 24
-#: A task sends what it has gathered when it holds so many suffixes.
-FLUSH = 1_000_000
+BUDGET, SLOTS, WORD_BITS = 2_000_000, 1 << 12, 1 << 24
+#: A task gathers texts of a language up to so many bytes, and sends their suffixes in runs of so many.
+RUN_BYTES, FLUSH = 12 << 20, 2_000_000
 _BREAKS = bytes(10 if chr(b) in ".,;:!?\n\x0b\x0c\r" else 32 if b in (9, 32) else b for b in bytes(range(256)).lower())
 _WORD_SALT = np.uint64(0x9E3779B97F4A7C15)
 
@@ -70,9 +70,9 @@ def pieces_of(column: pa.Array) -> Pieces:
     begin = np.flatnonzero(inside & (first[:-1] | ~np.concatenate([[False], inside[:-1]])))
     end = np.flatnonzero(inside & (first[1:] | ~np.concatenate([inside[1:], [False]]))) + 1
     owner = np.searchsorted(offsets, begin, side="right") - 1
-    breaks = np.cumsum(a == 10)
+    breaks = np.searchsorted(np.flatnonzero(a == 10), begin)
     last = np.ones(len(begin), bool)  # the last word of a piece
-    last[:-1] = (breaks[begin[1:]] != breaks[begin[:-1]]) | (owner[1:] != owner[:-1])
+    last[:-1] = (breaks[1:] != breaks[:-1]) | (owner[1:] != owner[:-1])
     at = np.arange(len(begin))
     ends = np.flatnonzero(last)
     room = ends[np.searchsorted(ends, at)] - at + 1 if len(at) else at
@@ -218,20 +218,37 @@ def _distinct(codes: np.ndarray, weights: np.ndarray, base: int) -> tuple[np.nda
     new = np.ones(len(codes), bool)
     new[1:] = (codes[1:] != codes[:-1]).any(1)
     at = np.flatnonzero(new)
-    return codes[at], np.add.reduceat(weights, at) if len(at) else weights
+    return codes[at], np.add.reduceat(weights, at, dtype=np.int64) if len(at) else weights
 
 
-SENT = "grp int, lang string, words array<string>, packed binary, n long"
+SENT = "grp int, lang string, words binary, packed binary, n long"
 
 
 def _second_scan(shared, longest: int):
-    """Truncated suffixes, one row a group and run of texts: its words, and columns of codes, depths and counts."""
+    """Truncated suffixes, one row a group and run of texts: its words, and columns of codes, depths and counts.
+
+    A run gathers texts of a language over batches: the longer it is, the more suffixes share a row and its words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         plan: Partition = shared.value
+        held: dict[bytes, list[pa.Array]] = {}
+        size: dict[bytes, int] = {}
+
+        def send(lang: bytes) -> Iterator[pa.RecordBatch]:
+            texts = pa.concat_arrays(held.pop(lang))
+            del size[lang]
+            for part in runs_of(texts, RUN_BYTES):
+                yield from _send(plan, lang, part, longest)
+
         for batch in batches:
             for lang, texts in by_language(batch.column(0), batch.column(1)):
-                for part in runs_of(texts, 8 << 20):
-                    yield from _send(plan, lang, part, longest)
+                held.setdefault(lang, []).append(texts.cast(pa.large_binary()))
+                size[lang] = size.get(lang, 0) + (pc.sum(pc.binary_length(texts)).as_py() or 0)
+                if size[lang] >= RUN_BYTES:
+                    yield from send(lang)
+            while sum(size.values()) > 2 * RUN_BYTES:
+                yield from send(max(size, key=size.get))
+        for lang in list(held):
+            yield from send(lang)
 
     return run
 
@@ -240,33 +257,41 @@ def _send(plan: Partition, lang: bytes, texts: pa.Array, longest: int) -> Iterat
     words = pieces_of(texts)
     hashes = word_hashes(lang, words.distinct)
     slot = (hashes % np.uint64(WORD_BITS)).astype(np.int64)
-    may = (plan.bits[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1) > 0
-    frequent = may[words.codes]
+    frequent = ((plan.bits[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1) > 0)[words.codes]
     # Words up to the next rare one, or to the end of the piece.
     at = np.arange(len(frequent))
     rare = np.append(np.flatnonzero(~frequent), len(frequent))
     length = np.minimum(np.minimum(words.room, longest), rare[np.searchsorted(rare, at)] - at)
+    # Commoner words get smaller codes, which pack better; 0 is "no word".
+    by_count = np.argsort(-np.bincount(words.codes, minlength=len(words.distinct)), kind="stable")
+    code = np.empty(len(words.distinct), np.int32)
+    code[by_count] = np.arange(1, len(by_count) + 1)
     at = at[length >= 2]
     for first in range(0, len(at), FLUSH):
         own = at[first:first + FLUSH]
         suffixes = Suffixes(words, hashes, own, length[own])
-        group, depth = plan.assign(suffixes)
-        columns = np.arange(longest)
-        codes = np.where(columns < suffixes.length[:, None], words.codes[np.minimum(own[:, None] + columns, len(words.codes) - 1)] + 1, 0)
-        rows, counts = _distinct(np.concatenate([group[:, None], codes, depth[:, None]], 1), np.ones(len(codes), np.int64), max(len(words.distinct), plan.groups))
+        rows = np.zeros((len(own), longest + 2), np.int32)
+        rows[:, 0], rows[:, longest + 1] = plan.assign(suffixes)
+        for d in range(longest):
+            more = suffixes.length > d
+            rows[more, d + 1] = code[words.codes[own[more] + d]]
+        rows, counts = _distinct(rows, np.ones(len(rows), np.int32), max(len(words.distinct), plan.groups))
         cuts = np.concatenate([[0], np.flatnonzero(np.diff(rows[:, 0])) + 1, [len(rows)]]) if len(rows) else np.array([0])
-        packer = zstandard.ZstdCompressor(level=1)
+        packer = zstandard.ZstdCompressor(level=3)
         out = []
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
             used, local = np.unique(rows[a:b, 1:longest + 1], return_inverse=True)
-            local = local.reshape(b - a, longest) + (0 if used[0] == 0 else 1)  # 0 stays "no word"
+            local = local.reshape(b - a, longest) + (0 if used[0] == 0 else 1)
             table = np.concatenate([local, rows[a:b, longest + 1:], counts[a:b, None]], 1).astype("<i4")
-            out.append((int(rows[a, 0]), [words.distinct[c - 1] for c in used.tolist() if c], packer.compress(np.ascontiguousarray(table.T).tobytes()), b - a))
+            # Byte by byte: all low bytes of a column, then the next ones, which are mostly zero.
+            planes = np.ascontiguousarray(table.T).view(np.uint8).reshape(longest + 2, b - a, 4).transpose(0, 2, 1)
+            spelled = b"\n".join(words.distinct[by_count[c - 1]] for c in used.tolist() if c)
+            out.append((int(rows[a, 0]), packer.compress(spelled), packer.compress(planes.tobytes()), b - a))
         if out:
             yield pa.RecordBatch.from_arrays([
                 pa.array([x[0] for x in out], pa.int32()), pa.array([lang.decode()] * len(out), pa.string()),
-                pa.array([x[1] for x in out], pa.list_(pa.binary())).cast(pa.list_(pa.string())),
-                pa.array([x[2] for x in out], pa.binary()), pa.array([x[3] for x in out], pa.int64())], ["grp", "lang", "words", "packed", "n"])
+                pa.array([x[1] for x in out], pa.binary()), pa.array([x[2] for x in out], pa.binary()), pa.array([x[3] for x in out], pa.int64())],
+                ["grp", "lang", "words", "packed", "n"])
 
 
 def _subtrees(longest: int, least: int):
@@ -288,17 +313,18 @@ def _subtrees(longest: int, least: int):
 
 def subtree(table: pa.Table, longest: int, least: int) -> Iterator[tuple[pa.Array, int, np.ndarray]]:
     """(phrases, their number of words, frequencies) for each depth from 2 on."""
-    words = table["words"].combine_chunks()
-    joined = words.flatten().dictionary_encode()
-    own, bounds = joined.indices.to_numpy(zero_copy_only=False).astype(np.int32) + 1, np.concatenate([[0], np.cumsum(pc.list_value_length(words).to_numpy())])
-    rows, weights = [], []
     unpacker = zstandard.ZstdDecompressor()
+    spelled = [unpacker.decompress(x).split(b"\n") for x in table["words"].to_pylist()]
+    joined = pa.array([w for x in spelled for w in x], pa.binary()).cast(pa.string()).dictionary_encode()
+    own, bounds = joined.indices.to_numpy(zero_copy_only=False).astype(np.int32) + 1, np.cumsum([0, *map(len, spelled)])
+    rows, weights = [], []
     for k, (packed, n) in enumerate(zip(table["packed"].to_pylist(), table["n"].to_pylist())):
-        part = np.frombuffer(unpacker.decompress(packed), "<i4").reshape(longest + 2, n)
+        planes = np.frombuffer(unpacker.decompress(packed), np.uint8).reshape(longest + 2, 4, n)
+        part = np.ascontiguousarray(planes.transpose(0, 2, 1)).reshape(longest + 2, n * 4).view("<i4")
         known = np.concatenate([np.zeros(1, np.int32), own[bounds[k]:bounds[k + 1]]])
         rows.append(np.concatenate([known[part[:longest]], part[longest:longest + 1]]).T)
         weights.append(part[longest + 1])
-    leaves, counts = _distinct(np.concatenate(rows), np.concatenate(weights).astype(np.int64), max(len(joined.dictionary), longest + 1))
+    leaves, counts = _distinct(np.concatenate(rows), np.concatenate(weights), max(len(joined.dictionary), longest + 1))
     below = np.concatenate([[0], np.cumsum(counts)])
     fresh = np.zeros(len(leaves), bool)  # the leaf shares fewer than d words with the one before it
     fresh[0] = True
