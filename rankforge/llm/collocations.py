@@ -29,7 +29,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankforge.llm.common import prepare, runs_of, stored
@@ -362,6 +362,12 @@ def phrase_frequencies(docs: DataFrame, longest: int = LONGEST, least: int = LEA
     return stored(phrases.unionByName(single), "phrases"), words.groupBy("lang").agg(F.sum("f").alias("n"))
 
 
+def cut_score(a: str, n: str, l: str, r: str) -> Column:
+    """floor(1000 a n / (l r)), exactly: a and n up to 17 digits each, their product in 38."""
+    return F.expr(f"cast(cast(1000 * cast({a} as decimal(17,0)) as decimal(21,0)) * cast({n} as decimal(17,0)) as decimal(38,0))"
+                  f" div cast(cast({l} as decimal(19,0)) * cast({r} as decimal(19,0)) as decimal(38,0))")
+
+
 def mine_phrases(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, top: int = TOP, share: int = SHARE, budget: int = BUDGET, slots: int = SLOTS,
                  text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score) of the first ``top`` phrases of each language.
@@ -379,10 +385,7 @@ def mine_phrases(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, to
     scored = (cuts.join(part.select("lang", F.col("part").alias("head"), F.col("f").alias("l")), ["lang", "head"])
               .join(part.select("lang", F.col("part").alias("rest"), F.col("f").alias("r")), ["lang", "rest"])
               .join(totals, "lang"))
-    wide = [F.col(c).cast("decimal(19,0)") for c in ("a", "n", "l", "r")]
-    product = (F.lit(1000).cast("decimal(4,0)") * wide[0]).cast("decimal(23,0)") * wide[1]
-    scored = scored.withColumn("top_", product.cast("decimal(38,0)")).withColumn("bottom_", (wide[2] * wide[3]).cast("decimal(38,0)"))
-    lowest = (scored.withColumn("score", F.expr("top_ div bottom_"))
+    lowest = (scored.withColumn("score", cut_score("a", "n", "l", "r"))
               .groupBy("lang", "phrase").agg(F.min(F.struct("score", "k", "a", "l", "r", "n")).alias("x")).select("lang", "phrase", "x.*"))
     inner = candidates.where("m > 2").select("lang", F.col("a").alias("longer"), F.explode(F.array(
         F.array_join(F.slice("words", F.lit(1), F.col("m") - 1), " "), F.array_join(F.slice("words", F.lit(2), F.col("m") - 1), " "))).alias("phrase"))
