@@ -28,12 +28,15 @@ from pyspark.sql import types as T
 
 # ---------------------------------------------------------------- Gram (J-1 + AG-3)
 def gram(x: DataFrame, user: str = "user_id", item: str = "item_id", weight: str = "weight",
-         chunk: int = 512, lam: float = 0.0) -> DataFrame:
+         chunk: int = 512, lam: float = 0.0, fold: str | None = None, folds: int = 0) -> DataFrame:
     """Upper-triangular Gram ``(item_i, item_j, g)`` with i <= j and g = sum_u w_ui * w_uj.
 
-    ``lam`` is added on the diagonal. Only co-occurring pairs are produced.
+    ``lam`` is added on the diagonal. Only co-occurring pairs are produced. With ``fold``, the column that says
+    which of ``folds`` a row belongs to, columns g0, g1, ... are the Grams of the training rows of each fold: the
+    whole one less every product with a row of that fold. All come from the one join.
     """
-    x = x.select(F.col(user).alias("_u"), F.col(item).alias("_i"), F.col(weight).cast("double").alias("_w"))
+    x = x.select(F.col(user).alias("_u"), F.col(item).alias("_i"), F.col(weight).cast("double").alias("_w"),
+                 F.col(fold).cast("int").alias("_f") if fold else F.lit(0).alias("_f"))
     # Number of chunks per user from its history length (an aggregate, then a
     # join that AQE splits if one user is hot).
     n_chunks = (x.groupBy("_u").agg(F.count(F.lit(1)).alias("_h"))
@@ -43,14 +46,15 @@ def gram(x: DataFrame, user: str = "user_id", item: str = "item_id", weight: str
     # Left copy goes to every chunk pair (c, b) with b >= c; right copy to (a, c) with a <= c.
     left = xc.select("_u", F.col("_c").alias("_ca"),
                      F.explode(F.sequence(F.col("_c"), F.col("_nc") - 1)).alias("_cb"),
-                     F.col("_i").alias("_a"), F.col("_w").alias("_wa"))
+                     F.col("_i").alias("_a"), F.col("_w").alias("_wa"), F.col("_f").alias("_fa"))
     right = xc.select("_u", F.explode(F.sequence(F.lit(0), F.col("_c"))).alias("_ca"),
-                      F.col("_c").alias("_cb"), F.col("_i").alias("_b"), F.col("_w").alias("_wb"))
+                      F.col("_c").alias("_cb"), F.col("_i").alias("_b"), F.col("_w").alias("_wb"), F.col("_f").alias("_fb"))
     pairs = (left.join(right, ["_u", "_ca", "_cb"])
              .where((F.col("_ca") < F.col("_cb")) | (F.col("_a") <= F.col("_b")))
              .select(F.least("_a", "_b").alias("item_i"), F.greatest("_a", "_b").alias("item_j"),
-                     (F.col("_wa") * F.col("_wb")).alias("_p")))
-    g = pairs.groupBy("item_i", "item_j").agg(F.sum("_p").alias("g"))
+                     (F.col("_wa") * F.col("_wb")).alias("_p"), *(["_fa", "_fb"] if fold else [])))
+    kept = [F.sum(F.when((F.col("_fa") != k) & (F.col("_fb") != k), F.col("_p")).otherwise(0.0)).alias(f"g{k}") for k in range(folds if fold else 0)]
+    g = pairs.groupBy("item_i", "item_j").agg(F.sum("_p").alias("g"), *kept)
     if lam:
         g = g.withColumn("g", F.when(F.col("item_i") == F.col("item_j"), F.col("g") + F.lit(float(lam)))
                          .otherwise(F.col("g")))

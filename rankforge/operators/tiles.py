@@ -4,15 +4,16 @@ A matrix of n rows is cut into tiles of ``TILE`` rows and columns; only tiles on
 diagonal are kept, each a file in the cluster's shared folder. One Spark task handles one tile and
 holds four of them at most, whatever n. ``invert`` is the symmetric block sweep: step k takes the
 tiles of block column k (the panel), and every other tile subtracts a product of two panel tiles,
-so a step is two Spark jobs without a shuffle. Files are written under a temporary name and then
-renamed, and a step reads only what the step before has finished, so lost or repeated tasks do no
-harm.
+so a step is two Spark jobs without a shuffle; the pivot tile is inverted once, by the task that
+makes it, and read by the others. Several matrices of one size go through the same jobs together.
+Files are written under a temporary name and then renamed, and a step reads only what the step
+before has finished, so lost or repeated tasks do no harm.
 """
 
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -33,12 +34,16 @@ def _opened(folder: str) -> tuple[fs.FileSystem, str]:
 
 @dataclass(frozen=True)
 class Tiles:
-    """A symmetric n x n matrix; ``name`` tells the files of its steps apart."""
+    """A symmetric n x n matrix; ``name`` tells the files of its steps apart, ``label`` those of matrices in one folder.
+
+    ``shift`` is added to the diagonal whenever the first tiles (``name`` ``raw``) are read."""
 
     folder: str
     n: int
     size: int
-    name: str = "0"
+    name: str = "raw"
+    label: str = ""
+    shift: float = 0.0
 
     @property
     def blocks(self) -> int:
@@ -50,47 +55,56 @@ class Tiles:
     def read(self, i: int, j: int, name: str | None = None) -> np.ndarray:
         """Block (i, j); below the diagonal it is the transpose of its mirror image."""
         a, b = min(i, j), max(i, j)
-        store, path = _opened(self.folder)
-        with store.open_input_file(f"{path}/{name or self.name}-{a}-{b}") as f:
-            tile = np.frombuffer(f.read(), np.float64).reshape(self.rows(a), self.rows(b))
+        tile = self.read_raw(name or self.name, a, b).reshape(self.rows(a), self.rows(b))
+        if self.shift and a == b and (name or self.name) == "raw":
+            tile = tile + self.shift * np.eye(len(tile))
         return tile if i <= j else tile.T
 
-    def read_vector(self, name: str, i: int) -> np.ndarray:
-        """The part of a stored vector that goes with block i."""
+    def read_raw(self, name: str, i: int, j: int, dtype=np.float64) -> np.ndarray:
+        """The numbers of a file, flat."""
         store, path = _opened(self.folder)
-        with store.open_input_file(f"{path}/{name}-{i}-{i}") as f:
-            return np.frombuffer(f.read(), np.float64)
+        with store.open_input_file(f"{path}/{self.label}{name}-{i}-{j}" if name != "raw" else f"{path}/raw-{i}-{j}") as f:
+            return np.frombuffer(f.read(), dtype)
+
+    def read_vector(self, name: str, i: int, dtype=np.float64) -> np.ndarray:
+        """The part of a stored vector that goes with block i."""
+        return self.read_raw(name, i, i, dtype)
 
-    def write_vectors(self, name: str, values: DataFrame) -> None:
+    def write_vectors(self, name: str, values: DataFrame, dtype=np.float64) -> None:
         """``values(pos, value)``, all of a vector, one file a block."""
         def fill(rows: pa.Table) -> pa.Table:
             pos, i = rows.column("pos").to_numpy(), rows.column("block")[0].as_py()
-            vector = np.zeros((1, self.rows(i)))
+            vector = np.zeros((1, self.rows(i)), dtype)
             vector[0, pos - i * self.size] = rows.column("value").to_numpy()
-            self.write(name, i, i, vector)
+            self.write(name, i, i, vector, dtype)
             return pa.table({"done": [1]})
 
         values.select("pos", "value", F.floor(F.col("pos") / self.size).cast("int").alias("block")).groupBy("block").applyInArrow(fill, "done long").count()
 
-    def write(self, name: str, i: int, j: int, tile: np.ndarray) -> None:
+    def write(self, name: str, i: int, j: int, tile: np.ndarray, dtype=np.float64) -> None:
         store, path = _opened(self.folder)
         part = f"{path}/.{uuid.uuid4().hex}"
         with store.open_output_stream(part) as f:
-            f.write(np.ascontiguousarray(tile, np.float64).tobytes())
-        store.move(part, f"{path}/{name}-{i}-{j}")
+            f.write(np.ascontiguousarray(tile, dtype).tobytes())
+        store.move(part, f"{path}/{self.label}{name}-{i}-{j}" if name != "raw" else f"{path}/raw-{i}-{j}")
 
 
-def each_tile(spark: SparkSession, places: list[tuple[int, int]], work) -> None:
-    """Run ``work(i, j)`` for every place, a task each."""
-    df = spark.createDataFrame(places, "i int, j int").repartition(len(places), "i", "j") if len(places) > 1 else spark.createDataFrame(places, "i int, j int")
+def each_tile(spark: SparkSession, places: list[tuple[int, ...]], work) -> None:
+    """Run ``work(*place)`` for every place, a task each."""
+    names = [f"p{k}" for k in range(len(places[0]))]
+    df = spark.createDataFrame(places, ", ".join(f"{c} int" for c in names))
+    if len(places) > 1:
+        df = df.repartition(len(places), *names)
 
     def run(batches):
         for batch in batches:
-            for i, j in zip(*(c.to_pylist() for c in batch.columns)):
-                work(i, j)
+            for place in zip(*(c.to_pylist() for c in batch.columns)):
+                work(*place)
                 yield pa.RecordBatch.from_arrays([pa.array([1])], ["done"])
 
-    assert df.mapInArrow(run, "done long").count() == len(places)
+    done = df.mapInArrow(run, "done long").count()
+    if done != len(places):
+        raise RuntimeError(f"{done} of {len(places)} tiles were made")
 
 
 def _upper(blocks: int) -> list[tuple[int, int]]:
@@ -99,25 +113,34 @@ def _upper(blocks: int) -> list[tuple[int, int]]:
 
 def store_tiles(entries: DataFrame, n: int, diagonal: float = 0.0, size: int = TILE) -> Tiles:
     """Tiles of the symmetric matrix with ``entries(i, j, v)``, i <= j (absent ones 0), plus ``diagonal`` on the diagonal."""
+    return store_all_tiles(entries, n, ["v"], diagonal, size)[0]
+
+
+def store_all_tiles(entries: DataFrame, n: int, values: list[str], diagonal: float = 0.0, size: int = TILE) -> list[Tiles]:
+    """Of each column of ``values`` in ``entries(i, j, ...)`` a matrix, all from one shuffle."""
     spark = entries.sparkSession
-    tiles = Tiles(f"{ensure_checkpoint_dir(spark).rstrip('/')}/tiles-{uuid.uuid4().hex}", n, size)
-    store, path = _opened(tiles.folder)
-    store.create_dir(path, recursive=True)
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tiles-{uuid.uuid4().hex}"
+    tiles = [Tiles(f"{base}/{v}", n, size) for v in values]
+    for t in tiles:
+        store, path = _opened(t.folder)
+        store.create_dir(path, recursive=True)
 
     def fill(rows: pa.Table) -> pa.Table:
         a, b = rows.column("a")[0].as_py(), rows.column("b")[0].as_py()
-        tile = np.zeros((tiles.rows(a), tiles.rows(b)))
-        i, j, v = (rows.column(c).to_numpy() for c in ("i", "j", "v"))
-        there = v != 0
-        tile[i[there] - a * size, j[there] - b * size] = v[there]
-        if a == b:
-            tile = np.triu(tile) + np.triu(tile, 1).T + diagonal * np.eye(len(tile))
-        tiles.write(tiles.name, a, b, tile)
+        i, j = (rows.column(c).to_numpy() for c in ("i", "j"))
+        for name, t in zip(values, tiles):
+            v = rows.column(name).to_numpy()
+            tile = np.zeros((t.rows(a), t.rows(b)))
+            there = v != 0
+            tile[i[there] - a * size, j[there] - b * size] = v[there]
+            if a == b:
+                tile = np.triu(tile) + np.triu(tile, 1).T + diagonal * np.eye(len(tile))
+            t.write("raw", a, b, tile)
         return pa.table({"done": [1]})
 
     # An entry of 0 for every tile, so that tiles without entries are written too.
-    empty = spark.createDataFrame([(a * size, b * size, 0.0) for a, b in _upper(tiles.blocks)], "i long, j long, v double")
-    rows = entries.select(F.col("i").cast("long").alias("i"), F.col("j").cast("long").alias("j"), F.col("v").cast("double").alias("v")).unionByName(empty)
+    empty = spark.createDataFrame([(a * size, b * size, *([0.0] * len(values))) for a, b in _upper(tiles[0].blocks)], ", ".join(["i long", "j long", *(f"{v} double" for v in values)]))
+    rows = entries.select(F.col("i").cast("long").alias("i"), F.col("j").cast("long").alias("j"), *[F.col(v).cast("double").alias(v) for v in values]).unionByName(empty)
     rows = rows.withColumn("a", F.floor(F.col("i") / size).cast("int")).withColumn("b", F.floor(F.col("j") / size).cast("int"))
     if n:
         rows.groupBy("a", "b").applyInArrow(fill, "done long").count()
@@ -126,43 +149,59 @@ def store_tiles(entries: DataFrame, n: int, diagonal: float = 0.0, size: int = T
 
 def invert(spark: SparkSession, tiles: Tiles) -> Tiles:
     """The inverse of a positive definite matrix, by a symmetric sweep over its block columns."""
-    if not tiles.n:
-        return tiles
-    for k in range(tiles.blocks):
-        old, new = tiles.name, str(int(tiles.name) + 1)
-
-        def panel(i: int, _: int, t=tiles, k=k, new=new) -> None:
-            column = t.read(i, k)
-            t.write(f"c{new}", i, i, column)
-            t.write(f"d{new}", i, i, column @ np.linalg.inv(t.read(k, k)))
-
-        def raw(t, kind, i, k=k):
-            store, path = _opened(t.folder)
-            with store.open_input_file(f"{path}/{kind}-{i}-{i}") as f:
-                return np.frombuffer(f.read(), np.float64).reshape(t.rows(i), t.rows(k))
-
-        def sweep(i: int, j: int, t=tiles, k=k, new=new, raw=raw) -> None:
+    return invert_all(spark, [tiles])[0]
+
+
+def invert_all(spark: SparkSession, matrices: list[Tiles]) -> list[Tiles]:
+    """The inverses of matrices of one size: each step of the sweep is one pair of jobs for all of them."""
+    blocks, many = matrices[0].blocks, range(len(matrices))
+    if not blocks:
+        return matrices
+    now = list(matrices)
+
+    def pivot(m: int, t=tuple(now)) -> None:
+        t[m].write("v0", 0, 0, np.linalg.inv(t[m].read(0, 0)))
+
+    each_tile(spark, [(m,) for m in many], pivot)
+    for k in range(blocks):
+        def panel(m: int, i: int, t=tuple(now), k=k) -> None:
+            column = t[m].read(i, k)
+            t[m].write(f"c{k}", i, i, column)
+            t[m].write(f"d{k}", i, i, column @ t[m].read_raw(f"v{k}", k, k).reshape(t[m].rows(k), -1))
+
+        def sweep(m: int, i: int, j: int, t=tuple(now), k=k) -> None:
+            own = t[m]
+            kept = lambda kind, at: own.read_raw(f"{kind}{k}", at, at).reshape(own.rows(at), own.rows(k))
             if i == j == k:
-                tile = -np.linalg.inv(t.read(k, k))
+                tile = -kept("v", k)
             elif j == k:
-                tile = raw(t, f"d{new}", i)
+                tile = kept("d", i)
             elif i == k:
-                tile = raw(t, f"d{new}", j).T
+                tile = kept("d", j).T
             else:
-                tile = t.read(i, j) - raw(t, f"d{new}", i) @ raw(t, f"c{new}", j).T
-            t.write(new, i, j, tile)
-
-        if tiles.blocks > 1:
-            each_tile(spark, [(i, i) for i in range(tiles.blocks) if i != k], panel)
-        each_tile(spark, _upper(tiles.blocks), sweep)
-        store, path = _opened(tiles.folder)
-        for info in store.get_file_info(fs.FileSelector(path)):
-            if info.base_name.startswith((f"{old}-", f"c{new}-", f"d{new}-")):
-                store.delete_file(info.path)  # this step's own inputs, which nothing reads any more
-        tiles = Tiles(tiles.folder, tiles.n, tiles.size, new)
-
-    def turn(i: int, j: int, t=tiles) -> None:
-        t.write("inverse", i, j, -t.read(i, j))
-
-    each_tile(spark, _upper(tiles.blocks), turn)
-    return Tiles(tiles.folder, tiles.n, tiles.size, "inverse")
+                tile = own.read(i, j) - kept("d", i) @ kept("c", j).T
+            own.write(f"s{k}", i, j, tile)
+            if i == j == k + 1:  # the next step's pivot
+                own.write(f"v{k + 1}", i, i, np.linalg.inv(tile))
+
+        if blocks > 1:
+            each_tile(spark, [(m, i) for m in many for i in range(blocks) if i != k], panel)
+        each_tile(spark, [(m, i, j) for m in many for i, j in _upper(blocks)], sweep)
+        for m in many:
+            _drop(now[m], [f"c{k}", f"d{k}", f"v{k}", *([now[m].name] if now[m].name != "raw" or not now[m].label else [])])
+            now[m] = replace(now[m], name=f"s{k}")
+
+    def turn(m: int, i: int, j: int, t=tuple(now)) -> None:
+        t[m].write("inverse", i, j, -t[m].read(i, j))
+
+    each_tile(spark, [(m, i, j) for m in many for i, j in _upper(blocks)], turn)
+    return [replace(t, name="inverse") for t in now]
+
+
+def _drop(tiles: Tiles, names: list[str]) -> None:
+    """Delete a step's own inputs, which nothing reads any more; raw tiles that labelled matrices share stay."""
+    store, path = _opened(tiles.folder)
+    ends = tuple(f"{tiles.label}{name}-" if name != "raw" else "raw-" for name in names)
+    for info in store.get_file_info(fs.FileSelector(path)):
+        if info.base_name.startswith(ends):
+            store.delete_file(info.path)

@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rankforge.operators.common import with_scalars
+from rankforge.operators.common import expand, with_scalars
 
 KNEE_GAIN = 0.003               # fixed value: marginal-gain knee
 
@@ -58,3 +58,10 @@ def best_trial(trials: DataFrame, metric: str = "map_at_10", key: str | None = N
     w = Window.partitionBy(key) if key else Window.partitionBy(F.lit(1))
     o = w.orderBy(F.round(F.col(metric), 9).desc(), F.col("trial").asc())
     return trials.withColumn("_r", F.row_number().over(o)).where("_r = 1").drop("_r")
+
+
+def route_counts(item_counts: DataFrame, thresholds: list[int]) -> DataFrame:
+    """TU-1: per cold threshold the items that go to the cold model (``n`` below it) and to the warm one."""
+    t = expand(item_counts, "threshold", thresholds)
+    return t.groupBy("threshold").agg(F.sum(F.when(F.col("n") < F.col("threshold"), 1).otherwise(0)).alias("n_cold"),
+                                      F.sum(F.when(F.col("n") >= F.col("threshold"), 1).otherwise(0)).alias("n_warm"))
