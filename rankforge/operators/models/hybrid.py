@@ -1,87 +1,22 @@
-"""Dense-semantics fused rankers (FU-2, FU-3, FU-4) computed block pair by block pair.
+"""AG-6 on score tables: a global percentile of per-user z-scores in which unscored items count.
 
-The reference fuses dense users x items score matrices: z-scores over the
-whole catalogue, a global percentile gate, a per-item popularity term.
-Here sparse arms (X.B, graph) stay long tables, content arms are profile .
-item-vector products, and per-user catalogue statistics are derived without
-materialising the matrix:
-
-* sparse arm: mean = sum / N, var = sum_sq / N - mean^2 (unscored items are 0);
-* content arm: mean = p . v_bar, E[s^2] = p^T C p / N with C = V^T V (d x d,
-  aggregated per partition with NumPy and summed on the cluster);
-* percentile gate: exact distributed weighted selection (``ranking.weighted_quantile``), each user's
-  implicit z value weighted by its number of unscored items.
-
-Scoring then runs in ``block_pair_topk``: each task scores one user block
-against one item block (GEMM for the content arms, the sparse arm entries
-of that block pair scattered in), masks seen items and keeps a partial
-top-k; a row_number merges. Work is users x items as in the reference, but
-per-task memory is bounded by the block sizes.
+Sparse scores stay a long table; a user's catalogue statistics are mean = sum / N and
+var = sum_sq / N - mean^2 (unscored items are 0), and each user's implicit z value enters the exact distributed
+selection (``ranking.weighted_quantile``) with the number of its unscored items as weight. Rankers over
+model scores are in ``fused``, which stores no scores at all.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from rankforge.operators.blocks import block_pair_topk
 from rankforge.operators.common import with_scalars
 from rankforge.session import cut_lineage
 
 EPS = 1e-8
 
 
-def vector_moments(vectors: DataFrame, col: str = "vector") -> DataFrame:
-    """One row: n, sum (array d), gram (array d*d, row-major) of the vectors.
-
-    Each partition reduces its rows with one NumPy product; the d*d partials
-    are then summed element-wise on the cluster."""
-    def part(it):
-        acc = None
-        n = 0
-        s = None
-        for pdf in it:
-            if len(pdf) == 0:
-                continue
-            M = np.vstack(pdf[col].to_numpy()).astype(np.float64)
-            g = M.T @ M
-            acc = g if acc is None else acc + g
-            s = M.sum(0) if s is None else s + M.sum(0)
-            n += len(pdf)
-        if acc is not None:
-            yield pd.DataFrame({"n": [n], "s": [s.tolist()], "g": [acc.reshape(-1).tolist()]})
-
-    schema = T.StructType([T.StructField("n", T.LongType()), T.StructField("s", T.ArrayType(T.DoubleType())),
-                           T.StructField("g", T.ArrayType(T.DoubleType()))])
-    parts = vectors.select(F.col(col).cast("array<double>").alias(col)).mapInPandas(part, schema)
-    sums = parts.select("n", F.posexplode("s").alias("_p", "_v"), F.lit("s").alias("_k")).unionByName(
-        parts.select("n", F.posexplode("g").alias("_p", "_v"), F.lit("g").alias("_k")))
-    agg = sums.groupBy("_k", "_p").agg(F.sum("_v").alias("_v"))
-    n = parts.agg(F.sum("n").alias("n"))
-    arr = agg.groupBy("_k").agg(F.array_sort(F.collect_list(F.struct("_p", "_v"))).alias("_e"))
-    s = arr.where("_k = 's'").select(F.transform("_e", lambda e: e["_v"]).alias("s"))
-    g = arr.where("_k = 'g'").select(F.transform("_e", lambda e: e["_v"]).alias("g"))
-    return with_scalars(with_scalars(n, s), g)
-
-
-def content_stats(profiles: DataFrame, item_vectors: DataFrame, prefix: str) -> DataFrame:
-    """(user_id, <prefix>_mu, <prefix>_sd) of p_u . v_i over all catalogue items (population std)."""
-    mom = vector_moments(item_vectors)
-    j = with_scalars(profiles.select("user_id", "vector"), mom)
-    d = F.size("vector")
-    mu = F.aggregate(F.zip_with("vector", "s", lambda p, s: p * s), F.lit(0.0), lambda a, v: a + v) / F.col("n")
-    # p^T G p = sum_a p_a * (sum_b G[a, b] p_b)
-    gp = F.transform(F.sequence(F.lit(0), d - 1), lambda a: F.aggregate(
-        F.sequence(F.lit(0), d - 1), F.lit(0.0),
-        lambda acc, b: acc + F.element_at("g", a * d + b + 1) * F.element_at("vector", b + 1)))
-    pgp = F.aggregate(F.zip_with("vector", gp, lambda p, q: p * q), F.lit(0.0), lambda a, v: a + v)
-    return j.select("user_id", mu.alias(f"{prefix}_mu"),
-                    F.sqrt(F.greatest(pgp / F.col("n") - mu * mu, F.lit(0.0))).alias(f"{prefix}_sd"))
-
-
 def sparse_stats(scores: DataFrame, n_items: DataFrame, prefix: str) -> DataFrame:
     """(user_id, <prefix>_mu, <prefix>_sd, <prefix>_n) over the catalogue, unscored = 0."""
     st = scores.groupBy("user_id").agg(F.sum("score").alias("_s1"), F.sum(F.col("score") ** 2).alias("_s2"),
@@ -104,86 +39,6 @@ def cf_percentile(cf: DataFrame, stats: DataFrame, users: DataFrame, n_items: Da
            .select((-F.coalesce(F.col("cf_mu"), F.lit(0.0)) / (F.coalesce(F.col("cf_sd"), F.lit(0.0)) + F.lit(EPS)))
                    .alias("_z"), (F.col("_N") - F.coalesce(F.col("cf_n"), F.lit(0))).cast("long").alias("_f"))
            .where(F.col("_f") > 0))
-    gate = weighted_quantile(z.unionByName(imp), perc / 100.0, "_z", "_f")
+    # Every pass of the selection reads the z-scores: join them once.
+    gate = weighted_quantile(cut_lineage(z.unionByName(imp)), perc / 100.0, "_z", "_f")
     return cf.sparkSession.createDataFrame([(float(gate),)], "_gate double")
-
-
-def gated_hybrid_topk(cf: DataFrame, seen: DataFrame, users: DataFrame, items: DataFrame,
-                      struct_profiles: DataFrame, struct_vectors: DataFrame,
-                      embed_profiles: DataFrame | None, embed_vectors: DataFrame | None,
-                      log_pop: DataFrame, alpha_struct: float, alpha_embed: float, beta: float,
-                      perc: float, k: int = 10, block: int = 2048) -> DataFrame:
-    """FU-3: z(cf) + a*z(struct) + b*z(embed)*[z(cf) < P_perc] - beta*log1p(pop), seen masked, top-k.
-
-    With ``embed_*`` None and beta 0 this is FU-2's w1*z(cf) + w2*z(content) (w1 = 1)."""
-    n_items = items.select("item_id").distinct().agg(F.count(F.lit(1)).cast("double").alias("_N"))
-    # The sparse arm is read by the statistics, the gate and the kernel: materialise it once.
-    cf = cut_lineage(cf.select("user_id", "item_id", "score"))
-    st = sparse_stats(cf, n_items, "cf")
-    ss = content_stats(struct_profiles, struct_vectors, "st")
-    u = users.select("user_id").distinct().join(st, "user_id", "left").join(ss, "user_id", "left")
-    u = u.join(struct_profiles.select("user_id", F.col("vector").alias("_ps")), "user_id", "left")
-    has_embed = embed_profiles is not None
-    if has_embed:
-        se = content_stats(embed_profiles, embed_vectors, "em")
-        u = u.join(se, "user_id", "left").join(embed_profiles.select("user_id", F.col("vector").alias("_pe")),
-                                               "user_id", "left")
-    gate = cf_percentile(cf, st, users, n_items, perc) if has_embed else None
-    ds = struct_vectors.select(F.size("vector").alias("_d")).agg(F.max("_d")).first()[0]
-    de = embed_vectors.select(F.size("vector").alias("_d")).agg(F.max("_d")).first()[0] if has_embed else 0
-    zeros = lambda n: F.array_repeat(F.lit(0.0), n)
-    ucols = [F.coalesce(F.col("cf_mu"), F.lit(0.0)), F.coalesce(F.col("cf_sd"), F.lit(0.0)),
-             F.coalesce(F.col("st_mu"), F.lit(0.0)), F.coalesce(F.col("st_sd"), F.lit(0.0))]
-    vparts = [F.coalesce(F.col("_ps"), zeros(ds))]
-    if has_embed:
-        u = with_scalars(u, gate)
-        ucols += [F.coalesce(F.col("em_mu"), F.lit(0.0)), F.coalesce(F.col("em_sd"), F.lit(0.0)), F.col("_gate")]
-        vparts.append(F.coalesce(F.col("_pe"), zeros(de)))
-    u = u.select("user_id", F.concat(F.array(*ucols), *vparts).alias("payload"))
-    it = items.select("item_id").distinct().join(log_pop.select("item_id", "lp"), "item_id", "left") \
-        .join(struct_vectors.select("item_id", F.col("vector").alias("_vs")), "item_id", "left")
-    iparts = [F.array(F.coalesce(F.col("lp"), F.lit(0.0))), F.coalesce(F.col("_vs"), zeros(ds))]
-    if has_embed:
-        it = it.join(embed_vectors.select("item_id", F.col("vector").alias("_ve")), "item_id", "left")
-        iparts.append(F.coalesce(F.col("_ve"), zeros(de)))
-    it = it.select("item_id", F.concat(*iparts).alias("payload"))
-    a_s, a_e, b_ = float(alpha_struct), float(alpha_embed), float(beta)
-    nu = 7 if has_embed else 4
-
-    def scorer(U, I, P):
-        zc = (P["cf"] - U[:, [0]]) / (U[:, [1]] + EPS)
-        ps = U[:, nu:nu + ds]
-        zs = (ps @ I[:, 1:1 + ds].T - U[:, [2]]) / (U[:, [3]] + EPS)
-        h = zc + a_s * zs
-        if has_embed:
-            pe = U[:, nu + ds:nu + ds + de]
-            ze = (pe @ I[:, 1 + ds:1 + ds + de].T - U[:, [4]]) / (U[:, [5]] + EPS)
-            h = h + a_e * ze * (zc < U[:, [6]])
-        return h - b_ * I[:, 0][None, :]
-
-    return block_pair_topk(u, it, k, scorer, left_payload="payload", right_payload="payload",
-                           pairs={"cf": cf.select("user_id", "item_id", "score")}, exclude=seen, block=block)
-
-
-def l2_fusion_topk(cf: DataFrame, graph: DataFrame, pop: DataFrame, seen: DataFrame, users: DataFrame,
-                   items: DataFrame, w1: float, w2: float, w3: float, k: int = 10, block: int = 2048) -> DataFrame:
-    """FU-4: (w1/s) L2(cf) + (w2/s) L2(graph) + (w3/s) pop, L2 per user over all items, s = w1+w2+w3."""
-    s = w1 + w2 + w3
-    n1 = cf.groupBy("user_id").agg(F.sqrt(F.sum(F.col("score") ** 2)).alias("_n1"))
-    n2 = graph.groupBy("user_id").agg(F.sqrt(F.sum(F.col("score") ** 2)).alias("_n2"))
-    u = (users.select("user_id").distinct().join(n1, "user_id", "left").join(n2, "user_id", "left")
-         .select("user_id", F.array(F.coalesce("_n1", F.lit(0.0)), F.coalesce("_n2", F.lit(0.0))).alias("payload")))
-    it = items.select("item_id").distinct().join(pop.select("item_id", "pop"), "item_id", "left") \
-        .select("item_id", F.array(F.coalesce("pop", F.lit(0.0))).alias("payload"))
-    c1, c2, c3 = w1 / s, w2 / s, w3 / s
-
-    def scorer(U, I, P):
-        with np.errstate(divide="ignore", invalid="ignore"):
-            a = np.where(U[:, [0]] > 0, P["cf"] / U[:, [0]], 0.0)
-            b = np.where(U[:, [1]] > 0, P["graph"] / U[:, [1]], 0.0)
-        return c1 * a + c2 * b + c3 * I[:, 0][None, :]
-
-    return block_pair_topk(u, it, k, scorer, left_payload="payload", right_payload="payload",
-                           pairs={"cf": cf.select("user_id", "item_id", "score"),
-                                  "graph": graph.select("user_id", "item_id", "score")},
-                           exclude=seen, block=block)

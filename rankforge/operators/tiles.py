@@ -81,6 +81,22 @@ class Tiles:
 
         values.select("pos", "value", F.floor(F.col("pos") / self.size).cast("int").alias("block")).groupBy("block").applyInArrow(fill, "done long").count()
 
+    def write_rows(self, name: str, values: DataFrame, width: int) -> None:
+        """``values(pos, vector)``, a row of ``width`` numbers each (0 where absent), one file a block; read flat by ``read_vector``."""
+        def fill(rows: pa.Table) -> pa.Table:
+            pos, i = rows.column("pos").to_numpy(), rows.column("block")[0].as_py()
+            out = np.zeros((self.rows(i), width))
+            given = [v is not None for v in rows.column("vector").to_pylist()]
+            if any(given):
+                out[pos[given] - i * self.size] = np.array([v for v in rows.column("vector").to_pylist() if v is not None], float)
+            self.write(name, i, i, out)
+            return pa.table({"done": [1]})
+
+        # A row of nothing for every block, so that blocks without rows are written too.
+        empty = values.sparkSession.createDataFrame([(i * self.size, None) for i in range(self.blocks)], "pos long, vector array<double>")
+        rows = values.select("pos", "vector").unionByName(empty)
+        rows.withColumn("block", F.floor(F.col("pos") / self.size).cast("int")).groupBy("block").applyInArrow(fill, "done long").count()
+
     def write(self, name: str, i: int, j: int, tile: np.ndarray, dtype=np.float64) -> None:
         store, path = _opened(self.folder)
         part = f"{path}/.{uuid.uuid4().hex}"
@@ -111,6 +127,14 @@ def _upper(blocks: int) -> list[tuple[int, int]]:
     return [(i, j) for i in range(blocks) for j in range(i, blocks)]
 
 
+def new_tiles(spark: SparkSession, n: int, size: int = TILE) -> Tiles:
+    """An empty folder for blocks of n rows."""
+    tiles = Tiles(f"{ensure_checkpoint_dir(spark).rstrip('/')}/tiles-{uuid.uuid4().hex}", n, size)
+    store, path = _opened(tiles.folder)
+    store.create_dir(path, recursive=True)
+    return tiles
+
+
 def store_tiles(entries: DataFrame, n: int, diagonal: float = 0.0, size: int = TILE) -> Tiles:
     """Tiles of the symmetric matrix with ``entries(i, j, v)``, i <= j (absent ones 0), plus ``diagonal`` on the diagonal."""
     return store_all_tiles(entries, n, ["v"], diagonal, size)[0]

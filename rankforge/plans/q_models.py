@@ -14,8 +14,8 @@ from rankforge.operators import features as fe
 from rankforge.operators import metrics as ev
 from rankforge.operators import prep, ranking
 from rankforge.operators.blocks import block_topk
-from rankforge.operators.item_matrix import matrix_scores, matrix_topk
-from rankforge.operators.models import ease, external, factors, graph, hybrid, popularity, profiles, ranker
+from rankforge.operators.item_matrix import matrix_scores_at, matrix_topk
+from rankforge.operators.models import ease, external, factors, fused, graph, popularity, profiles, ranker
 from rankforge.plans.q_metrics import split, summary_for
 from rankforge.plans.registry import register, rscore
 from rankforge.plans.sqlparts import INTERACTIONS, with_, wrap
@@ -104,9 +104,7 @@ t AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY round(score, 9)
 SELECT user_id, item_id, score, CAST(rank AS INTEGER) AS rank FROM t WHERE rank <= 10""", ["score"]))
 def q_m10(spark, sf_dir):
     """M-10: 3-hop bipartite propagation D^-1/2 A D^-1/2 (correct user-item graph), top-10 per user."""
-    r = tb.interactions(spark, sf_dir)
-    g = graph.propagate(r, 3)
-    t = ranking.top_k(g.withColumn("_rs", rscore()), 10, score="_rs").drop("_rs")
+    t = graph.graph_topk(tb.interactions(spark, sf_dir), 10)
     return t.select("user_id", "item_id", "score", F.col("rank").cast("int").alias("rank"))
 
 
@@ -188,46 +186,40 @@ def q_m12(spark, sf_dir):
     """M-12: gradient-boosted reranker over EASE retrieval, user attributes and genre vectors;
     reranked head of 100 then the rest."""
     train, _, x = ease_inputs(spark, sf_dir)
-    retrieval = cut_lineage(matrix_scores(x, ease.ease_model(x, 500.0, "column")))
-    s = prep.mask_seen(retrieval, train)
+    m = ease.ease_model(x, 500.0, "column")
     users = fe.label_encode(tb.users(spark, sf_dir), "segment", "segment_code") \
         .withColumn("segment_code", F.col("segment_code").cast("double"))
     iv = struct_vectors(spark, sf_dir)
-    model = ranker.fit_reranker(train, retrieval, users,
-                                ["balance", "segment_code"], iv, iters=10)
-    return ranker.rerank(model, s, users, ["balance", "segment_code"], iv, head=100).where(F.col("rank") <= 10)
+    model = ranker.fit_reranker(train, matrix_scores_at(x, m, train), users, ["balance", "segment_code"], iv, iters=10)
+    head = matrix_topk(x, m, ranker.TOP_CANDIDATES, train).drop("rank")
+    return ranker.rerank(model, head, users, ["balance", "segment_code"], iv).where(F.col("rank") <= 10)
 
 
-def _hybrid_inputs(spark, sf_dir):
+def _hybrid_ranker(spark, sf_dir):
+    """EASE (row form) and Rocchio arms on item structure and embeddings, log popularity, for the users of fold 0's test."""
     train, test, x = ease_inputs(spark, sf_dir)
-    cf = matrix_scores(x, ease.ease_model(x, 500.0, "row"))
-    sv = struct_vectors(spark, sf_dir)
-    evec = embed_vectors(spark, sf_dir)
-    sp = profiles.rocchio_profile(train, sv, 0.5)
-    ep = profiles.rocchio_profile(train, evec, 0.5)
-    lp = prep.item_counts(train).select("item_id", F.col("log_pop").alias("lp"))
-    return train, test, cf, sv, evec, sp, ep, lp
+    items = tb.items(spark, sf_dir)
+    rel = ev.relevant_items(test)
+    sv, vectors = struct_vectors(spark, sf_dir), embed_vectors(spark, sf_dir)
+    r = (fused.Ranker(rel.select("user_id"), items).seen(train)
+         .matrix("cf", x, ease.ease_model(x, 500.0, "row", items=items))
+         .content("struct", profiles.rocchio_profile(train, sv, 0.5), sv))
+    return train, test, rel, r, lambda: r.content("embed", profiles.rocchio_profile(train, vectors, 0.5), vectors).item_value(
+        "pop", prep.item_counts(train), "log_pop")
 
 
 @register("fu03_gated_hybrid_metrics")
 def q_fu03(spark, sf_dir):
     """FU-3 / M-8 / AG-6: z(EASE) + 0.5 z(struct Rocchio) + 0.3 z(embed Rocchio)[z(cf) < P74]
     - 0.1 log1p(pop), dense over the catalogue, seen masked; MAP/nDCG@10 etc. on fold 0."""
-    train, test, cf, sv, evec, sp, ep, lp = _hybrid_inputs(spark, sf_dir)
-    rel = ev.relevant_items(test)
-    users = rel.select("user_id").distinct()
-    top = hybrid.gated_hybrid_topk(cf, train.select("user_id", "item_id"), users, tb.items(spark, sf_dir),
-                                   sp, sv, ep, evec, lp, 0.5, 0.3, 0.1, 74.0, k=10)
-    return summary_for(train, test, None, top, rel)
+    train, test, rel, _, whole = _hybrid_ranker(spark, sf_dir)
+    return summary_for(train, test, None, fused.gated_hybrid(whole(), 0.5, 0.3, 0.1, 74.0), rel)
 
 
 @register("fu02_z_ensemble_top10")
 def q_fu02b(spark, sf_dir):
     """FU-2 / M-7 (platinum/diamond tiers): z(EASE) + 0.5 z(Rocchio content) over the catalogue, top-10."""
-    train, test, cf, sv, evec, sp, ep, lp = _hybrid_inputs(spark, sf_dir)
-    users = ev.relevant_items(test).select("user_id").distinct()
-    return hybrid.gated_hybrid_topk(cf, train.select("user_id", "item_id"), users, tb.items(spark, sf_dir),
-                                    sp, sv, None, None, lp, 0.5, 0.0, 0.0, 74.0, k=10)
+    return fused.z_ensemble(_hybrid_ranker(spark, sf_dir)[3], {"cf": 1.0, "struct": 0.5})
 
 
 @register("fu04_graph_fusion_top10")
@@ -235,13 +227,13 @@ def q_fu04b(spark, sf_dir):
     """FU-4 / M-9 / M-10 (vibranium tier): L2(EASE) + L2(3-hop graph) + popularity signal, weights
     divided by their sum, dense over the catalogue, seen masked, top-10."""
     train, test, x = ease_inputs(spark, sf_dir)
-    cf = matrix_scores(x, ease.ease_model(x, 500.0, "row"))
-    g = graph.propagate(train, 3)
+    items = tb.items(spark, sf_dir)
     v = train.groupBy("item_id").agg((F.avg("rating") * 2).alias("vote_average"), F.count(F.lit(1)).alias("vote_count"))
-    pop = popularity.popularity_signal(v.join(tb.items(spark, sf_dir).select("item_id", "year"), "item_id"))
-    users = ev.relevant_items(test).select("user_id").distinct()
-    return hybrid.l2_fusion_topk(cf, g, pop, train.select("user_id", "item_id"), users, tb.items(spark, sf_dir),
-                                 0.6, 0.3, 0.1, k=10)
+    pop = popularity.popularity_signal(v.join(items.select("item_id", "year"), "item_id"))
+    edges, hop = graph.hop_matrix(train, items)
+    r = (fused.Ranker(ev.relevant_items(test).select("user_id"), items).seen(train)
+         .matrix("cf", x, ease.ease_model(x, 500.0, "row", items=items)).matrix("graph", edges, hop).item_value("pop", pop, "pop"))
+    return fused.l2_fusion(r, {"cf": 0.6, "graph": 0.3}, 0.1)
 
 
 def _meta_num(spark, sf_dir):

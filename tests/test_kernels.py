@@ -169,40 +169,6 @@ def test_block_topk_equals_bruteforce(spark, metric):
         assert mine == exp
 
 
-# ---------------------------------------------------------------- FU-3 dense semantics vs NumPy
-def test_gated_hybrid_equals_dense_numpy(spark):
-    from rankforge.operators.models.hybrid import gated_hybrid_topk
-
-    rng = np.random.default_rng(2)
-    nu, ni, ds, de, k = 5, 9, 3, 2, 3
-    CF = np.where(rng.random((nu, ni)) < 0.5, rng.normal(size=(nu, ni)), 0.0)
-    Ps, Vs = rng.random((nu, ds)), rng.random((ni, ds))
-    Pe, Ve = rng.normal(size=(nu, de)), rng.normal(size=(ni, de))
-    lp = np.log1p(rng.integers(0, 20, ni).astype(float))
-    seen = [(u, i) for u in range(nu) for i in range(ni) if rng.random() < 0.2]
-    a, b, beta, perc = 0.5, 0.3, 0.1, 74.0
-    cf = spark.createDataFrame([(u, i, float(CF[u, i])) for u in range(nu) for i in range(ni) if CF[u, i] != 0],
-                               "user_id long, item_id long, score double")
-    vec = lambda M, name: spark.createDataFrame([(i, M[i].tolist()) for i in range(len(M))],
-                                                f"{name} long, vector array<double>")
-    users = spark.createDataFrame([(u,) for u in range(nu)], "user_id long")
-    items = spark.createDataFrame([(i,) for i in range(ni)], "item_id long")
-    lpd = spark.createDataFrame([(i, float(lp[i])) for i in range(ni)], "item_id long, lp double")
-    sd = spark.createDataFrame(seen, "user_id long, item_id long")
-    got = gated_hybrid_topk(cf, sd, users, items, vec(Ps, "user_id"), vec(Vs, "item_id"), vec(Pe, "user_id"),
-                            vec(Ve, "item_id"), lpd, a, b, beta, perc, k=k, block=2).collect()
-    z = lambda M: (M - M.mean(1, keepdims=True)) / (M.std(1, keepdims=True) + 1e-8)
-    zc, zs, ze = z(CF), z(Ps @ Vs.T), z(Pe @ Ve.T)
-    H = zc + a * zs + b * ze * (zc < np.percentile(zc, perc)) - beta * lp[None, :]
-    for u, i in seen:
-        H[u, i] = -np.inf
-    for u in range(nu):
-        exp = sorted(range(ni), key=lambda j: (-H[u, j], j))[:k]
-        mine = sorted([r for r in got if r["user_id"] == u], key=lambda r: r["rank"])
-        assert [r["item_id"] for r in mine] == exp
-        assert np.allclose([r["score"] for r in mine], [H[u, j] for j in exp])
-
-
 # ---------------------------------------------------------------- M-10 graph (D2)
 def test_graph_three_hops_equals_dense(spark):
     from rankforge.operators.models.graph import propagate
