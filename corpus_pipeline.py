@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankforge.llm import bin_packing, fm_toxicity, simhash_bk, suffix_rules, winnowing
-from rankforge.llm.common import fold, new_folder, table
+from rankforge.llm.common import fold, new_folder, own_name, table
 from rankforge.llm.queries import VOCABULARY
 
 #: Some stages have no SQL form (suffix arrays, a fitted model, XXH64 fingerprints, tokenizers).
@@ -19,14 +19,15 @@ ORACLE_SQL = None
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base rules or repeat themselves too much go."""
-    judged = suffix_rules.judge_repetition(docs, as_col="__repetition")
-    return judged.filter("__repetition.kept").drop("__repetition")
+    name = own_name(docs, "repetition")
+    return suffix_rules.judge_repetition(docs, as_col=name).filter(F.col(name)["kept"]).drop(name)
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score 0.7 or more go; the model is fitted on the labelled ones among ``docs``."""
     model = fm_toxicity.train(docs, table(spark, sf_dir, "labels"), fold(F.col("id"), 3) != 1)
-    return docs.withColumn("__score", fm_toxicity.toxicity(spark, model)("text")).filter("__score < 0.7").drop("__score")
+    name = own_name(docs, "toxicity")
+    return docs.withColumn(name, fm_toxicity.toxicity(spark, model)("text")).filter(F.col(name) < 0.7).drop(name)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,8 +37,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of a benchmark item go."""
-    marked = winnowing.mark_contamination(docs, table(spark, sf_dir, "benchmark"), window=10, as_col="__found")
-    return marked.filter(F.size("__found.spans") == 0).drop("__found")
+    name = own_name(docs, "contamination")
+    marked = winnowing.mark_contamination(docs, table(spark, sf_dir, "benchmark"), window=10, as_col=name)
+    return marked.filter(F.size(F.col(name)["spans"]) == 0).drop(name)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

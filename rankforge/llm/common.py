@@ -47,6 +47,14 @@ def stored(df: DataFrame, what: str, *partition_by: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def own_name(docs: DataFrame, name: str) -> str:
+    """``name``, with as many underscores before it as tell it from every column of ``docs``, whatever their case."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def fold(doc_id: Column, parts: int) -> Column:
     """crc32 of the id as text, modulo ``parts`` (a null id counts as the empty text)."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % F.lit(parts)

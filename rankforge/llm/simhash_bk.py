@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rankforge.llm.common import prepare, stored, words_of
+from rankforge.llm.common import own_name, prepare, stored, words_of
 
 #: Fingerprints in a tree; queries that search it at once.
 TREE, BLOCK = 4096, 2048
@@ -212,10 +212,11 @@ def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 2, id_col: str = "
     """The rows of ``docs`` without near-duplicates: of each component the row with the smallest id stays (among rows
     that repeat it, one)."""
     found = near_duplicates(docs, shingle, radius, id_col=id_col, text_col=text_col)
-    keepers = found.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("k")).select(F.col("k.doc_id").alias("__id"), F.col("k.text_key").alias("__key"))
-    rows = docs.withColumn("__key", F.xxhash64(text_col))
-    same = rows["__key"].eqNullSafe(keepers["__key"]) & rows[id_col].eqNullSafe(keepers["__id"])
-    return rows.join(keepers, same, "left_semi").dropDuplicates([id_col, "__key"]).select(*[rows[c] for c in docs.columns])
+    key, kept_id, kept_key = (own_name(docs, x) for x in ("key", "kept_id", "kept_key"))
+    keepers = found.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("k")).select(F.col("k.doc_id").alias(kept_id), F.col("k.text_key").alias(kept_key))
+    rows = docs.withColumn(key, F.xxhash64(text_col))
+    same = F.col(key).eqNullSafe(F.col(kept_key)) & F.col(id_col).eqNullSafe(F.col(kept_id))
+    return rows.join(keepers, same, "left_semi").dropDuplicates([id_col, key]).select(*docs.columns)
 
 
 def hex_of(fp: Column) -> Column:

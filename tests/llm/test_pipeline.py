@@ -58,6 +58,19 @@ def test_stages_on_odd_rows(spark, small_dir):
         corpus_pipeline.STAGES[-1][1](spark, docs_, small_dir).collect()
 
 
+def test_stages_keep_every_column_of_the_caller(spark, small_dir):
+    """Columns named as the stages name their own, in any case, come out as they went in."""
+    names = ["repetition", "TOXICITY", "Contamination", "key", "KEPT_ID", "_kept_key", "__score", "__repetition", "__key", "__found", "fp", "group", "score"]
+    docs = spark.read.parquet(f"{small_dir}/documents.parquet")
+    for k, name in enumerate(names):
+        docs = docs.withColumn(name, docs.doc_id * 100 + k)
+    for stage, run in corpus_pipeline.STAGES[:-1]:
+        out = run(spark, docs, small_dir)
+        assert out.columns == docs.columns, stage
+        rows = out.drop("text").collect()
+        assert rows and all(r[name] == r.doc_id * 100 + k for r in rows for k, name in enumerate(names)), stage
+
+
 def test_the_rest_works_without_this_part(tmp_path):
     """As if the subpackage and the pipeline were not there."""
     code = (
@@ -74,13 +87,13 @@ def test_the_rest_works_without_this_part(tmp_path):
     subprocess.run([sys.executable, "-c", code], cwd=ROOT, check=True, timeout=120)
 
 
-def test_ten_operators_and_the_pipeline_are_registered():
+def test_all_operators_and_the_pipeline_are_registered():
     import re
 
     from __spark_entry__ import oracle_sql
     from __spark_entry__ import queries as registered
 
     own = [n for n in registered() if re.match(r"op\d+_", n)]
-    assert sorted(int(n[2:].split("_")[0]) for n in own) == [*range(1, 11)] and "pipeline" in registered()
-    assert {"op4_zip_warc", "op7_url_rules"} <= oracle_sql().keys()
+    assert sorted(int(n[2:].split("_")[0]) for n in own) == [*range(1, 14)] and "pipeline" in registered()
+    assert {"op4_zip_warc", "op7_url_rules", "op11_importance_resampling", "op12_fair_queueing", "op13_suffix_collocations"} <= oracle_sql().keys()
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality rules", "toxicity", "near-duplicates", "decontamination", "packing"]
