@@ -18,6 +18,7 @@ from rankforge.functions.text import tokenize_keyword
 from rankforge.operators.blocks import block_topk
 from rankforge.operators.common import with_scalars
 from rankforge.operators.fusion import minmax_rows, rrf
+from rankforge.operators.keyword_index import KeywordIndex, search, write_index
 from rankforge.operators.ranking import global_row_number, top_k, union_max
 from rankforge.session import cut_lineage
 
@@ -60,11 +61,20 @@ def bm25_index(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> B
     return BM25Index(postings, lengths, terms, corpus)
 
 
+def store_bm25_index(docs: DataFrame, path: str, text: str = "text", doc_id: str = "doc_id", k1: float = BM25_K1, b: float = BM25_B) -> KeywordIndex:
+    """The index of ``docs`` in impact-ordered blocks under ``path`` (``keyword_index``); ``open_index`` reads it again."""
+    i = bm25_index(docs, text, doc_id)
+    return write_index(i.postings, i.lengths, i.terms, i.corpus, path, k1, b)
+
+
 # ---------------------------------------------------------------- RT-2
-def bm25_search(index: BM25Index, queries: DataFrame, k: int, text: str = "text", query_id: str = "query_id",
+def bm25_search(index: BM25Index | KeywordIndex, queries: DataFrame, k: int, text: str = "text", query_id: str = "query_id",
                 k1: float = BM25_K1, b: float = BM25_B, round_digits: int | None = None) -> DataFrame:
     """(query_id, doc_id, score, rank): Okapi score summed over query tokens (a repeated
-    token counts each time), only score > 0, top-k by score then doc id."""
+    token counts each time), only score > 0, top-k by score then doc id. A stored index
+    brings its own k1 and b, and skips postings that cannot win."""
+    if isinstance(index, KeywordIndex):
+        return search(index, queries, k, text, query_id, round_digits)
     s = bm25_scores(index, queries, text, query_id, k1, b)
     if round_digits is not None:
         s = s.withColumn("score", F.round("score", round_digits))
@@ -104,7 +114,7 @@ def distance_to_similarity(results: DataFrame, group: str = "query_id", distance
 
 
 # ---------------------------------------------------------------- RT-5
-def hybrid_search(index: BM25Index, queries: DataFrame, vectors: DataFrame, alpha: float | str,
+def hybrid_search(index: BM25Index | KeywordIndex, queries: DataFrame, vectors: DataFrame, alpha: float | str,
                   top_k_: int = HYBRID_TOP_K, candidate_k: int = HYBRID_CANDIDATE_K, text: str = "text",
                   round_digits: int | None = None) -> DataFrame:
     """Keyword top candidate_k and dense top candidate_k per query, weighted RRF

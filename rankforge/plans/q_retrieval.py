@@ -16,6 +16,7 @@ from rankforge.operators import retrieval as rt
 from rankforge.plans.registry import register
 from rankforge.plans.sqlparts import with_, wrap
 from rankforge.sources import tables as tb
+from rankforge.sources.writers import scratch_path
 
 RD = 9
 
@@ -79,6 +80,10 @@ def index(spark, sf_dir):
     return rt.bm25_index(tb.keyword_docs(spark, sf_dir))
 
 
+def stored_index(spark, sf_dir):
+    return rt.store_bm25_index(tb.keyword_docs(spark, sf_dir), scratch_path(spark, "keyword-index"))
+
+
 def doc_vectors(spark, sf_dir):
     return tb.vectors(spark, sf_dir).select(F.col("item_id").alias("doc_id"),
                                             F.col("vector").cast("array<double>").alias("vector"))
@@ -112,6 +117,25 @@ def q_rt02(spark, sf_dir):
     return r.select("query_id", "doc_id", "score", F.col("rank").cast("int").alias("rank"))
 
 
+@register("rt01_stored_index", wrap(with_(**INDEX) + """
+SELECT terms.term, CAST(df AS BIGINT) AS n_postings, max(idf * (tf * 2.5) / (tf + 1.5 * (1 - 0.75 + 0.75 * dl.dl / (SELECT avgdl FROM corp)))) AS top
+FROM terms JOIN post USING (term) JOIN dl USING (doc_id) GROUP BY terms.term, df""", ["top"]))
+def q_rt01c(spark, sf_dir):
+    """RT-1: the keyword index written in impact-ordered blocks and opened again: postings and largest impact of each term."""
+    i = stored_index(spark, sf_dir)
+    n = i.blocks.groupBy("term_id").agg(F.sum(F.size("postings")).alias("n_postings"), F.max("most").alias("top"))
+    return i.terms.select("term", "term_id").join(n, "term_id").select("term", "n_postings", "top")
+
+
+@register("rt02_stored_search", wrap(with_(**INDEX, bq=BQ, s=bm25_sql("bq")) + topk_sql("s", 10)
+                                     .replace("SELECT * FROM", "SELECT query_id, doc_id, score, CAST(rank AS INTEGER) AS rank FROM"),
+                                     ["score"]))
+def q_rt02b(spark, sf_dir):
+    """RT-2: BM25 top-10 from the stored index, skipping terms, blocks and documents that cannot reach the k-th score."""
+    r = rt.bm25_search(stored_index(spark, sf_dir), queries(spark, sf_dir), 10, round_digits=RD)
+    return r.select("query_id", "doc_id", "score", F.col("rank").cast("int").alias("rank"))
+
+
 @register("rt03_dense_self_knn", wrap(with_(
     q="SELECT vec_id AS query_id, CAST(embedding AS DOUBLE[]) AS vector FROM embeddings",
     s="""SELECT q.query_id, e.vec_id AS doc_id, list_cosine_similarity(q.vector, CAST(e.embedding AS DOUBLE[])) AS score
