@@ -37,7 +37,7 @@ def per_user_at_k(topk: DataFrame, relevant: DataFrame, k: int = 10,
                   item_stats: DataFrame | None = None, ap_variant: str = "standard",
                   by: list[str] | None = None) -> DataFrame:
     """One row per evaluated user: ap, ndcg, precision, recall, hit, n_rel, n_hits
-    (+ serendipity and novelty when ``item_stats`` (item_id, pop_ratio) is given).
+    (+ serendipity and novelty when ``item_stats`` (item_id, pop_ratio, perhaps columns of ``by``) is given).
 
     ``ap_variant='hits'`` divides the AP sum by the hits found (EV-11). ``by`` adds
     grouping columns present in both inputs (e.g. a sweep parameter), so a whole
@@ -50,7 +50,8 @@ def per_user_at_k(topk: DataFrame, relevant: DataFrame, k: int = 10,
     t = topk.where(F.col("rank") <= k).select(*keys, "item_id", "rank").join(n_rel, keys)
     t = t.join(rel, keys + ["item_id"], "left").fillna(0, ["_hit"])
     if item_stats is not None:
-        t = t.join(item_stats.select("item_id", "pop_ratio"), "item_id", "left").fillna(0.0, ["pop_ratio"])
+        own = [c for c in by if c in item_stats.columns] + ["item_id"]
+        t = t.join(item_stats.select(*own, "pop_ratio"), own, "left").fillna(0.0, ["pop_ratio"])
     w = Window.partitionBy(*keys).orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
     t = t.withColumn("_cum", F.sum("_hit").over(w))
     aggs = [

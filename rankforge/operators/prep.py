@@ -137,6 +137,12 @@ def stratified_folds(r: DataFrame, k: int = 5, seed: int = 42, user: str = "user
     return r.withColumn("fold", F.pmod(F.row_number().over(w) - 1 + offset, F.lit(k)).cast("int"))
 
 
+def training_rows(folded: DataFrame, k: int = 5, fold: str = "fold") -> DataFrame:
+    """All folds' training rows in one table: each row once for every fold but its own, that fold as ``fold``."""
+    return (folded.withColumn("_own", F.col(fold)).withColumn(fold, F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
+            .where(F.col(fold) != F.col("_own")).drop("_own"))
+
+
 def fold_split(r_with_fold: DataFrame, fold: int) -> tuple[DataFrame, DataFrame]:
     train = r_with_fold.where(F.col("fold") != fold)
     test = r_with_fold.where(F.col("fold") == fold)
@@ -145,8 +151,12 @@ def fold_split(r_with_fold: DataFrame, fold: int) -> tuple[DataFrame, DataFrame]
 
 # ---------------------------------------------------------------- AG-1
 def item_counts(r: DataFrame, users: DataFrame | None = None, item: str = "item_id",
-                user: str = "user_id") -> DataFrame:
-    """(item_id, n, log_pop = log1p(n), pop_ratio = n / n_users)."""
+                user: str = "user_id", by: list[str] | None = None) -> DataFrame:
+    """(item_id, n, log_pop = log1p(n), pop_ratio = n / n_users), for each ``by``, columns of ``r``, on its own."""
+    if by:
+        counted = r.groupBy(*by, item).agg(F.count(F.lit(1)).alias("n"))
+        return (counted.join(r.groupBy(*by).agg(F.countDistinct(user).alias("_n_users")), by)
+                .select(*by, item, "n", F.log1p("n").alias("log_pop"), (F.col("n") / F.col("_n_users")).alias("pop_ratio")))
     n_users_df = (users if users is not None else r.select(user)).agg(
         F.countDistinct(user).alias("_n_users"))
     return (r.groupBy(item).agg(F.count(F.lit(1)).alias("n"))

@@ -12,6 +12,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rankforge.operators.running import running_totals
 from rankforge.session import cut_lineage
 
 
@@ -46,13 +47,16 @@ def rank_of(ranked: DataFrame, pairs: DataFrame, group: str = "user_id", item: s
 
 # ---------------------------------------------------------------- distributed global rank
 def global_row_number(df: DataFrame, order: list[Column], out: str = "rank",
-                      n_parts: int | None = None) -> DataFrame:
-    """1-based position in a total order without funnelling rows through one task.
+                      n_parts: int | None = None, by: list[str] | None = None) -> DataFrame:
+    """1-based position in a total order, or in one for each ``by``, without funnelling rows through one task.
 
     Range-partition by the order, checkpoint so partition ids are stable, number
     rows inside each partition, then add the row counts of all earlier
     partitions (a table with one row per partition).
     """
+    if by:
+        one = running_totals(df.withColumn("_one", F.lit(1).cast("long")), order, ["_one"], by)
+        return one.withColumnRenamed("_one_to", out).drop("_one")
     spark = df.sparkSession
     n = n_parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     parted = cut_lineage(df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id()))
@@ -121,22 +125,24 @@ def engine_ranks(df: DataFrame, group: str = "query_id", engine: str = "engine",
 
 # ---------------------------------------------------------------- dense item prior top-k
 def top_k_prior(prior: DataFrame, users: DataFrame, exclude: DataFrame, k: int, score: str = "score",
-                item: str = "item_id", user: str = "user_id") -> DataFrame:
-    """Exact top-k per user when every unseen item scores ``prior[item]`` (a popularity list).
+                item: str = "item_id", user: str = "user_id", by: list[str] | None = None) -> DataFrame:
+    """Exact top-k per user when every unseen item scores ``prior[item]`` (a popularity list). With ``by``, columns of
+    ``prior``, ``users`` and ``exclude`` (a fold, a trial), the lists of all its values come from one ranking.
 
     Items get one distributed global position by (score desc, item asc). A user
     with e excluded items needs at most the first k + e positions, so each user
     expands exactly that many positions (work proportional to k plus its own
     excluded rows), drops its excluded items and keeps the first k.
     """
-    order = global_row_number(prior.select(item, score), [F.col(score).desc(), F.col(item).asc()], out="_pos")
-    n_ex = exclude.select(user, item).distinct().groupBy(user).agg(F.count(F.lit(1)).alias("_e"))
-    need = users.select(user).distinct().join(n_ex, user, "left").fillna(0, ["_e"])
-    pos = need.select(user, F.explode(F.sequence(F.lit(1), F.col("_e") + F.lit(int(k)))).alias("_pos"))
-    cand = pos.join(order, "_pos").join(exclude.select(user, item), [user, item], "left_anti")
-    w = Window.partitionBy(user).orderBy("_pos")
+    by = list(by or [])
+    order = global_row_number(prior.select(*by, item, score), [F.col(score).desc(), F.col(item).asc()], out="_pos", by=by)
+    n_ex = exclude.select(*by, user, item).distinct().groupBy(*by, user).agg(F.count(F.lit(1)).alias("_e"))
+    need = users.select(*by, user).distinct().join(n_ex, [*by, user], "left").fillna(0, ["_e"])
+    pos = need.select(*by, user, F.explode(F.sequence(F.lit(1), F.col("_e") + F.lit(int(k)))).alias("_pos"))
+    cand = pos.join(order, [*by, "_pos"]).join(exclude.select(*by, user, item), [*by, user, item], "left_anti")
+    w = Window.partitionBy(*by, user).orderBy("_pos")
     return (cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-            .select(user, item, score, "rank"))
+            .select(*by, user, item, score, "rank"))
 
 
 # ---------------------------------------------------------------- exact weighted quantile (AG-6)
