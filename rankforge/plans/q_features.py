@@ -59,6 +59,16 @@ def q_fe02(spark, sf_dir):
     return fe.tfidf(tb.keyword_docs(spark, sf_dir), "text", "doc_id", max_features=100, min_df=2)
 
 
+#: No cap in SQL: more than any vocabulary here.
+EVERY = 10 ** 9
+
+
+@register("fe02_tfidf_whole", wrap(tfidf_sql("SELECT doc_id AS id, text FROM documents", TF_DOC, EVERY, 2), ["value"]))
+def q_fe02b(spark, sf_dir):
+    """FE-2: word TF-IDF with the whole vocabulary, min_df 2, L2 rows."""
+    return fe.tfidf(tb.keyword_docs(spark, sf_dir), "text", "doc_id", min_df=2)
+
+
 CHAR_BRAND = ("list_concat([substr(s, i, 2) for i in range(1, length(s))], "
               "[substr(s, i, 3) for i in range(1, length(s) - 1)])")
 
@@ -71,6 +81,13 @@ def q_fe03(spark, sf_dir):
     return fe.tfidf(it, "director", "item_id", max_features=30, analyzer="char", ngram=(2, 3))
 
 
+@register("fe03_char_tfidf_whole", wrap(tfidf_sql(
+    "SELECT p_partkey AS id, regexp_replace(lower(p_brand), '\\s\\s+', ' ', 'g') AS s FROM part", CHAR_BRAND, EVERY, id_name="item_id"), ["value"]))
+def q_fe03b(spark, sf_dir):
+    """FE-3: character 2-3-gram TF-IDF of the brand (director) names, every n-gram."""
+    return fe.tfidf(tb.items(spark, sf_dir), "director", "item_id", analyzer="char", ngram=(2, 3))
+
+
 @register("fe04_truncated_svd")
 def q_fe04(spark, sf_dir):
     """FE-4: rank-8 SVD of the document TF-IDF (100 terms): the factors of every document (signs fixed by the
@@ -183,6 +200,17 @@ def q_fe11(spark, sf_dir):
     return fe.top_tfidf_tags(t.withColumn("value", F.round("value", 12)), 5, item="doc_id")
 
 
+@register("fe11_top_tfidf_tags_whole", tfidf_sql("SELECT doc_id AS id, text FROM documents", TF_DOC, EVERY, 2)
+          .replace("SELECT id AS doc_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY id)) AS value FROM v", """
+, x AS (SELECT id AS doc_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY id)) AS value FROM v),
+y AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY round(value, 9) DESC, term) AS r FROM x)
+SELECT doc_id, 'tfidf:' || term AS feature, CAST(1.0 AS DOUBLE) AS value FROM y WHERE r <= 5"""))
+def q_fe11b(spark, sf_dir):
+    """FE-11: each document's five highest TF-IDF terms of the whole vocabulary as tags."""
+    t = fe.tfidf(tb.keyword_docs(spark, sf_dir), "text", "doc_id", min_df=2)
+    return fe.top_tfidf_tags(t.withColumn("value", F.round("value", 9)), 5, item="doc_id")
+
+
 @register("fe12_assemble_tags", with_(r=INTERACTIONS, g=GENRE_ROWS) + """
 , v AS (SELECT item_id, avg(rating) * 2 AS va FROM r GROUP BY item_id),
 q AS (SELECT p_partkey AS item_id, CASE WHEN coalesce(v.va, 6.34) < 5.5 THEN 'quality:low' WHEN coalesce(v.va, 6.34) < 6.5

@@ -218,13 +218,13 @@ def q_fu03(spark, sf_dir):
 
 @register("fu02_z_ensemble_top10")
 def q_fu02b(spark, sf_dir):
-    """FU-2 / M-7 (platinum/diamond tiers): z(EASE) + 0.5 z(Rocchio content) over the catalogue, top-10."""
+    """FU-2 / M-7: z(EASE) + 0.5 z(Rocchio content) over the catalogue, top-10."""
     return fused.z_ensemble(_hybrid_ranker(spark, sf_dir)[3], {"cf": 1.0, "struct": 0.5})
 
 
 @register("fu04_graph_fusion_top10")
 def q_fu04b(spark, sf_dir):
-    """FU-4 / M-9 / M-10 (vibranium tier): L2(EASE) + L2(3-hop graph) + popularity signal, weights
+    """FU-4 / M-9 / M-10: L2(EASE) + L2(3-hop graph) + popularity signal, weights
     divided by their sum, dense over the catalogue, seen masked, top-10."""
     train, test, x = ease_inputs(spark, sf_dir)
     items = tb.items(spark, sf_dir)
