@@ -15,7 +15,7 @@ from rankforge.operators import features as fe
 from rankforge.operators import metrics as ev
 from rankforge.operators import prep, ranking
 from rankforge.operators.item_matrix import matrix_topk
-from rankforge.operators.models import ease, knn
+from rankforge.operators.models import ease, fused, knn
 from rankforge.plans.registry import register
 from rankforge.plans.sqlparts import FOLDED, INTERACTIONS, rs, with_, wrap
 from rankforge.session import cut_lineage
@@ -330,6 +330,25 @@ def q_ag12(spark, sf_dir):
     return ev.select_model(s, "map_at_10", 0.01)
 
 
+# ---------------------------------------------------------------- full ranking of a model (EV-2 / EV-4)
+@register("ev02_full_ranking_knn", wrap(with_(**{k: v for k, v in base_sql().items() if k not in ("cand", "ranked", "top", "cnt")}, **knn_sql_on("train"),
+    cand=f"""SELECT u.user_id, c.p_partkey AS item_id, {rs('coalesce(sc.score, 0.0)')} AS score FROM (SELECT DISTINCT user_id FROM rel) u CROSS JOIN part c
+             LEFT JOIN sc ON sc.user_id = u.user_id AND sc.item_id = c.p_partkey ANTI JOIN train t ON t.user_id = u.user_id AND t.item_id = c.p_partkey""",
+    allr="SELECT user_id, item_id, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS rank FROM cand",
+    rr="SELECT a.user_id, a.rank FROM allr a JOIN rel USING (user_id, item_id)",
+    rc="SELECT *, count(*) OVER (PARTITION BY user_id ORDER BY rank ROWS UNBOUNDED PRECEDING) AS cum FROM rr",
+    pu="""SELECT user_id, sum(cum / rank) / count(*) AS ap_full,
+                 sum(1.0 / log2(rank + 1)) / list_sum([1.0 / log2(x + 1) for x in range(1, count(*) + 1)]) AS ndcg_full FROM rc GROUP BY user_id""") + """
+SELECT avg(ap_full) AS map_full, avg(ndcg_full) AS ndcg_full FROM pu""", ["map_full", "ndcg_full"]))
+def q_ev02_knn(spark, sf_dir):
+    """EV-2 / EV-4 of the item-kNN ranker on fold 0: the place of each relevant item in the whole catalogue, counted block by block."""
+    train, test = split(spark, sf_dir)
+    cat, rel = catalogue(spark, sf_dir), ev.relevant_items(test)
+    r = fused.Ranker(rel.select("user_id"), cat).seen(train).matrix("knn", train, knn.cosine_matrix(train, items=cat), "rating")
+    ranks = r.ranks_of(lambda b: b.scores["knn"], rel)
+    return ev.per_user_full(ranks).agg(F.avg("ap_full").alias("map_full"), F.avg("ndcg_full").alias("ndcg_full"))
+
+
 # ---------------------------------------------------------------- item-kNN metrics (the flagship model)
 @register("ev_knn_at_10", wrap(with_(**{k: v for k, v in base_sql().items() if k not in ("cand", "ranked", "top")},
                                       **knn_sql_on("train"),
