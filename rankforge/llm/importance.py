@@ -35,6 +35,8 @@ from rankforge.operators.running import running_totals
 BUCKETS, LONGEST, SEED, LEAST_WORDS = 10_000, 3, 42, 20
 #: Features are counted in runs of so many matches, whatever the text's length.
 RUN = 1 << 17
+#: Texts whose counts are handed on together.
+ROWS = 250
 _SEPARATED = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in bytes(range(256)).lower())
 COUNTS = "id string, n_words long, n_features long, buckets binary, counts binary"
 
@@ -79,7 +81,7 @@ def feature_counts(text: bytes, pattern: regex.Pattern, longest: int = LONGEST,
 def _counter(longest: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pattern = scanner(longest)
-        for batch in batches:
+        for batch in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
             words, features, which, many = [], [], [], []
             for text in byte_texts(batch.column(1)):
                 n, counts = feature_counts(text, pattern, longest, buckets)
