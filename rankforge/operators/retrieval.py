@@ -50,7 +50,6 @@ def bm25_index(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> B
     counted = postings.groupBy("doc_id").agg(F.sum("tf").alias("dl"))
     lengths = cut_lineage(docs.select(F.col(doc_id).alias("doc_id")).join(counted, "doc_id", "left").fillna(0.0, ["dl"]))
     corpus = lengths.agg(F.count(F.lit(1)).alias("n_docs"), F.avg("dl").alias("avgdl"))
-    corpus = docs.sparkSession.createDataFrame([tuple(corpus.first())], "n_docs long, avgdl double")
     df = cut_lineage(postings.groupBy("term").agg(F.count(F.lit(1)).alias("df")))
     raw = with_scalars(df, corpus).select(
         "term", "df", (F.log(F.col("n_docs") - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)).alias("_idf"))
