@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rankforge.operators.ranking import top_k
+
 EPS = 1e-8
 RRF_K = 60                      # fixed value: reciprocal-rank constant
 WARM_MIN_INTERACTIONS = 5       # fixed value: warm item threshold
@@ -149,12 +151,9 @@ def bayesian_blend(scores: DataFrame, bayes: DataFrame, w: float, group: str = "
 
 
 # ---------------------------------------------------------------- FU-8 / FU-9
-def candidate_z_fusion(a: DataFrame, b: DataFrame, alpha: float, beta: float,
-                       group: str = "query_id", item: str = "item_id", own_a: DataFrame | None = None) -> DataFrame:
-    """alpha * z(a) + beta * z(b) over the union of candidate ids per group (missing = 0.0),
-    population std + 1e-8. If one side is empty for a group the weights become (0,1)/(1,0);
-    both empty gives no rows. ``own_a``: the rows that engine A found itself, where ``a``
-    also holds scores looked up for B's candidates; emptiness is decided on these."""
+def candidate_z(a: DataFrame, b: DataFrame, group: str = "query_id", item: str = "item_id", own_a: DataFrame | None = None) -> DataFrame:
+    """The union of both engines' candidates per group: scores ``_a`` and ``_b`` (missing = 0.0), their z-scores ``_za``
+    and ``_zb`` (population std + 1e-8), and how many rows each engine found in the group (``_na``, ``_nb``)."""
     own = own_a if own_a is not None else a
     j = (a.select(group, item, F.col("score").alias("_a"))
          .join(own.select(group, item, F.lit(1).alias("_own")), [group, item], "left")
@@ -163,14 +162,40 @@ def candidate_z_fusion(a: DataFrame, b: DataFrame, alpha: float, beta: float,
     na = F.count("_own").over(w)
     nb = F.count("_b").over(w)
     j = j.withColumn("_na", na).withColumn("_nb", nb).fillna(0.0, ["_a", "_b"])
-    j = zscore_rows(j, group, "_a", "_za")
-    j = zscore_rows(j, group, "_b", "_zb")
+    return zscore_rows(zscore_rows(j, group, "_a", "_za"), group, "_b", "_zb")
+
+
+def candidate_z_fusion(a: DataFrame, b: DataFrame, alpha: float, beta: float,
+                       group: str = "query_id", item: str = "item_id", own_a: DataFrame | None = None) -> DataFrame:
+    """alpha * z(a) + beta * z(b) over the union of candidate ids per group (missing = 0.0),
+    population std + 1e-8. If one side is empty for a group the weights become (0,1)/(1,0);
+    both empty gives no rows. ``own_a``: the rows that engine A found itself, where ``a``
+    also holds scores looked up for B's candidates; emptiness is decided on these."""
+    j = candidate_z(a, b, group, item, own_a)
     al = F.when(F.col("_na") == 0, F.lit(0.0)).when(F.col("_nb") == 0, F.lit(1.0)).otherwise(F.lit(float(alpha)))
     be = F.when(F.col("_na") == 0, F.lit(1.0)).when(F.col("_nb") == 0, F.lit(0.0)).otherwise(F.lit(float(beta)))
     return j.select(group, item, F.col("_a").alias("score_a"), F.col("_b").alias("score_b"),
                     (al * F.col("_za") + be * F.col("_zb")).alias("fused_score"))
 
 
+# ---------------------------------------------------------------- FU-8 at many weights (TU-2, TU-4)
+def fusion_sweep(a: DataFrame, b: DataFrame, alphas: list[float], k: int, group: str = "query_id", item: str = "item_id",
+                 own_a: DataFrame | None = None) -> DataFrame:
+    """(trial, group, item, fused_score, rank): the best k of ``candidate_z_fusion`` at each alpha, beta = 1 - alpha,
+    for all alphas (trial: its place in the list) in one plan.
+
+    A fused score is linear in alpha, so that its values at 1 and at 0 give it everywhere: the candidates are joined and
+    scaled once, whatever the number of weights."""
+    j = candidate_z(a, b, group, item, own_a)
+    at_one = F.when(F.col("_na") == 0, F.col("_zb")).otherwise(F.col("_za"))
+    at_zero = F.when(F.col("_nb") == 0, F.col("_za")).otherwise(F.col("_zb"))
+    ends = j.select(group, item, at_one.alias("_one"), at_zero.alias("_zero"))
+    t = ends.select("*", F.posexplode(F.array(*[F.lit(float(x)) for x in alphas])).alias("trial", "_alpha"))
+    t = t.withColumn("fused_score", F.col("_alpha") * F.col("_one") + (1 - F.col("_alpha")) * F.col("_zero"))
+    top = top_k(t.withColumn("_rs", F.round("fused_score", 9)), k, ["trial", group], "_rs", item)
+    return top.select("trial", group, item, "fused_score", "rank")
+
+
 # ---------------------------------------------------------------- FU-10
 def rrf(keyword: DataFrame, dense: DataFrame, alpha: float | str, group: str = "query_id",
         item: str = "item_id", k: int = RRF_K) -> DataFrame:

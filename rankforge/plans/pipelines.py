@@ -157,18 +157,34 @@ def p1_sequential(queries, scores, items, docs, seen, scorer=None, popular=None)
 
 
 # ---------------------------------------------------------------- RT-10 / RT-12: P2 dual, P4 HyDE
-def p2_dual(queries, scores, items, docs, vectors, seen, alpha=DEFAULT_ALPHA, beta=DEFAULT_BETA, hyde=False,
-            scorer=None, popular=None) -> DataFrame:
-    """Personal top-20 with filters + dense top-30 reranked to 20, dense-only ids scored by lookup
-    (J-9), z-fusion over the union (FU-8/9; an engine that found nothing itself has no weight),
-    best n. P2 keeps the fused order, with the dense side's rerank score (0 for ids it did not
-    find); P4 reads hypothetical and semantic text together and reranks the best n by them."""
+def _dual_arms(queries, scores, items, docs, vectors, seen, hyde, scorer, popular):
+    """Queries with their rich text, the column to rerank by, and the candidates: personal ones, dense ones, and the
+    personal ones with the dense-only ids looked up."""
     q = _rich_text(queries)
     text = "_rich" if hyde else "semantic_description"
     pers = personal_candidates(q, scores, items, seen, PERSONAL_K, True, popular).drop("rank")
     de = _rerank(dense_candidates(q, vectors, DENSE_K).drop("rank"), q, docs, text, scorer) \
         .where(F.col("rerank_rank") <= RERANK_K).select("query_id", "item_id", "dense_score", "rerank_score")
     personal = _with_lookup(pers, de, q, scores)
+    return q, text, pers, de, personal
+
+
+def dual_alpha_sweep(queries, scores, items, docs, vectors, seen, alphas: list[float], k: int = 10, hyde=False,
+                     scorer=None, popular=None) -> DataFrame:
+    """TU-4: (trial, query_id, item_id, fused_score, rank), the best k of P2's (``hyde``: P4's) candidates at each fusion
+    weight alpha, beta = 1 - alpha, the candidates made once."""
+    _, _, pers, de, personal = _dual_arms(queries, scores, items, docs, vectors, seen, hyde, scorer, popular)
+    return fu.fusion_sweep(personal.withColumnRenamed("mix_score", "score"), de.withColumnRenamed("dense_score", "score"),
+                           alphas, k, own_a=pers)
+
+
+def p2_dual(queries, scores, items, docs, vectors, seen, alpha=DEFAULT_ALPHA, beta=DEFAULT_BETA, hyde=False,
+            scorer=None, popular=None) -> DataFrame:
+    """Personal top-20 with filters + dense top-30 reranked to 20, dense-only ids scored by lookup
+    (J-9), z-fusion over the union (FU-8/9; an engine that found nothing itself has no weight),
+    best n. P2 keeps the fused order, with the dense side's rerank score (0 for ids it did not
+    find); P4 reads hypothetical and semantic text together and reranks the best n by them."""
+    q, text, pers, de, personal = _dual_arms(queries, scores, items, docs, vectors, seen, hyde, scorer, popular)
     f = fu.candidate_z_fusion(personal.withColumnRenamed("mix_score", "score"), de.withColumnRenamed("dense_score", "score"),
                               alpha, beta, group="query_id", own_a=pers)
     f = f.withColumnRenamed("score_a", "mix_score").drop("score_b").join(q.select("query_id", "n"), "query_id")
