@@ -270,6 +270,39 @@ def test_training_helps_texts_held_out(spark):
     assert full > part
 
 
+def test_runs_are_summed():
+    rng = np.random.default_rng(6)
+    rows = rng.integers(0, 9, (400, 5)).astype(np.float32)
+    for many in (1, 7, 90, 400):
+        begin = np.sort(np.append(0, 1 + rng.choice(399, many - 1, replace=False)))
+        assert (attention_lm.sum_runs(rows, begin) == np.add.reduceat(rows, begin, axis=0)).all()
+
+
+def test_attention_is_the_same_with_and_without_shifted_exponents():
+    m = small_model()
+    x = np.random.default_rng(8).integers(0, 20, (5, attention_lm.SPAN))
+    x[1, :8] = attention_lm.HEADS
+    mask = attention_lm.distance_mask(m.near, attention_lm.SPAN, attention_lm.STRIDE)
+    chances = []
+    for shifted in (False, True):
+        p = np.exp(attention_lm.attend(m, x, mask, shifted=shifted)[0].astype(float))
+        chances.append(p / p.sum(1, keepdims=True))
+    assert np.allclose(*chances, atol=1e-5)
+    m.k *= 1000
+    assert attention_lm.wide(m) and np.isfinite(attention_lm.attend(m, x, mask)[0]).all()
+
+
+def test_texts_stay_whole_in_runs():
+    lengths = np.array([0, 3, 0, 0, 9, 2, 2, 40, 0])
+    ids = np.arange(lengths.sum())
+    for most in (1, 4, 10, 1000):
+        runs = list(attention_lm.text_runs(ids, np.cumsum(lengths), most))
+        assert np.concatenate([r[0] for r in runs]).tolist() == ids.tolist()
+        assert np.concatenate([np.diff(r[1], prepend=0) for r in runs]).tolist() == lengths.tolist()
+        assert all(len(r[0]) == r[1][-1] and (len(r[0]) <= most or (np.diff(r[1], prepend=0) > 0).sum() == 1) for r in runs)
+    assert list(attention_lm.text_runs(ids[:0], np.cumsum(lengths[:0]))) == []
+
+
 def test_every_window_trains_once_with_the_production_values():
     m = small_model()
     rng = np.random.default_rng(2)
