@@ -310,3 +310,32 @@ def test_global_row_number_is_a_permutation(spark):
     df = spark.range(0, 1000).select((F.col("id") * 7919 % 1000).alias("v"))
     got = [r["rank"] for r in global_row_number(df, [F.col("v").desc()], n_parts=7).orderBy(F.col("v").desc()).collect()]
     assert got == list(range(1, 1001))
+
+
+def test_cosines_of_chosen_items_are_whole_rows_of_all_cosines(spark):
+    from rankforge.operators.models import knn
+
+    x = _history(np.random.default_rng(5), 20, 30, 0.3)
+    x[1, :] = 3  # more rows than a chunk
+    df = _frame(spark, x).withColumnRenamed("weight", "rating")
+    wanted = spark.createDataFrame([(7,), (3 * 4 + 7,), (3 * 29 + 7,), (3 * 29 + 7,), (1_000_000,)], "item_id long")
+    whole = {(r.item_i, r.item_j): r.sim for r in knn.item_cosine(df, chunk=8).collect()}
+    rows = knn.item_cosine(df, chunk=8, sources=wanted).collect()
+    got = {(r.item_i, r.item_j): r.sim for r in rows}
+    assert len(rows) == len(got) and set(got) == {p for p in whole if p[0] in (7, 19, 94)}
+    assert all(abs(got[p] - whole[p]) < 1e-12 for p in got)
+
+
+def test_query_users_similarities_leave_out_items_nobody_asked_for(spark, monkeypatch):
+    from rankforge.operators.models import knn
+    from rankforge.plans import q_pipelines
+
+    rows = [(u, 10 * u + i, 4.0) for u in range(1, 6) for i in range(12)]
+    df = spark.createDataFrame(rows, "user_id long, item_id long, rating double")
+    made, plain = [], knn.item_cosine
+    monkeypatch.setattr(knn, "item_cosine", lambda *a, **k: made.append(plain(*a, **k)) or made[-1])
+    queries = spark.createDataFrame([(2,), (None,), (99,)], "user_id long")
+    got = {(r.user_id, r.item_id): r.score for r in q_pipelines.knn_scores_for_queries(df, queries).collect()}
+    want = {(r.user_id, r.item_id): r.score for r in knn.score_with_weights(df.where("user_id = 2"), plain(df)).collect()}
+    assert got.keys() == want.keys() and all(abs(got[p] - want[p]) < 1e-9 for p in got)
+    assert {r.item_i for r in made[0].select("item_i").distinct().collect()} == set(range(20, 32))
