@@ -339,3 +339,50 @@ def test_query_users_similarities_leave_out_items_nobody_asked_for(spark, monkey
     want = {(r.user_id, r.item_id): r.score for r in knn.score_with_weights(df.where("user_id = 2"), plain(df)).collect()}
     assert got.keys() == want.keys() and all(abs(got[p] - want[p]) < 1e-9 for p in got)
     assert {r.item_i for r in made[0].select("item_i").distinct().collect()} == set(range(20, 32))
+
+
+def test_exact_svd_of_long_rows_gathers_them_without_pairs(spark):
+    """Repeated entries add up, a row without a key is no part of the fit; the plan of the factors has no join of rows with themselves."""
+    from rankforge.operators.linalg import gram_svd
+
+    rng = np.random.default_rng(3)
+    a = (rng.random((50, 12)) < 0.4) * rng.integers(1, 5, (50, 12)).astype(float)
+    rows = [(int(i), f"c{j:02d}", float(a[i, j])) for i, j in zip(*np.nonzero(a))]
+    extra = [(3, "c01", 2.0), (None, "c00", 50.0)]
+    a[3, 1] += 2.0
+    df = spark.createDataFrame(rows + extra, "row long, col string, val double")
+    u, s, vs = gram_svd(df, 4)
+    want = np.linalg.svd(a)
+    assert np.allclose(s, want[1][:4])
+    got = {r["row"]: np.array(r["vector"]) * s for r in u.collect()}
+    v = {r["col"]: np.array(r["vector"]) / s for r in vs.collect()}
+    V = np.array([v[f"c{j:02d}"] for j in range(12)])
+    assert all(np.allclose(got[i], a[i] @ V) for i in got if i is not None) and None in got
+    assert "Join" not in u._jdf.queryExecution().executedPlan().toString()
+
+
+def test_cold_item_factors_are_the_ridge_map(spark):
+    from rankforge.operators.models.factors import cold_item_factors
+
+    rng = np.random.default_rng(4)
+    f, v = rng.normal(size=(30, 5)), rng.normal(size=(20, 3))
+    features = spark.createDataFrame([(i, [float(x) for x in f[i]]) for i in range(30)], "item_id long, vector array<double>")
+    warm = spark.createDataFrame([(i, [float(x) for x in v[i]]) for i in range(20)], "item_id long, vector array<double>")
+    w = np.linalg.solve(f[:20].T @ f[:20] + 0.5 * np.eye(5), f[:20].T @ v)
+    cold = cold_item_factors(warm, features, 0.5)
+    got = {r["item_id"]: r["vector"] for r in cold.collect()}
+    assert set(got) == set(range(20, 30)) and all(np.allclose(got[i], f[i] @ w) for i in got)
+    assert "Generate" not in cold._jdf.queryExecution().executedPlan().toString()
+
+
+def test_norms_and_texts_are_worked_out_once_a_row(spark):
+    """Inside an entry's lambda only variables stand, no norm or clean-up of the whole row."""
+    from rankforge.functions.text import char_ngrams
+    from rankforge.functions.vectors import l2_normalize
+
+    df = spark.createDataFrame([("Ab  c", [3.0, 4.0]), (None, None), ("x", [])], "t string, v array<double>")
+    got = [tuple(r) for r in df.select(char_ngrams("t", 2, 3), l2_normalize("v", 0.0)).collect()]
+    assert got[0] == (["ab", "b ", " c", "ab ", "b c"], [0.6, 0.8]) and got[1][1] is None and got[2] == ([], [])
+    plan = df.select(char_ngrams("t", 2, 3))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace") == 1
+    assert df.select(l2_normalize("v"))._jdf.queryExecution().optimizedPlan().toString().count("SQRT") == 1
