@@ -383,6 +383,6 @@ def test_norms_and_texts_are_worked_out_once_a_row(spark):
     df = spark.createDataFrame([("Ab  c", [3.0, 4.0]), (None, None), ("x", [])], "t string, v array<double>")
     got = [tuple(r) for r in df.select(char_ngrams("t", 2, 3), l2_normalize("v", 0.0)).collect()]
     assert got[0] == (["ab", "b ", " c", "ab ", "b c"], [0.6, 0.8]) and got[1][1] is None and got[2] == ([], [])
-    plan = df.select(char_ngrams("t", 2, 3))._jdf.queryExecution().optimizedPlan().toString()
+    plan = df.select(char_ngrams("t", 2, 3).alias("g"))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("regexp_replace") == 1
-    assert df.select(l2_normalize("v"))._jdf.queryExecution().optimizedPlan().toString().count("SQRT") == 1
+    assert df.select(l2_normalize("v").alias("g"))._jdf.queryExecution().optimizedPlan().toString().count("SQRT") == 1
