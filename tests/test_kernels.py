@@ -386,3 +386,99 @@ def test_norms_and_texts_are_worked_out_once_a_row(spark):
     plan = df.select(char_ngrams("t", 2, 3).alias("g"))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("regexp_replace") == 1
     assert df.select(l2_normalize("v").alias("g"))._jdf.queryExecution().optimizedPlan().toString().count("SQRT") == 1
+
+
+# ---------------------------------------------------------------- sparse tiles of kNN and graph
+def _sparse_entries(spark, n, seed):
+    rng = np.random.default_rng(seed)
+    m = np.triu((rng.random((n, n)) < 0.03) * rng.random((n, n))) + np.diag(rng.random(n) + 0.1)
+    return m + np.triu(m, 1).T, spark.createDataFrame([(int(i), int(j), float(m[i, j])) for i, j in zip(*np.nonzero(m))], "item_i long, item_j long, v double")
+
+
+@pytest.mark.parametrize("n, tile", [(130, 64), (128, 32)])
+def test_a_sparse_matrix_takes_the_disk_of_its_entries(spark, n, tile):
+    """Kept dense, its tiles took 8 bytes a pair."""
+    import os
+
+    from rankforge.operators.tiles import invert, store_tiles
+
+    m, entries = _sparse_entries(spark, n, tile)
+    rows = entries.select(F.col("item_i").alias("i"), F.col("item_j").alias("j"), "v")
+    t = store_tiles(rows, n, size=tile)
+    assert np.array_equal(np.block([[t.read(i, j) for j in range(t.blocks)] for i in range(t.blocks)]), m)
+    folder = t.folder.removeprefix("file:")
+    assert sum(os.path.getsize(f"{folder}/{f}") for f in os.listdir(folder) if f.startswith("raw-")) < 12 * n * n / 4
+    p = invert(spark, store_tiles(rows, n, 9.0, size=tile))  # an inverse is dense
+    got = np.block([[p.read(i, j) for j in range(p.blocks)] for i in range(p.blocks)])
+    assert np.allclose(got, np.linalg.inv(m + 9.0 * np.eye(n)), atol=1e-9)
+
+
+@pytest.mark.parametrize("strip, products", [(16, 1 << 22), (1, 50), (3, 5)])
+def test_products_of_sparse_tiles_equal_dense(spark, monkeypatch, strip, products):
+    """Strips of any width, few products at once, a user with every item, and weights that are no numbers."""
+    from rankforge.operators import item_matrix as im
+
+    n = 130
+    monkeypatch.setattr(im, "STRIP", strip)
+    monkeypatch.setattr(im, "TASKS", 1)
+    m, entries = _sparse_entries(spark, n, 5)
+    rng = np.random.default_rng(8)
+    x = (rng.random((20, n)) < 0.05) * rng.integers(1, 6, (20, n)).astype(float)
+    x[0] = 1.0
+    x[1, 3] = np.nan
+    df = spark.createDataFrame([(int(u), int(i), float(x[u, i])) for u, i in zip(*np.nonzero(x))], "user_id long, item_id long, weight double")
+    items = spark.range(n).select(F.col("id").alias("item_id"))
+    mat = im.item_matrix(entries, items, tile=32)
+    want = x @ m
+    got = np.full((20, n), np.inf)
+    for r in im.matrix_scores(df, mat).collect():
+        got[r.user_id, r.item_id] = r.score
+    assert np.isnan(got[1]).all()  # as 0 times no number is none
+    assert np.allclose(np.delete(got, 1, 0), np.delete(want, 1, 0), atol=1e-12)
+    # The task's own function, in this process, where few products are held at once.
+    monkeypatch.setattr(im, "PRODUCTS", products)
+    u, i = np.nonzero(x)
+    own = np.hstack([im.block_products(u, i, x[u, i], 20, mat.p.rows(j), 32, lambda a, j=j: mat.kept(a, j), mat.p.blocks) for j in range(mat.p.blocks)])
+    assert np.allclose(own, want, atol=1e-12, equal_nan=True)
+    top = im.matrix_topk(df, mat, 4, df, reached=True).collect()
+    for a in range(20):
+        unseen = [] if a == 1 else [b for b in range(n) if not x[a, b] and want[a, b]]
+        assert [r.item_id for r in sorted((r for r in top if r.user_id == a), key=lambda r: r.rank)] == sorted(unseen, key=lambda b: (-round(want[a, b], 9), b))[:4]
+
+
+def test_best_of_block_is_the_whole_sort():
+    from rankforge.operators.item_matrix import best_of_block
+
+    s = np.random.default_rng(4).integers(0, 4, (30, 17)).astype(float)
+    s[2], s[3, 5], s[4, :14], s[5, 3] = -np.inf, np.nan, -np.inf, np.inf
+    items, users = np.arange(17) * 2, np.arange(30)
+    for k in (1, 5, 17, 40):
+        order = np.argsort(-np.round(s, 9), axis=1, kind="stable")[:, :k]
+        want = [(u, items[c], s[u, c]) for u in users for c in order[u] if np.isfinite(s[u, c])]
+        got = best_of_block(users, items, s, k)
+        assert list(zip(got["user_id"], got["item_id"], got["score"])) == want
+
+
+def test_ranks_in_strips_are_those_of_single_blocks(spark, monkeypatch):
+    """A task takes several item blocks; what it leaves out and counts goes with each block."""
+    from rankforge.operators import item_matrix as im
+    from rankforge.operators.models import fused
+
+    m, entries = _sparse_entries(spark, 130, 6)
+    rng = np.random.default_rng(9)
+    pairs = [(int(u), int(i), float(rng.integers(1, 6))) for u in range(12) for i in rng.choice(130, 6, replace=False)]
+    df = spark.createDataFrame(pairs, "user_id long, item_id long, weight double")
+    seen, aims = df.where("item_id % 2 = 0"), df.where("item_id % 2 = 1").select("user_id", "item_id")
+    found = []
+    for strip in (1, 3):
+        monkeypatch.setattr(im, "STRIP", strip)
+        monkeypatch.setattr(im, "TASKS", 1)
+        items = spark.range(130).select(F.col("id").alias("item_id"))
+        r = fused.Ranker(df.select("user_id"), items, tile=32).seen(seen).matrix("m", df, im.item_matrix(entries, items, tile=32))
+        found.append(sorted(map(tuple, r.ranks_of(lambda b: b.scores["m"], aims).collect())))
+    x = np.zeros((12, 130))
+    for u, i, w in pairs:
+        x[u, i] = w
+    s = np.round(x @ m, 9)
+    want = sorted((u, i, 1 + sum(1 for c in range(130) if not (x[u, c] and c % 2 == 0) and (-s[u, c], c) < (-s[u, i], i))) for u, i, _ in pairs if i % 2)
+    assert found == [want, want]
