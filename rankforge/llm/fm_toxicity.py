@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rankforge.llm.common import alnum_words, prepare, ragged, runs_of, stored
+from rankforge.llm.common import alnum_words, prepare, runs_of, stored
 
 #: Buckets of the term hash; labelled rows in the sample; factors of a feature; texts that must hold a feature.
 BUCKETS, MOST_ROWS, FACTORS, LEAST_TEXTS = 1 << 20, 20_000, 8, 5
@@ -101,15 +101,14 @@ def fit(doc: np.ndarray, bucket: np.ndarray, label: np.ndarray, buckets: int = B
     """Logistic loss (a positive row counts ``weight`` times), AdaGrad over mini-batches; ``doc`` (ascending) numbers the
     rows of ``label``; every bucket that occurs is a feature."""
     n, positive = len(label), float(label.sum())
-    feature = np.full(buckets, -1, np.int64)
+    feature = np.full(buckets, -1, np.int32)
     bias = float(np.log((positive + 1) / (n - positive + 1)))
     kept = np.unique(bucket)
     feature[kept] = np.arange(len(kept))
     rng = np.random.default_rng(seed)
     model = FactorizationMachine(feature, bias, np.zeros(len(kept)), rng.normal(0, 0.01, (len(kept), factors)))
     own = feature[bucket]
-    doc, own = doc[own >= 0], own[own >= 0]
-    ends = np.searchsorted(doc, np.arange(n + 1))
+    ends = np.searchsorted(doc, np.arange(n + 1, dtype=doc.dtype))
     gb, gw, gv = 1.0, np.ones(len(kept)), np.ones((len(kept), factors))
     for _ in range(epochs if len(kept) else 0):
         for rows in np.array_split(rng.permutation(n), max(1, n // batch)):
@@ -178,13 +177,16 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(cut), pa.array(bucket[there].astype(np.int32)))], ["row", "terms"])
 
     held = found.select("row", "terms").mapInArrow(chosen, "row long, terms array<int>").toArrow()
-    lists = pa.concat_arrays(held.column("terms").chunks) if held.num_rows else pa.array([], pa.list_(pa.int32()))
-    size = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-    # Rows in the order of their ids, each with the common terms it holds.
+    # Rows in the order of their ids, each with the common terms it holds; 32-bit numbers and no more copies than
+    # needed, as this is the driver's memory.
     by_row = np.argsort(held.column("row").to_numpy())
     place = by_row[np.searchsorted(held.column("row").to_numpy()[by_row], rows.column("row").to_numpy())] if held.num_rows else by_row
-    bucket = lists.flatten().to_numpy(zero_copy_only=False)[ragged((np.cumsum(size) - size)[place], size[place])]
-    return fit(np.repeat(np.arange(len(label)), size[place]), bucket, label, buckets, **options)
+    lists = held.column("terms").take(pa.array(place)).combine_chunks() if held.num_rows else pa.array([], pa.list_(pa.int32()))
+    del held, rows
+    bucket, size = lists.flatten().to_numpy(zero_copy_only=False), lists.value_lengths().to_numpy(zero_copy_only=False)
+    doc = np.repeat(np.arange(len(label), dtype=np.int32), size)
+    pa.default_memory_pool().release_unused()
+    return fit(doc, bucket, label, buckets, **options)
 
 
 def toxicity(spark, model: FactorizationMachine):

@@ -339,3 +339,18 @@ def test_lm_of_odd_rows(spark):
     assert run(no_docs(spark), F.lit(False)) == []
     rows = run(odd_docs(spark), F.lit(True))
     assert {(r.train_tokens, r.n_known, r.base_score) for r in rows} == {(0, 0, 0.0)} and all(math.isfinite(r.score) for r in rows)
+
+
+def test_fitting_toxicity_takes_little_of_the_drivers_memory():
+    """It held several 64-bit copies of all terms of the sample, 21 bytes a term here even of 32-bit input."""
+    import tracemalloc
+
+    n, each = 400, 2500
+    rng = np.random.default_rng(3)
+    bucket = np.sort(rng.integers(0, 1 << 14, (n, each)), axis=1).astype(np.int32).ravel()
+    doc, label = np.repeat(np.arange(n, dtype=np.int32), each), (np.arange(n) % 3 == 0).astype(float)
+    tracemalloc.start()
+    fm_toxicity.fit(doc, bucket, label, 1 << 14, factors=1, epochs=0)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 16 * len(bucket)
