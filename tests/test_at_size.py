@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
+from rankforge.functions.text import char_ngrams, tokenize_tfidf
 from rankforge.operators import blocks, features, metrics
 
 
@@ -46,3 +47,38 @@ def test_diversity_of_each_trial(spark):
     got = {r.trial: r.diversity for r in metrics.diversity(top, vec, 10, by=["trial"]).collect()}
     assert got == {0: 1.0, 1: 0.0}
     assert metrics.diversity(top.where(F.col("trial") == 1), vec).first().diversity == 0.0
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_ngrams_are_counted_once_and_never_looked_for_from_the_start(spark):
+    text = "Ünï😀 x" * 3
+    docs = spark.createDataFrame([(1, text), (2, ""), (3, "a"), (4, None)], "item_id long, t string")
+    grams = docs.select("item_id", char_ngrams("t", 1, 3).alias("g"))
+    assert "substring" not in _plan(grams)
+    low = text.lower()
+    got = {r.item_id: r.g for r in grams.collect()}
+    assert got[1] == [low[i:i + n] for n in (1, 2, 3) for i in range(len(low) - n + 1)]
+    assert got[2] == [] and got[3] == ["a"] and not got[4]
+    # The counts are read for the vocabulary and for the values; the n-grams are made for neither again.
+    assert "Generate" not in _plan(features.tfidf(docs, "t", analyzer="char"))
+
+
+def test_tokens_are_made_once_for_each_text(spark):
+    docs = spark.createDataFrame([(1, "ab cd ab"), (2, ""), (3, None)], "item_id long, t string")
+    tf = features.term_counts(docs, tokenize_tfidf("t"))
+    assert _plan(tf).count("regexp_extract_all") == 1
+    assert {(r.item_id, r.term): r.tf for r in tf.collect()} == {(1, "ab"): 2, (1, "cd"): 1}
+
+
+def test_a_content_block_works_out_no_explained_variance(spark, monkeypatch):
+    def never(*_):
+        raise AssertionError("variance worked out")
+
+    items = spark.createDataFrame([(i,) for i in range(5)], "item_id long")
+    long = spark.createDataFrame([(i, t, float(i + len(t) % 2)) for i in range(4) for t in ("a", "bb", "ccc")], "item_id long, feature string, value double")
+    monkeypatch.setattr(features.F, "var_pop", never)
+    rows = {r.item_id: r.vector for r in features._svd_block(long, 2, "item_id", "feature", items).collect()}
+    assert {len(v) for v in rows.values()} == {2} and rows[4] == [0.0, 0.0]
