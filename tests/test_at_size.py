@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from rankforge.functions.text import char_ngrams, tokenize_tfidf
-from rankforge.operators import blocks, features, metrics
+from rankforge.functions.text import char_ngrams, tokenize_keyword, tokenize_tfidf
+from rankforge.operators import blocks, features, metrics, retrieval
+from rankforge.operators.ranking import top_k
 
 
 def test_short_texts_are_spread_before_their_ngrams(spark):
@@ -82,3 +84,31 @@ def test_a_content_block_works_out_no_explained_variance(spark, monkeypatch):
     monkeypatch.setattr(features.F, "var_pop", never)
     rows = {r.item_id: r.vector for r in features._svd_block(long, 2, "item_id", "feature", items).collect()}
     assert {len(v) for v in rows.values()} == {2} and rows[4] == [0.0, 0.0]
+
+
+def test_keyword_tokens_are_the_runs_between_other_characters(spark):
+    texts = ["A bc\td-ef  g", " \n x1y2!z ", "ÀB12 É c.d", "", "-", "K9 ab cd"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "i long, t string")
+    plain = F.filter(F.split(F.trim(F.regexp_replace(F.lower("t"), r"[^a-z0-9\s]", " ")), r"\s+"), lambda x: F.length(x) > 1)
+    assert all(r.a == r.b for r in docs.select(tokenize_keyword("t").alias("a"), plain.alias("b")).collect())
+
+
+@pytest.mark.parametrize("digits", [None, 1])
+def test_keyword_scores_of_all_pairs_stay_in_tasks(spark, digits):
+    """Blocks of a few documents and one query: same best k as over the scores of all pairs, ids repeated or null."""
+    rng = np.random.default_rng(7)
+    words = [f"w{i}" for i in range(12)]
+    text = lambda n: " ".join(rng.choice(words, n))
+    docs = spark.createDataFrame([(None if i == 3 else str(i % 31), text(int(rng.integers(0, 9)))) for i in range(40)], "doc_id string, text string")
+    queries = spark.createDataFrame([(q if q else None, text(4)) for q in range(5)] + [(2, "w1 w1"), (9, "none of these"), (10, None)], "query_id long, text string")
+    index = retrieval.bm25_index(docs)
+    everything = retrieval.bm25_scores(index, queries)
+    rounded = everything if digits is None else everything.withColumn("score", F.round("score", digits))
+    key = lambda rows: sorted((-1 if r.query_id is None else r.query_id, r["rank"], r.doc_id, round(r.score, 9)) for r in rows)
+    want = key(top_k(rounded, 3, "query_id", "score", "doc_id").collect())
+    best = retrieval.bm25_best(index, queries, 3, round_digits=digits, block=6, query_block=2)
+    assert best.count() < everything.count()
+    best = best if digits is None else best.withColumn("score", F.round("score", digits))
+    assert want and key(top_k(best, 3, "query_id", "score", "doc_id").collect()) == want
+    found = retrieval.bm25_search(index, queries, 3, round_digits=digits)
+    assert "FlatMapGroupsInArrow" in _plan(found) and key(found.collect()) == want
