@@ -82,7 +82,7 @@ def test_a_content_block_works_out_no_explained_variance(spark, monkeypatch):
     items = spark.createDataFrame([(i,) for i in range(5)], "item_id long")
     long = spark.createDataFrame([(i, t, float(i + len(t) % 2)) for i in range(4) for t in ("a", "bb", "ccc")], "item_id long, feature string, value double")
     monkeypatch.setattr(features.F, "var_pop", never)
-    rows = {r.item_id: r.vector for r in features._svd_block(long, 2, "item_id", "feature", items).collect()}
+    rows = {r.item_id: r.vector for r in features._svd_block(long, 2, "item_id", "feature", items)[0].collect()}
     assert {len(v) for v in rows.values()} == {2} and rows[4] == [0.0, 0.0]
 
 
@@ -112,3 +112,47 @@ def test_keyword_scores_of_all_pairs_stay_in_tasks(spark, digits):
     assert want and key(top_k(best, 3, "query_id", "score", "doc_id").collect()) == want
     found = retrieval.bm25_search(index, queries, 3, round_digits=digits)
     assert "FlatMapGroupsInArrow" in _plan(found) and key(found.collect()) == want
+
+
+@pytest.mark.parametrize("step", [4, 256])
+def test_later_blocks_are_held_against_the_best_so_far(spark, monkeypatch, step):
+    """Ties, masked pairs and fewer rows than k over many blocks and steps."""
+    monkeypatch.setattr(blocks, "STEP", step)
+    monkeypatch.setattr(blocks, "CELLS", step)
+    rng = np.random.default_rng(3)
+    left = spark.createDataFrame([(i, [float(x) for x in rng.integers(-2, 3, 3)]) for i in range(7)], "user_id long, vector array<double>")
+    right = spark.createDataFrame([(i, [float(x) for x in rng.integers(-2, 3, 3)]) for i in range(90)], "item_id long, vector array<double>")
+    seen = [(u, i) for u in range(7) for i in range(90) if (u + i) % 4 == 0 or u == 6 and i > 1]
+    got = blocks.block_topk(left, right, 5, exclude=spark.createDataFrame(seen, "user_id long, item_id long"), block=9)
+    score = {(a.user_id, b.item_id): float(np.dot(a.vector, b.vector)) for a in left.collect() for b in right.collect()}
+    want = {(u, n + 1, i, s) for u in range(7)
+            for n, (s, i) in enumerate(sorted(((s, i) for (w, i), s in score.items() if w == u and (u, i) not in seen), key=lambda x: (-x[0], x[1]))[:5])}
+    assert {(r.user_id, r["rank"], r.item_id, r.score) for r in got.collect()} == want and sum(r[0] == 6 for r in want) < 5
+
+
+def test_a_row_with_k_is_not_partitioned_again(monkeypatch):
+    rng = np.random.default_rng(5)
+    top, top_id = np.full((4, 3), -np.inf), np.zeros((4, 3), np.int64)
+    first, later = rng.random((4, 20)), rng.random((4, 20)) / 1e3
+    later[2, 7], later[1, 4], later[3, 3] = 2.0, np.nan, -np.inf
+    blocks.keep_best(top, top_id, first, np.arange(20))
+    monkeypatch.setattr(np, "partition", None)
+    blocks.keep_best(top, top_id, later, np.arange(20, 40))
+    every = np.nan_to_num(np.concatenate([first, later], axis=1), nan=-np.inf)
+    order = np.argsort(-every, axis=1, kind="stable")[:, :3]
+    assert (top_id == order).all() and (top == np.take_along_axis(every, order, 1)).all()
+
+
+def test_rows_of_one_id_are_each_found(spark):
+    left = spark.createDataFrame([(1, [1.0, 0.0])], "user_id long, vector array<double>")
+    right = spark.createDataFrame([(5, [2.0, 0.0]), (5, [3.0, 0.0]), (6, [1.0, 1.0])], "item_id long, vector array<double>")
+    assert [(r.item_id, r.score) for r in blocks.block_topk(left, right, 2).orderBy("rank").collect()] == [(5, 3.0), (5, 2.0)]
+
+
+def test_known_widths_make_no_block_twice(spark):
+    block = spark.createDataFrame([(1, [3.0, 4.0]), (2, [0.0, 0.0])], "item_id long, vector array<double>")
+    other = spark.createDataFrame([(3, [1.0])], "item_id long, vector array<double>")
+    wide = features.weighted_blocks([(block, 1.0, 2), (other, 2.0, 1)])
+    assert "scalar-subquery" not in _plan(wide) and "scalar-subquery" in _plan(features.weighted_blocks([(block, 1.0), (other, 2.0)]))
+    rows = {r.item_id: r.vector for r in wide.collect()}
+    assert rows == {1: [0.6, 0.8, 0.0], 2: [0.0, 0.0, 0.0], 3: [0.0, 0.0, 1.0]}
